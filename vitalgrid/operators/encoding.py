@@ -200,3 +200,21 @@ class Preprocessor:
     def transform(self, df: DataFrame) -> DataFrame:
         coded = self._encoded(impute(self._numbers(df), self.medians))
         return standard_scale(coded, self.scales) if self.scale else coded
+
+    def describe(self) -> dict:
+        """Everything fitted, as plain values; a stored dictionary table is left out."""
+        entries = self.dictionary.entries if self.dictionary else None
+        return {
+            "numeric": self.numeric, "categories": self.categories, "fallback": self.fallback,
+            "scale": self.scale, "fallbacks": self.fallbacks, "medians": self.medians,
+            "scales": {c: list(s) for c, s in self.scales.items()}, "entries": entries,
+        }
+
+    @classmethod
+    def from_description(cls, described: dict) -> Preprocessor:
+        described = dict(described)
+        entries = described.pop("entries")
+        scales = {c: tuple(s) for c, s in described.pop("scales").items()}
+        return cls(
+            **described, scales=scales, dictionary=None if entries is None else Dictionary(entries)
+        )
