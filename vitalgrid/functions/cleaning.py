@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
-from vitalgrid.functions.columns import clean_text, finite, flag, to_number
+from vitalgrid.functions.columns import finite, flag, to_number
 from vitalgrid.schemas import (
     CATEGORY_CODES,
     CLINICAL_FEATURES,
@@ -22,9 +21,12 @@ from vitalgrid.schemas import (
 
 def category_code(value: Column, codes: Mapping[str, int]) -> Column:
     """Code of a category text; text that is a number passes through, the rest is null."""
-    text = clean_text(value)
-    table = F.create_map(*[F.lit(x) for x in chain.from_iterable(codes.items())])
-    return F.coalesce(F.try_element_at(table, text).cast("double"), to_number(text))
+    table = F.create_map(*[
+        F.lit(x) for text, code in codes.items() for x in (text, float(code))
+    ])
+    return F.coalesce(
+        F.try_element_at(table, F.lower(F.trim(value.cast("string")))), to_number(value)
+    )
 
 
 def as_number(df: DataFrame, column: str) -> Column:
@@ -47,7 +49,8 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def clamp(value: Column, low: float, high: float) -> Column:
     """Value moved into `[low, high]`; null stays null."""
-    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high))))
+    low, high = F.lit(float(low)), F.lit(float(high))
+    return F.when(value < low, low).when(value > high, high).otherwise(value)
 
 
 def recode(value: Column, table: Mapping[float, float]) -> Column:
@@ -101,8 +104,8 @@ def available(df: DataFrame, wanted: Sequence[str]) -> list[str]:
 
 def validate(df: DataFrame) -> DataFrame:
     """Category codes, numeric coercion and valid ranges in one projection chain."""
-    coded = coerce_numeric(map_categories(df), CLINICAL_FEATURES)
-    return clamp_ranges(coded)
+    measured = [c for c in CLINICAL_FEATURES if c not in CATEGORY_CODES]
+    return clamp_ranges(coerce_numeric(map_categories(df), measured))
 
 
 def route_by_label(df: DataFrame, label: str = LABEL) -> tuple[DataFrame, DataFrame]:

@@ -17,7 +17,7 @@ def rounded(value, digits: int = 6) -> Column:
 
 def finite(value: Column) -> Column:
     """NaN becomes null, so that comparisons and aggregates treat it as missing."""
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def clean_text(value: Column) -> Column:

@@ -19,117 +19,139 @@ DISTINCT_LIMIT = 1_000_000
 ACCURACY = 20_000
 
 
-class _Target:
-    """One wanted rank of one column and the bracket `[low, high]` that holds it."""
+class _Bracket:
+    """The values `[low, high]` of a column that hold the wanted quantile; all of them at first."""
+
+    def __init__(self, column: str, share: float, rows: int = 0, distinct: int = 0):
+        self.column, self.share = column, share
+        self.low = self.high = None
+        self.below, self.inside, self.rows, self.distinct = 0, rows, rows, distinct
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        """The two ranks around the quantile, from 0."""
+        rank = self.share * (self.rows - 1)
+        return math.floor(rank), math.ceil(rank)
+
+    def value(self):
+        return F.col(f"`{self.column}`")
+
+    def holds(self):
+        if self.low is None:
+            return self.value().isNotNull()
+        return self.value().between(F.lit(self.low), F.lit(self.high))
+
+
+def _brackets(
+    values: DataFrame, wanted: Mapping[str, Sequence[float]], distinct_limit: int
+) -> dict[str, list[_Bracket]]:
+    profile = values.agg(*[
+        stat(F.col(f"`{c}`")).alias(f"{tag}{i}")
+        for i, c in enumerate(wanted)
+        for tag, stat in (("n", F.count), ("d", F.approx_count_distinct))
+    ]).first()
+    brackets = {
+        c: [_Bracket(c, share, profile[f"n{i}"], profile[f"d{i}"]) for share in shares]
+        for i, (c, shares) in enumerate(wanted.items())
+    }
 
-    def __init__(self, column, share, rows, low, high, distinct):
-        self.column, self.share, self.rows = column, share, rows
-        self.low, self.high, self.distinct = low, high, distinct
-        self.below, self.inside = 0, rows
-        self.rank = share * (rows - 1)
-        self.first, self.last = math.floor(self.rank), math.ceil(self.rank)
+    def wide():
+        return [b for column in brackets.values() for b in column if b.distinct > distinct_limit]
 
-    def within(self):
-        value = F.col(f"`{self.column}`")
-        return (value >= F.lit(self.low)) & (value <= F.lit(self.high))
+    while wide() and _narrow(values, wide()):
+        pass
+    return brackets
 
 
-def _narrow(df: DataFrame, targets: list[_Target]) -> bool:
+def _narrow(df: DataFrame, brackets: list[_Bracket]) -> bool:
     """Shrinks the brackets by one round; False where nothing shrank."""
+    slack = 4 / ACCURACY
     probes = []
-    for i, target in enumerate(targets):
-        inside = F.when(target.within(), F.col(f"`{target.column}`"))
-        slack = 4 / ACCURACY
+    for i, b in enumerate(brackets):
+        first, last = b.ranks
         shares = [
-            max(0.0, (target.first - target.below) / target.inside - slack),
-            min(1.0, (target.last - target.below + 1) / target.inside + slack),
+            max(0.0, (first - b.below) / b.inside - slack),
+            min(1.0, (last - b.below + 1) / b.inside + slack),
         ]
+        inside = F.when(b.holds(), b.value())
         probes.append(F.percentile_approx(inside, shares, ACCURACY).alias(f"p{i}"))
     found = df.agg(*probes).first()
     counts = []
-    for i, target in enumerate(targets):
-        value = F.col(f"`{target.column}`")
+    for i, b in enumerate(brackets):
         low, high = found[f"p{i}"]
-        fits = (value >= F.lit(low)) & (value <= F.lit(high))
+        fits = b.value().between(F.lit(low), F.lit(high))
         counts += [
-            F.count_if(value < F.lit(low)).alias(f"b{i}"),
+            F.count_if(b.value() < F.lit(low)).alias(f"b{i}"),
             F.count_if(fits).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(fits, value)).alias(f"d{i}"),
+            F.approx_count_distinct(F.when(fits, b.value())).alias(f"d{i}"),
         ]
     counted = df.agg(*counts).first()
     shrank = False
-    for i, target in enumerate(targets):
+    for i, b in enumerate(brackets):
         below, inside = counted[f"b{i}"], counted[f"n{i}"]
-        holds = below <= target.first and target.last < below + inside
-        if holds and inside < target.inside:
-            target.low, target.high = found[f"p{i}"]
-            target.below, target.inside, target.distinct = below, inside, counted[f"d{i}"]
+        first, last = b.ranks
+        if below <= first and last < below + inside and inside < b.inside:
+            b.low, b.high = found[f"p{i}"]
+            b.below, b.inside, b.distinct = below, inside, counted[f"d{i}"]
             shrank = True
     return shrank
 
 
-def exact_quantiles(
-    df: DataFrame,
-    wanted: Mapping[str, Sequence[float]],
-    distinct_limit: int | None = None,
-) -> dict[str, list[float | None]]:
-    """Quantiles by linear interpolation over the non-null values of each column."""
-    distinct_limit = distinct_limit or DISTINCT_LIMIT
-    values = df.select(*[finite(F.col(f"`{c}`").cast("double")).alias(c) for c in wanted])
-    profile = values.agg(
-        *[
-            stat(F.col(f"`{c}`")).alias(f"{tag}{i}")
-            for i, c in enumerate(wanted)
-            for tag, stat in (
-                ("n", F.count), ("d", F.approx_count_distinct), ("lo", F.min), ("hi", F.max),
-            )
-        ]
-    ).first()
-    targets = [
-        _Target(c, share, profile[f"n{i}"], profile[f"lo{i}"], profile[f"hi{i}"], profile[f"d{i}"])
-        for i, c in enumerate(wanted)
-        for share in wanted[c]
-        if profile[f"n{i}"] > 0
-    ]
-    wide = [t for t in targets if t.distinct > distinct_limit]
-    while wide and _narrow(values, wide):
-        wide = [t for t in wide if t.distinct > distinct_limit]
-
-    result: dict[str, list[float | None]] = {c: [None] * len(shares) for c, shares in wanted.items()}
-    if not targets:
-        return result
-    spread = F.array(*[
-        F.struct(
-            F.lit(i).alias("target"),
-            F.when(t.within(), F.col(f"`{t.column}`")).alias("value"),
-        )
-        for i, t in enumerate(targets)
+def _pick(values: DataFrame, brackets: list[_Bracket]) -> dict[int, float]:
+    """Quantile per bracket, from the counts of the values left in it."""
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("target"), F.when(b.holds(), b.value()).alias("value"))
+        for i, b in enumerate(brackets)
     ])
     counts = (
-        values.select(F.explode(spread).alias("x")).select("x.target", "x.value")
+        values.select(F.explode(cells).alias("x")).select("x.target", "x.value")
         .filter(F.col("value").isNotNull())
         .groupBy("target", "value").count()
     )
-    # Bounded by the distinct values left in a bracket.
-    upto = Window.partitionBy("target").orderBy("value")
-    ranked = counts.withColumn("upto", F.sum("count").over(upto))
-    ends = F.array(*[F.array(F.lit(t.first - t.below), F.lit(t.last - t.below)) for t in targets])
-    pair = F.element_at(ends, F.col("target") + 1)
-
-    def holds(rank):
-        return (F.col("upto") > rank) & (F.col("upto") - F.col("count") <= rank)
+    # Partitions are bounded by the distinct values left in a bracket.
+    whole = Window.partitionBy("target")
+    shares = F.array(*[F.lit(float(b.share)) for b in brackets])[F.col("target")]
+    below = F.array(*[F.lit(b.below) for b in brackets])[F.col("target")]
+    # Rows of the column: known where a bracket was cut, else all that were counted.
+    known = F.array(*[F.lit(b.rows) for b in brackets])[F.col("target")]
+    rows = F.when(known > 0, known).otherwise(F.col("inside"))
+    rank = shares * (rows - 1)
+
+    def at(position):
+        position = position - below
+        return (F.col("upto") > position) & (F.col("upto") - F.col("count") <= position)
 
     hits = (
-        ranked.filter(holds(pair[0]) | holds(pair[1]))
-        .groupBy("target").agg(F.min("value").alias("a"), F.max("value").alias("b"))
+        counts.withColumns({
+            "upto": F.sum("count").over(whole.orderBy("value")),
+            "inside": F.sum("count").over(whole),
+        })
+        .withColumn("rank", rank)
+        .filter(at(F.floor("rank")) | at(F.ceil("rank")))
+        .groupBy("target")
+        .agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max("rank").alias("rank"))
         .collect()
     )
-    for row in hits:
-        target = targets[row["target"]]
-        share = target.rank - target.first
-        position = list(wanted[target.column]).index(target.share)
-        result[target.column][position] = row["a"] + (row["b"] - row["a"]) * share
-    return result
+    return {
+        id(brackets[row["target"]]): row["a"] + (row["b"] - row["a"]) * (row["rank"] - math.floor(row["rank"]))
+        for row in hits
+    }
+
+
+def exact_quantiles(
+    df: DataFrame,
+    wanted: Mapping[str, Sequence[float]],
+    distinct_limit: int | None = None,
+) -> dict[str, list[float | None]]:
+    """Quantiles by linear interpolation over the non-null values of each column."""
+    distinct_limit = distinct_limit or DISTINCT_LIMIT
+    values = df.select(*[finite(F.col(f"`{c}`").cast("double")).alias(c) for c in wanted])
+    if df.count() <= distinct_limit:
+        brackets = {c: [_Bracket(c, share) for share in shares] for c, shares in wanted.items()}
+    else:
+        brackets = _brackets(values, wanted, distinct_limit)
+    found = _pick(values, [b for column in brackets.values() for b in column])
+    return {c: [found.get(id(b)) for b in column] for c, column in brackets.items()}
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], **limits) -> dict[str, float | None]:
