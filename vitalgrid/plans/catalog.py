@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalgrid.plans import clinical, energy, evaluation, learning
+from vitalgrid.plans import clinical, energy, evaluation, learning, streams
 from vitalgrid.plans.oracles import ORACLES
 from vitalgrid.session import configure
 
@@ -23,7 +23,7 @@ def _configured(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    modules = (clinical, energy, evaluation, learning)
+    modules = (clinical, energy, evaluation, learning, streams)
     return {name: _configured(f) for module in modules for name, f in module.QUERIES.items()}
 
 

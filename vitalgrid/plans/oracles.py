@@ -557,4 +557,16 @@ SELECT vec_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION B
     "importance_by_group": over("importances", select=(
         f"SELECT kind, CAST(sum(weight) AS BIGINT) AS weight, {r6('CAST(sum(weight) AS DOUBLE) / (SELECT sum(weight) FROM importances)')} AS share FROM importances GROUP BY kind")),
     "feature_label_join": "SELECT d.doc_id, d.lang, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
+    # streams
+    "stream_source": over("series", select="SELECT CAST(event_id AS VARCHAR) AS key, series_id, event_id, data_type, use_kw FROM series"),
+    "stream_append": over("series", select="SELECT series_id, event_id, use_kw FROM series WHERE data_type = 'purchase'"),
+    "stream_metrics": over("forecasts", select=(
+        f"SELECT count(*) AS n, {r6('avg(error)')} AS mae, {r6('sqrt(avg(error * error))')} AS rmse, {r6('avg(error_pct)')} AS mape,"
+        f" {r6('max(error)')} AS max_error, {r6('min(error)')} AS min_error FROM forecasts")),
+    "dual_stream": over("patients", select=(
+        "SELECT 'to_score' AS route, count(*) AS rows FROM patients WHERE num IS NULL UNION ALL"
+        " SELECT 'to_train', count(*) FROM patients WHERE num IS NOT NULL UNION ALL"
+        " SELECT 'quarantine', count(*) FROM documents")),
+    "stream_train_blocks": over("patients", more={"labelled": LABELLED, "blocks": BLOCKS}, select="SELECT id, block FROM blocks"),
 }
+ORACLES["stream_sequence"] = ORACLES["stream_sequence_state"] = ORACLES["sliding_sequence"]
