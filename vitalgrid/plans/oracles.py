@@ -569,4 +569,4 @@ SELECT vec_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION B
         " SELECT 'quarantine', count(*) FROM documents")),
     "stream_train_blocks": over("patients", more={"labelled": LABELLED, "blocks": BLOCKS}, select="SELECT id, block FROM blocks"),
 }
-ORACLES["stream_sequence"] = ORACLES["stream_sequence_state"] = ORACLES["sliding_sequence"]
+ORACLES["stream_sequence"] = ORACLES["sliding_sequence"]

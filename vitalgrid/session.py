@@ -17,8 +17,6 @@ RUNTIME_SETTINGS = {
     # The JVM never compiles methods past this size; Spark then takes its split form instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from vitalgrid.functions.scoring import alert_tier, clock_text
 from vitalgrid.operators.forecasting import (
@@ -23,13 +19,6 @@ from vitalgrid.operators.registry import Registry
 from vitalgrid.operators.sequences import bounded_history, sliding_sequence
 from vitalgrid.streaming import logs
 
-READING = StructType([
-    StructField("series_id", LongType()), StructField("event_id", LongType()),
-    StructField("time", TimestampType()), StructField("data_type", StringType()),
-    StructField("use_kw", StringType()),
-])
-
-
 @dataclass
 class EnergyStream:
     """Tables of one deployment under `folder`, and the micro-batch handler.
@@ -157,53 +146,3 @@ class EnergyStream:
         after = self._count("predictions", batch_id + 1)
         if after // self.refit_every > before // self.refit_every:
             self._publish(past, batch_id + 1, batch_id)
-
-
-class RollingWindow(StatefulProcessor):
-    """Last `steps` rows per series in the state store; one output row per full window.
-
-    One task holds a series for the length of a micro-batch: meant for many slow series. For a
-    series that makes up much of the stream use `EnergyStream.sequence_batch`.
-    """
-
-    def __init__(self, steps: int, idle_ms: int = 86_400_000):
-        self.steps, self.idle_ms = steps, idle_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = "time_us long, event_id long, v double"
-        self.rows = handle.getListState("rows", schema, ttlDurationMs=self.idle_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = list(self.rows.get()) if self.rows.exists() else []
-        fresh = sorted(
-            (int(t), int(e), float(v))
-            for part in rows
-            for t, e, v in zip(part["time_us"], part["event_id"], part["use_kw"])
-        )
-        out = []
-        window = [tuple(r) for r in held][-self.steps:]
-        for row in fresh:
-            window.append(row)
-            window = window[-self.steps:]
-            if len(window) == self.steps:
-                out.append((key[0], row[1], [r[2] for r in window]))
-        if window:
-            self.rows.put(window)
-        yield pd.DataFrame(out, columns=["series_id", "event_id", "sequence"])
-
-    def close(self) -> None:
-        pass
-
-
-WINDOW_SCHEMA = "series_id bigint, event_id bigint, sequence array<double>"
-
-
-def rolling_windows(stream: DataFrame, steps: int = 60, idle_ms: int = 86_400_000) -> DataFrame:
-    """Streaming form of `sliding_sequence` with the state store."""
-    keyed = stream.select(
-        "series_id", "event_id", F.unix_micros("time").alias("time_us"), F.col("use_kw")
-    )
-    return keyed.groupBy("series_id").transformWithStateInPandas(
-        RollingWindow(steps, idle_ms), outputStructType=WINDOW_SCHEMA, outputMode="Append",
-        timeMode="ProcessingTime",
-    )
