@@ -35,6 +35,7 @@ from vitalgrid.operators.encoding import (
 )
 from vitalgrid.operators.neighbors import nearest
 from vitalgrid.operators.sequences import stratified_kfold, stratified_split
+from vitalgrid.session import materialize
 
 SEED = 42
 # MLlib grows trees to depth 30 at most; an unlimited depth becomes this.
@@ -392,7 +393,10 @@ def fit_risk_model(
 ) -> RiskModel:
     """Forest on encoded, imputed and scaled columns; a given preprocessor is used as it is."""
     preprocessor = preprocessor or Preprocessor(list(numeric), list(categories)).fit(df)
-    prepared = preprocessor.transform(df)
+    # Tree growing passes over the rows once per level: prepared rows are written once.
+    prepared = materialize(
+        preprocessor.transform(df).select(*preprocessor.features, label), "training"
+    )
     stages = Pipeline(stages=[
         VectorAssembler(inputCols=preprocessor.features, outputCol="features"),
         random_forest(sizes, max_depth, min_leaf, label),

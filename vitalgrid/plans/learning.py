@@ -12,7 +12,7 @@ from vitalgrid.operators.classifiers import Sizes
 from vitalgrid.operators.registry import Registry
 from vitalgrid.plans.clinical import MEASURED, SWITCHES, labelled
 from vitalgrid.schemas import CATEGORY_CODES, CLINICAL_FEATURES, ENGINEERED_FEATURES, TEXT_CATEGORIES
-from vitalgrid.session import new_folder
+from vitalgrid.session import materialize, new_folder
 from vitalgrid.sources import tables
 from vitalgrid.streaming import logs
 
@@ -33,7 +33,8 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
 def _scores(name: str):
     """Hold-out scores of one model: fitted on the training part, applied to the test part."""
     def query(spark, folder):
-        split = sequences.stratified_split(labelled(spark, folder), "label", "id")
+        rows = labelled(spark, folder).select("id", "label", *FEATURES)
+        split = materialize(sequences.stratified_split(rows, "label", "id"), "split")
         train, test = split.filter("part = 'train'"), split.filter("part = 'test'")
         scales = classifiers.fit_scales(train, FEATURES)
         train = classifiers.with_vectors(train, FEATURES, scales)
@@ -111,8 +112,8 @@ def retrain(spark, folder):
 
 def full_analysis(spark, folder):
     """Clean, split, fit, evaluate and rank the inputs: `(section, name, value)`."""
-    df = labelled(spark, folder)
-    split = sequences.stratified_split(df, "label", "id")
+    rows = labelled(spark, folder).select("id", "label", *FEATURES)
+    split = materialize(sequences.stratified_split(rows, "label", "id"), "split")
     train = classifiers.with_vectors(split.filter("part = 'train'"), FEATURES)
     test = classifiers.with_vectors(split.filter("part = 'test'"), FEATURES)
     forest = classifiers.random_forest(SHORT).fit(train)

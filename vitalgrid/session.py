@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -58,3 +58,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/vitalgrid/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """The rows as a written table: later passes scan it, and lost executors cost no recomputation."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
