@@ -104,13 +104,18 @@ class ClinicalStream:
 
     # Training --------------------------------------------------------------------------------
 
-    def _before(self, name: str, batch_id: int) -> DataFrame | None:
-        """Rows of the newest earlier batch in a state table."""
-        table = self.read(name)
-        if table is None:
-            return None
-        newest = table.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-        return None if newest is None else logs.read_batch(self.spark, self.table(name), newest)
+    def _state_before(self, batch_id: int) -> tuple[int, DataFrame | None]:
+        """Blocks cut so far and the rows left over, as of the newest earlier batch."""
+        done = self.read("blocks_done")
+        last = None
+        if done is not None:
+            last = (
+                done.filter(F.col("batch_id") < batch_id)
+                .orderBy(F.col("batch_id").desc()).limit(1).first()
+            )
+        if last is None:
+            return 0, None
+        return last["blocks"], logs.read_batch(self.spark, self.table("remainder"), last["batch_id"])
 
     def train_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Cuts the new rows, with the rest of the last batch in front, into full blocks, and
@@ -120,10 +125,8 @@ class ClinicalStream:
         is in exactly one fit.
         """
         arrived = batch.withColumn("arrival", F.lit(batch_id).cast("bigint"))
-        waiting = self._before("remainder", batch_id)
+        first, waiting = self._state_before(batch_id)
         rows = arrived if waiting is None else waiting.select(*arrived.columns).unionByName(arrived)
-        done = self._before("blocks_done", batch_id)
-        first = 0 if done is None else done.first()["blocks"]
 
         ordered = rows.withColumn("_order", F.col("arrival"))
         cut = blocks(ordered, self.block_rows, "_order", "id", full_only=False).drop("_order")
