@@ -23,7 +23,7 @@ def clinical_rows(spark, folder):
 
 def test_window_stream_equals_batch_and_survives_repeats(spark, folder):
     df = tables.series(spark, folder)
-    energy = EnergyStream(spark, new_folder(spark, "energy"), steps=10, keep=20)
+    energy = EnergyStream(spark, new_folder(spark, "energy"), steps=10, keep=20, compact_every=1)
     parts = streams.in_slices(df, "event_id")
     for batch_id, part in enumerate(parts):
         energy.sequence_batch(part, batch_id)
@@ -36,6 +36,20 @@ def test_window_stream_equals_batch_and_survives_repeats(spark, folder):
     assert tail <= 20
 
 
+def test_compaction_keeps_idle_series(spark):
+    def rows(series, times):
+        return spark.createDataFrame(
+            [(series, t, t, float(t)) for t in times], "series_id int, event_id int, time int, use_kw double"
+        )
+
+    energy = EnergyStream(spark, new_folder(spark, "energy"), steps=4, keep=6, compact_every=2)
+    for batch_id, batch in enumerate((rows(1, range(3)), rows(2, range(9)), rows(2, range(9, 11)), rows(2, [11]), rows(1, [3, 4]))):
+        energy.sequence_batch(batch, batch_id)
+    got = energy.read("sequences").filter("series_id = 1").orderBy("event_id").collect()
+    assert [r["sequence"] for r in got] == [[0.0, 1.0, 2.0, 3.0], [1.0, 2.0, 3.0, 4.0]]
+    assert energy._tail(5).count() == 5 + 6
+
+
 def test_cold_start_then_forecasts_then_refit(spark, folder):
     df = tables.series(spark, folder)
     energy = EnergyStream(spark, new_folder(spark, "energy"), steps=5, keep=15)

@@ -19,6 +19,8 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 8_192
+# Rows per bucket that cut points are estimated from.
+SAMPLE_PER_BUCKET = 1_000
 BUCKET = "_bucket"
 
 
@@ -46,9 +48,18 @@ def order_value(df: DataFrame, column: str) -> Column:
     return F.coalesce(value.cast("double"), F.lit(float("-inf")))
 
 
-def _cuts(df: DataFrame, value: Column, buckets: int) -> list[float]:
+def sample_of(df: DataFrame, rows: int, wanted: int) -> DataFrame:
+    """About `wanted` of the rows, to estimate cut points with; results never depend on it."""
+    return df if rows <= wanted else df.sample(fraction=wanted / rows, seed=7)
+
+
+def _cuts(df: DataFrame, value: Column, buckets: int, rows: int) -> list[float]:
+    """Estimated quantiles. Sampling first keeps the sketch that a task sends to a few rows."""
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(value, shares, 8 * buckets).alias("cuts")).first()
+    row = (
+        sample_of(df, rows, buckets * SAMPLE_PER_BUCKET)
+        .agg(F.percentile_approx(value, shares, 8 * buckets).alias("cuts")).first()
+    )
     return [cut for cut in row["cuts"] or [] if math.isfinite(cut)]
 
 
@@ -71,18 +82,19 @@ def range_buckets(
     A single order value that fills a bucket alone is cut once more along `tie`.
     """
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    buckets = bucket_count(df.count(), rows_per_bucket)
+    rows = df.count()
+    buckets = bucket_count(rows, rows_per_bucket)
     if buckets == 1:
         return Buckets(df)
     value = order_value(df, order)
-    cuts = _cuts(df, value, buckets)
+    cuts = _cuts(df, value, buckets, rows)
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b})
     # A heavy value sits alone between its own cut and the next double above it.
     frame = _assign(df, value, cuts + [math.nextafter(h, math.inf) for h in heavy], "_range")
     if heavy and tie is not None:
         at_heavy = value.isin(heavy)
         tie_value = order_value(df, tie)
-        tie_cuts = _cuts(df.filter(at_heavy), tie_value, buckets)
+        tie_cuts = _cuts(df.filter(at_heavy), tie_value, buckets, rows)
         frame = _assign(frame, tie_value, tie_cuts, "_tie")
         frame = frame.withColumn("_tie", F.when(at_heavy, F.col("_tie")).otherwise(0.0))
     else:

@@ -17,6 +17,8 @@ from vitalgrid.functions.columns import finite
 
 DISTINCT_LIMIT = 1_000_000
 ACCURACY = 20_000
+# Rows a bracket is estimated from.
+SAMPLE_ROWS = 1_000_000
 
 
 class _Bracket:
@@ -65,20 +67,25 @@ def _brackets(
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> bool:
     """Shrinks the brackets by one round; False where nothing shrank."""
-    slack = 4 / ACCURACY
     probes = []
+    drawn = df.withColumn("_draw", F.rand(11))
     for i, b in enumerate(brackets):
         first, last = b.ranks
+        used = min(b.inside, SAMPLE_ROWS)
+        # Sketch error, and six standard errors of a sampled rank.
+        slack = 4 / ACCURACY + (3 / math.sqrt(used) if used < b.inside else 0.0)
         shares = [
             max(0.0, (first - b.below) / b.inside - slack),
             min(1.0, (last - b.below + 1) / b.inside + slack),
         ]
-        inside = F.when(b.holds(), b.value())
+        inside = F.when(b.holds() & (F.col("_draw") <= used / b.inside), b.value())
         probes.append(F.percentile_approx(inside, shares, ACCURACY).alias(f"p{i}"))
-    found = df.agg(*probes).first()
+    found = drawn.agg(*probes).first()
     counts = []
     for i, b in enumerate(brackets):
-        low, high = found[f"p{i}"]
+        low, high = found[f"p{i}"] or (b.low, b.high)
+        if low is None:
+            return False
         fits = b.value().between(F.lit(low), F.lit(high))
         counts += [
             F.count_if(b.value() < F.lit(low)).alias(f"b{i}"),
@@ -91,7 +98,7 @@ def _narrow(df: DataFrame, brackets: list[_Bracket]) -> bool:
         below, inside = counted[f"b{i}"], counted[f"n{i}"]
         first, last = b.ranks
         if below <= first and last < below + inside and inside < b.inside:
-            b.low, b.high = found[f"p{i}"]
+            b.low, b.high = found[f"p{i}"] or (b.low, b.high)
             b.below, b.inside, b.distinct = below, inside, counted[f"d{i}"]
             shrank = True
     return shrank

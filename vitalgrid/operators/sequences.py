@@ -12,6 +12,7 @@ from vitalgrid.operators.ordered import (
     positions_by_hash,
     positions_by_range,
     row_window,
+    sample_of,
 )
 
 KEYS = ("series_id",)
@@ -199,9 +200,10 @@ def newest_rows(df: DataFrame, n: int, order: str, tie: str, rows_per_bucket: in
     rows = df.count()
     if rows > max(n, rows_per_bucket or ROWS_PER_BUCKET):
         accuracy = 10_000
-        share = 1 - n / rows - 2 / accuracy
+        share = 1 - n / rows - 40 / accuracy
         if share > 0:
-            cut = df.agg(F.percentile_approx(order, share, accuracy).alias("cut")).first()["cut"]
+            sample = sample_of(df, rows, 100 * accuracy)
+            cut = sample.agg(F.percentile_approx(order, share, accuracy).alias("cut")).first()["cut"]
             newer = df.filter(F.col(order) >= F.lit(cut))
             if newer.count() >= n:
                 df = newer

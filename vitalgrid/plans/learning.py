@@ -19,6 +19,8 @@ from vitalgrid.streaming import logs
 FEATURES = CLINICAL_FEATURES + ENGINEERED_FEATURES
 # Smaller ensembles than the library's defaults, so that a full round of queries stays short.
 SHORT = Sizes(trees=20, boosting_rounds=10, iterations=50, hidden=(20, 10), fourier=64)
+# The comparison makes many fits: three per model.
+SHORTER = Sizes(trees=10, boosting_rounds=5, iterations=20, hidden=(10,), fourier=32)
 STEPS = 60
 
 
@@ -47,7 +49,7 @@ def _scores(name: str):
 
 def compare_models(spark, folder):
     board = classifiers.compare_models(
-        labelled(spark, folder).select("id", "label", *FEATURES), FEATURES, folds=3, sizes=SHORT
+        labelled(spark, folder).select("id", "label", *FEATURES), FEATURES, folds=2, sizes=SHORTER
     )
     return metrics.leaderboard(board)
 

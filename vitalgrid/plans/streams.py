@@ -40,7 +40,7 @@ FORECAST = StructType([
 def in_slices(df: DataFrame, order: str) -> list[DataFrame]:
     """The table in `SLICES` parts along an order column."""
     cuts = df.agg(
-        F.percentile_approx(order, [i / SLICES for i in range(1, SLICES)]).alias("cuts")
+        F.percentile_approx(order, [i / SLICES for i in range(1, SLICES)], 1000).alias("cuts")
     ).first()["cuts"]
     part = sum((F.col(order) > F.lit(cut)).cast("int") for cut in cuts)
     sliced = df.withColumn("_slice", part)

@@ -86,11 +86,8 @@ class ClinicalStream:
             return
         stages, preprocessor = self.registry.load(version)
         rows = batch
-        drained = self.read("drained")
-        since = -1
-        if drained is not None:
-            since = drained.filter(F.col("batch_id") < batch_id).agg(F.max("upto")).first()[0]
-            since = -1 if since is None else since
+        drained = logs.state_before(self.spark, self.table("drained"), batch_id)
+        since = -1 if drained is None else drained["upto"]
         pending = self.read("pending")
         if pending is not None:
             waiting = pending.filter((F.col("batch_id") > since) & (F.col("batch_id") < batch_id))
@@ -106,13 +103,7 @@ class ClinicalStream:
 
     def _state_before(self, batch_id: int) -> tuple[int, DataFrame | None]:
         """Blocks cut so far and the rows left over, as of the newest earlier batch."""
-        done = self.read("blocks_done")
-        last = None
-        if done is not None:
-            last = (
-                done.filter(F.col("batch_id") < batch_id)
-                .orderBy(F.col("batch_id").desc()).limit(1).first()
-            )
+        last = logs.state_before(self.spark, self.table("blocks_done"), batch_id)
         if last is None:
             return 0, None
         return last["blocks"], logs.read_batch(self.spark, self.table("remainder"), last["batch_id"])

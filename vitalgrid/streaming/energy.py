@@ -37,6 +37,7 @@ class EnergyStream:
     high: float = 1.5
     medium: float = 1.0
     kind: str = "linear"
+    compact_every: int = 100
     registry: Registry = field(init=False)
 
     def __post_init__(self):
@@ -51,12 +52,14 @@ class EnergyStream:
     def _tail(self, batch_id: int) -> DataFrame | None:
         """Newest rows per series as of the batch before.
 
-        A batch stores only the series it touched: per series the newest stored batch counts.
+        A batch stores the series it touched, and every `compact_every`-th batch stores all; so
+        only the batches since then are read, and per series the newest stored batch counts.
         """
         table = self.read("tail")
-        if table is None:
+        if table is None or batch_id == 0:
             return None
-        past = table.filter(F.col("batch_id") < batch_id)
+        since = (batch_id - 1) // self.compact_every * self.compact_every
+        past = table.filter(F.col("batch_id").between(since, batch_id - 1))
         newest = past.groupBy("series_id").agg(F.max("batch_id").alias("batch_id"))
         return past.join(newest, ["series_id", "batch_id"]).drop("batch_id")
 
@@ -72,12 +75,11 @@ class EnergyStream:
         return found.filter("_fresh").drop("_fresh")
 
     def store_tail(self, batch: DataFrame, batch_id: int) -> None:
-        tail = self._tail(batch_id)
-        rows = batch
+        tail, rows = self._tail(batch_id), batch
         if tail is not None:
-            rows = batch.unionByName(
-                tail.join(batch.select("series_id").distinct(), "series_id", "left_semi").select(*batch.columns)
-            )
+            if batch_id % self.compact_every:
+                tail = tail.join(batch.select("series_id").distinct(), "series_id", "left_semi")
+            rows = batch.unionByName(tail.select(*batch.columns))
         logs.append_batch(bounded_history(rows, self.keep), self.table("tail"), batch_id)
 
     def sequence_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -105,10 +107,6 @@ class EnergyStream:
             version, model.stages, steps=model.steps, scale=list(model.scale), batch_id=batch_id
         )
 
-    def _count(self, name: str, batch_id: int) -> int:
-        table = self.read(name)
-        return 0 if table is None else table.filter(F.col("batch_id") < batch_id).count()
-
     def forecast_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Forecasts every reading of the batch from the readings before it, then refits.
 
@@ -131,18 +129,29 @@ class EnergyStream:
                     self.table("predictions"), batch_id,
                 )
             self.store_tail(batch, batch_id)
-            self._refit(batch_id, version)
+            self._refit(batch, batch_id, version)
         finally:
             batch.unpersist()
 
-    def _refit(self, batch_id: int, version: int | None) -> None:
-        past = logs.read_log(self.spark, self.table("history")).filter(F.col("batch_id") <= batch_id)
-        past = past.drop("batch_id")
+    def _refit(self, batch: DataFrame, batch_id: int, version: int | None) -> None:
+        """Counters of the batch before decide; they are stored after the model, so that a
+        repeated batch decides the same."""
+        before = logs.state_before(self.spark, self.table("progress"), batch_id)
+        rows = (before["rows"] if before else 0) + batch.count()
+        earlier = before["predictions"] if before else 0
+        made = 0
+        if version is not None:
+            made = logs.read_batch(self.spark, self.table("predictions"), batch_id).count()
         if version is None:
-            if past.count() >= self.first_fit:
-                self._publish(past, batch_id + 1, batch_id)
-            return
-        before = self._count("predictions", batch_id)
-        after = self._count("predictions", batch_id + 1)
-        if after // self.refit_every > before // self.refit_every:
+            due = rows >= self.first_fit
+        else:
+            due = (earlier + made) // self.refit_every > earlier // self.refit_every
+        if due:
+            past = logs.read_log(self.spark, self.table("history"))
+            past = past.filter(F.col("batch_id") <= batch_id).drop("batch_id")
             self._publish(past, batch_id + 1, batch_id)
+        state = self.spark.range(1).select(
+            F.lit(rows).cast("bigint").alias("rows"),
+            F.lit(earlier + made).cast("bigint").alias("predictions"),
+        )
+        logs.append_batch(state, self.table("progress"), batch_id)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 
 def append_batch(df: DataFrame, folder: str, batch_id: int) -> None:
@@ -27,3 +28,20 @@ def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | N
         return spark.read.parquet(f"{folder}/batch_id={int(batch_id)}")
     except AnalysisException:
         return None
+
+
+def state_before(spark: SparkSession, folder: str, batch_id: int) -> Row | None:
+    """The row that the newest earlier micro-batch stored in a one-row-per-batch table.
+
+    That is nearly always the batch before, which is read by its path; only a gap in the ids
+    makes a listing necessary.
+    """
+    last = read_batch(spark, folder, batch_id - 1)
+    if last is not None:
+        return last.withColumn("batch_id", F.lit(batch_id - 1)).first()
+    table = read_log_or_none(spark, folder)
+    if table is None:
+        return None
+    return (
+        table.filter(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).limit(1).first()
+    )
