@@ -16,7 +16,7 @@ from vitalgrid.schemas import (
     ENGINEERED_FEATURES,
     TEXT_CATEGORIES,
 )
-from vitalgrid.session import new_folder
+from vitalgrid.session import materialize, new_folder
 from vitalgrid.sources import messages, tables
 
 MEASURED = ["age", "trestbps", "chol", "thalch", "oldpeak", "ca"]
@@ -305,7 +305,7 @@ def gaussian_nb(spark, folder):
 
 def _folds(spark, folder):
     df = imputed(spark, folder).filter("num is not null").select("id", "label", *CLINICAL_FEATURES)
-    return sequences.stratified_kfold(df, "label", "id", 5)
+    return materialize(sequences.stratified_kfold(df, "label", "id", 5), "folds")
 
 
 def cv_fold_accuracy(spark, folder):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vitalgrid.functions import scoring
 from vitalgrid.functions.columns import rounded
 from vitalgrid.operators import metrics, neighbors, sequences
+from vitalgrid.session import new_folder
 from vitalgrid.sources import tables
 
 
@@ -53,6 +54,29 @@ def evaluate(spark, folder):
     return metrics.evaluate(tables.scored(spark, folder))
 
 
+def report(spark, folder):
+    """Report tables of a scored run, written and read back: `(section, name, value)`."""
+    df = tables.scored(spark, folder)
+    matrix = metrics.confusion_matrix(df).select(
+        F.concat(F.lit("actual_"), "actual").alias("name"),
+        F.stack(F.lit(2), F.lit("predicted_0"), F.col("predicted_0"), F.lit("predicted_1"), F.col("predicted_1")).alias("said", "n"),
+    )
+    parts = {
+        "evaluation": metrics.evaluate(df).select(F.col("metric").alias("name"), "value"),
+        "matrix": matrix.select(
+            F.concat_ws("_", "name", "said").alias("name"), F.col("n").cast("double").alias("value")
+        ),
+    }
+    target = new_folder(spark, "report")
+    tables.write_report(parts, target)
+    read = [
+        spark.read.schema("name string, value double").json(f"{target}/{name}")
+        .select(F.lit(name).alias("section"), "name", "value")
+        for name in parts
+    ]
+    return reduce(DataFrame.unionByName, read)
+
+
 MODELS = {"fine": 100, "tenths": 10, "quarters": 4}
 
 
@@ -123,7 +147,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         risk_tier, accuracy, confusion_matrix, diagnostic_rates, classification_report, roc_auc,
-        roc_curve, pr_curve, prob_histogram, evaluate, leaderboard, quality_band, importance_topk,
+        roc_curve, pr_curve, prob_histogram, evaluate, report, leaderboard, quality_band, importance_topk,
         topk_others, importance_by_group, feature_label_join, knn_topk, knn_classify,
     )
 }

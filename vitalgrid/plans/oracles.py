@@ -569,4 +569,9 @@ SELECT vec_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION B
         " SELECT 'quarantine', count(*) FROM documents")),
     "stream_train_blocks": over("patients", more={"labelled": LABELLED, "blocks": BLOCKS}, select="SELECT id, block FROM blocks"),
 }
+ORACLES["report"] = (
+    f"SELECT 'evaluation' AS section, metric AS name, value FROM ({_evaluate()}) e UNION ALL "
+    "SELECT 'matrix', 'actual_' || y || '_predicted_' || p, CAST(count(*) FILTER (WHERE pred = p) AS DOUBLE)"
+    f" FROM ({SCORED}) s CROSS JOIN (VALUES (0), (1)) v(p) GROUP BY y, p"
+)
 ORACLES["stream_sequence"] = ORACLES["sliding_sequence"]

@@ -24,6 +24,8 @@ def build_session(app: str = "vitalgrid", master: str | None = None, **settings)
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
+        # Call sites per column expression are for debugging; they double the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -37,6 +37,12 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_report(report: Mapping[str, DataFrame], folder: str, form: str = "json") -> None:
+    """Metric tables of a report, one folder each."""
+    for name, table in report.items():
+        table.write.mode("overwrite").format(form).save(f"{folder}/{name}")
+
+
 def union_sources(
     spark: SparkSession,
     sources: Mapping[str, DataFrame | str] | Iterable[DataFrame | str],
