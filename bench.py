@@ -26,7 +26,7 @@ HEADLINE = [
     "roc_auc", "pr_curve", "prob_histogram", "evaluate", "topk_others", "knn_classify",
 ]
 # Fits and streams: one run each.
-SINGLE = ["rf_scores", "forecast", "stream_sequence"]
+SINGLE = ["rf_scores", "forecast", "stream_sequence", "stream_forecast"]
 
 
 def run(spark, query, folder) -> float:

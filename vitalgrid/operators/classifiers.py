@@ -35,7 +35,7 @@ from vitalgrid.operators.encoding import (
 )
 from vitalgrid.operators.neighbors import nearest
 from vitalgrid.operators.sequences import stratified_kfold, stratified_split
-from vitalgrid.session import materialize
+from vitalgrid.session import materialize, spread
 
 SEED = 42
 # MLlib grows trees to depth 30 at most; an unlimited depth becomes this.
@@ -261,12 +261,13 @@ def compare_models(
     parallelism: int = 4,
 ) -> DataFrame:
     """Hold-out and cross-validated accuracy and AUC per model, one row each."""
-    split = stratified_split(df, label, identifier, test_share)
+    split = materialize(stratified_split(df, label, identifier, test_share), "split")
     train = split.filter(F.col("part") == "train").drop("part")
     test = split.filter(F.col("part") == "test").drop("part")
     scales = fit_scales(train, features)
     keep = [identifier, label, "features", "scaled_features"]
-    train = with_vectors(stratified_kfold(train, label, identifier, folds), features, scales)
+    train = materialize(stratified_kfold(train, label, identifier, folds), "folds")
+    train = with_vectors(spread(train), features, scales)
     train = train.select(*keep, "fold").persist(StorageLevel.MEMORY_AND_DISK)
     test = with_vectors(test, features, scales).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     made = estimators(train.count(), len(features), sizes, label)
@@ -328,9 +329,8 @@ def grid_search(
     if rows < 10:
         model = forest.fit(with_vectors(df, features))
         return spark.createDataFrame([(1, "default", None)], schema), model
-    data = with_vectors(stratified_kfold(df, label, identifier, folds), features).select(
-        label, "features", "fold"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = materialize(stratified_kfold(df, label, identifier, folds), "folds")
+    data = with_vectors(spread(folded), features).select(label, "features", "fold").persist(StorageLevel.MEMORY_AND_DISK)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(forest.getParam(name), list(values))
@@ -394,9 +394,9 @@ def fit_risk_model(
     """Forest on encoded, imputed and scaled columns; a given preprocessor is used as it is."""
     preprocessor = preprocessor or Preprocessor(list(numeric), list(categories)).fit(df)
     # Tree growing passes over the rows once per level: prepared rows are written once.
-    prepared = materialize(
+    prepared = spread(materialize(
         preprocessor.transform(df).select(*preprocessor.features, label), "training"
-    )
+    ))
     stages = Pipeline(stages=[
         VectorAssembler(inputCols=preprocessor.features, outputCol="features"),
         random_forest(sizes, max_depth, min_leaf, label),

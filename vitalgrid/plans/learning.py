@@ -12,7 +12,7 @@ from vitalgrid.operators.classifiers import Sizes
 from vitalgrid.operators.registry import Registry
 from vitalgrid.plans.clinical import MEASURED, SWITCHES, labelled
 from vitalgrid.schemas import CATEGORY_CODES, CLINICAL_FEATURES, ENGINEERED_FEATURES, TEXT_CATEGORIES
-from vitalgrid.session import materialize, new_folder
+from vitalgrid.session import materialize, new_folder, spread
 from vitalgrid.sources import tables
 from vitalgrid.streaming import logs
 
@@ -37,7 +37,7 @@ def _scores(name: str):
     def query(spark, folder):
         rows = labelled(spark, folder).select("id", "label", *FEATURES)
         split = materialize(sequences.stratified_split(rows, "label", "id"), "split")
-        train, test = split.filter("part = 'train'"), split.filter("part = 'test'")
+        train, test = spread(split.filter("part = 'train'")), split.filter("part = 'test'")
         scales = classifiers.fit_scales(train, FEATURES)
         train = classifiers.with_vectors(train, FEATURES, scales)
         test = classifiers.with_vectors(test, FEATURES, scales)
@@ -116,7 +116,7 @@ def full_analysis(spark, folder):
     """Clean, split, fit, evaluate and rank the inputs: `(section, name, value)`."""
     rows = labelled(spark, folder).select("id", "label", *FEATURES)
     split = materialize(sequences.stratified_split(rows, "label", "id"), "split")
-    train = classifiers.with_vectors(split.filter("part = 'train'"), FEATURES)
+    train = classifiers.with_vectors(spread(split.filter("part = 'train'")), FEATURES)
     test = classifiers.with_vectors(split.filter("part = 'test'"), FEATURES)
     forest = classifiers.random_forest(SHORT).fit(train)
     scored = forest.transform(test).select(

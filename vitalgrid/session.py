@@ -67,3 +67,12 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     folder = new_folder(df.sparkSession, label)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(stored: DataFrame) -> DataFrame:
+    """A stored table in at least as many partitions as there are cores, for iterative fits.
+
+    Only a table too small to fill the cluster is moved.
+    """
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
