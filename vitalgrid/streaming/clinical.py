@@ -17,7 +17,7 @@ from vitalgrid.functions.cleaning import binary_label, route_by_label
 from vitalgrid.operators.augment import augment_minority
 from vitalgrid.operators.classifiers import RiskModel, Sizes, fit_risk_model
 from vitalgrid.operators.registry import Registry
-from vitalgrid.operators.sequences import blocks
+from vitalgrid.operators.sequences import blocks, stratified_split
 from vitalgrid.schemas import TEXT_CATEGORIES
 from vitalgrid.sources.messages import decode_clinical, split_corrupt
 from vitalgrid.streaming import logs, runtime
@@ -171,8 +171,6 @@ def initial_training(
     evaluate: Callable[[DataFrame], None] | None = None,
 ) -> int:
     """First version from a labelled table, before any stream runs."""
-    from vitalgrid.operators.sequences import stratified_split
-
     rows = df.withColumn("label", binary_label(F.col("num"))).withColumns(
         {c: F.col(c).cast("double") for c in NUMERIC}
     )
