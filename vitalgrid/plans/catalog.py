@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitalgrid.plans import clinical, energy, evaluation, learning, streams
 from vitalgrid.plans.oracles import ORACLES
-from vitalgrid.session import configure
+from vitalgrid.session import configure, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _configured(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return query(configure(spark), folder)
+        return query(ship(configure(spark)), folder)
 
     return run
 

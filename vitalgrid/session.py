@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+PACKAGE = os.path.dirname(os.path.abspath(__file__))
+
 # Settings that may be changed on a running session.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,16 +45,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Hand the package to the Python workers, once a context; a run then works from any folder."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        archive = os.path.join(tempfile.mkdtemp(prefix="vitalgrid-"), "vitalgrid")
+        root, name = os.path.split(PACKAGE)
+        context.addPyFile(shutil.make_archive(archive, "zip", root, name))
+        _shipped.add(context.applicationId)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's checkpoint directory.
 
-    Only a session without one (a unit test) gets a temporary folder of its own.
+    Only a local session without one (a unit test) gets a temporary folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
         active = spark.sparkContext._jsc.sc().getCheckpointDir()
         if active.isDefined():
             return active.get()
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="vitalgrid-")
         spark.sparkContext.setCheckpointDir(configured)
         spark.conf.set("spark.checkpoint.dir", configured)
