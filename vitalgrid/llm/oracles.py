@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitalgrid.llm import mixing
+from vitalgrid.llm import mixing, urls
 
 _WORDS = "[^\\x20\\x09-\\x0D]+"
 
@@ -40,4 +40,49 @@ JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 JOIN taken t ON d.source IS NOT DISTINCT FROM t.source AND d.hash = t.hash
 """
 
-ORACLES = {"op7_mixing": MIXING}
+URLS = f"""
+WITH rules(verdict, host, path) AS (VALUES {", ".join(map(str, urls.RULES))}),
+parsed AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(coalesce(regexp_extract(url, '{urls.PATTERN}', 1), ''), '{urls.UPPER}', '{urls.LOWER}') AS host,
+    coalesce(regexp_extract(url, '{urls.PATTERN}', 2), '') AS path
+  FROM pages),
+fitting AS (
+  SELECT p.*, r.host || r.path AS rule, r.verdict, row_number() OVER (
+    PARTITION BY p.n ORDER BY length(r.host || r.path) DESC, length(r.host) DESC, r.host || r.path DESC) AS place
+  FROM parsed p LEFT JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT page_id, host, path, rule, coalesce(verdict, '{urls.OTHERWISE}') AS verdict FROM fitting WHERE place = 1
+"""
+
+_CONTROL = r"<\\*\|(?:turn|text|end)\|>"
+
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(23 + length(role) + length(text) + len(regexp_extract_all(role, '{_CONTROL}'))
+    + len(regexp_extract_all(text, '{_CONTROL}')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+# Over whole tables these two are all-pairs work, which SQL can still do at the size of the check.
+TOP_K = """
+WITH usable AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, max(list_dot_product(q.v, c.v))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+ORACLES = {"op4_chat": CHAT, "op5_urls": URLS, "op7_mixing": MIXING, "op8_topk": TOP_K}

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import mixing, packing, quality, simhash, toxicity
+from vitalgrid.llm import chat, licenses, mixing, packing, quality, simhash, toxicity, urls, vectors
 from vitalgrid.llm.oracles import ORACLES  # noqa: F401
 from vitalgrid.llm.shared import fold, table
 from vitalgrid.session import ship
@@ -39,6 +39,23 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op3_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    return chat.read_back(chat.format_turns(rows))
+
+
+def op5_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash(table(spark, folder, "documents"))
 
@@ -47,6 +64,11 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = vectors.scaled(table(spark, folder, "embeddings"))
+    return vectors.top_k(rows.where("vec_id % 50 = 0"), rows)
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = toxicity_model(spark, documents, folder)
@@ -59,6 +81,10 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,5 +94,8 @@ def _shipped(query):
 
 
 QUERIES = {
-    f.__name__: _shipped(f) for f in (op1_quality, op2_packing, op6_simhash, op7_mixing, op9_toxicity)
+    f.__name__: _shipped(f) for f in (
+        op1_quality, op2_packing, op3_embeddings, op4_chat, op5_urls, op6_simhash, op7_mixing, op8_topk,
+        op9_toxicity, op10_licenses,
+    )
 }
