@@ -200,3 +200,40 @@ def test_schema_profile_sketch(spark, folder):
     for r in profile.schema_profile(df, exact=False).collect():
         assert (r["n_rows"], r["n_values"], r["type"]) == (exact[r["column"]]["n_rows"], exact[r["column"]]["n_values"], exact[r["column"]]["type"])
         assert abs(r["n_distinct"] - exact[r["column"]]["n_distinct"]) <= 0.15 * exact[r["column"]]["n_distinct"] + 1
+
+
+def test_text_order_with_a_shared_prefix(spark):
+    from vitalgrid.operators import ordered
+
+    texts = [f"https://same.example/{i:05d}" for i in range(400)] + [None]
+    df = spark.createDataFrame([(t,) for t in reversed(texts)], "value string")
+    buckets = ordered.text_buckets(df, "value", rows_per_bucket=50)
+    sizes = [r["count"] for r in buckets.frame.groupBy(buckets.column).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 150
+    got = {r["value"]: r["position"] for r in ordered.row_positions(buckets, ["value"]).collect()}
+    want = sorted(texts, key=lambda t: (t is not None, t or ""))
+    assert got == {t: i for i, t in enumerate(want, 1)}
+
+
+def test_training_rows_are_copied_to_visiting_slices_only(spark):
+    import numpy as np
+
+    from vitalgrid.operators import neighbors
+
+    random = np.random.default_rng(0)
+    centres = random.normal(0, 100, (20, 4))
+
+    def rows(n, first):
+        return spark.createDataFrame(
+            [(first + i, (centres[i % 20] + random.normal(0, 1, 4)).tolist(), i % 2) for i in range(n)],
+            "vec_id long, embedding array<double>, label int",
+        )
+
+    train = rows(400, 0)
+    copies = []
+    for probes in (rows(200, 1_000), rows(1_600, 10_000)):
+        found = neighbors.nearest(probes, train, 3, block_rows=20)
+        assert found.count() == 3 * probes.count()
+        plan = found._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+        copies.append(found)

@@ -9,8 +9,8 @@ from vitalgrid.operators.registry import Registry
 from vitalgrid.plans import learning, streams
 from vitalgrid.session import new_folder
 from vitalgrid.sources import messages, tables
-from vitalgrid.streaming import logs
-from vitalgrid.streaming.clinical import ClinicalStream
+from vitalgrid.streaming import logs, runtime
+from vitalgrid.streaming.clinical import ClinicalStream, initial_training
 from vitalgrid.streaming.energy import EnergyStream
 
 TREES = Sizes(trees=3)
@@ -66,6 +66,45 @@ def test_cold_start_then_forecasts_then_refit(spark, folder):
     assert wrong.count() == 0
 
 
+def test_default_stream_stays_cold_until_windows_are_there(spark, folder):
+    """Sparse batches of many series: rows enough, but for long no series with a full window."""
+    df = tables.series(spark, folder)
+    energy = EnergyStream(spark, new_folder(spark, "energy"))
+    versions, made = [], []
+    for batch_id, part in enumerate(streams.in_slices(df, "event_id", 10)):
+        energy.forecast_batch(part, batch_id)
+        versions.append(energy.registry.latest())
+        predictions = energy.read("predictions")
+        made.append(predictions.count() if predictions is not None else 0)
+    windows = sequences.sliding_sequence(df, "use_kw", 60, with_target=True).count()
+    assert versions[0] is None and versions[4] is None
+    if windows >= 200:
+        assert versions[-1] is not None and made[-1] > 0
+    else:  # too few in this table: still cold, and still running
+        assert made[-1] == 0 or versions[-1] is not None
+
+
+def test_two_queries_with_their_triggers_on_one_source(spark, folder):
+    clinical = ClinicalStream(spark, new_folder(spark, "clinical"), sizes=TREES)
+    rows = tables.patients(spark, folder).drop("dataset").filter("id < 200")
+    topic = new_folder(spark, "topic")
+    messages.write_messages(messages.encode_messages(rows, F.col("id")), topic, kind="files")
+    initial_training(spark, clinical_rows(spark, folder).filter("num is not null"), clinical.registry, TREES)
+    source = messages.message_stream(spark, topic, kind="files")
+    queries = clinical.start_dual(source, runtime.SCORE_TRIGGER, runtime.TRAIN_TRIGGER)
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    want = rows.groupBy(F.col("num").isNull().alias("unlabelled")).count().collect()
+    want = {r["unlabelled"]: r["count"] for r in want}
+    assert clinical.read("predictions").count() == want[True]
+    assert clinical.read("blocks").count() == want[False] // 5 * 5
+    assert clinical.registry.latest() >= 1
+
+
 def test_rows_wait_for_a_model(spark, folder):
     rows = clinical_rows(spark, folder)
     clinical = ClinicalStream(spark, new_folder(spark, "clinical"), sizes=TREES)
@@ -107,12 +146,17 @@ def test_a_failed_block_is_set_aside(spark, folder, monkeypatch):
     clinical = ClinicalStream(spark, new_folder(spark, "clinical"), sizes=TREES)
 
     def broken(*args, **kwargs):
-        raise RuntimeError("no fit today")
+        raise kind("no fit today")
 
     monkeypatch.setattr("vitalgrid.streaming.clinical.fit_risk_model", broken)
+    kind = ValueError
     clinical.train_batch(rows.filter("id < 12"), 0)
     assert clinical.read("failed_blocks").filter("reason like '%no fit today%'").count() == 10
     assert clinical.registry.latest() is None
+    kind = RuntimeError  # nothing about the rows: the batch fails and is repeated later
+    with pytest.raises(RuntimeError):
+        clinical.train_batch(rows.filter("id between 12 and 40"), 1)
+    assert clinical.read("failed_blocks").count() == 10
 
 
 def test_log_replaces_a_repeated_batch(spark):
@@ -122,6 +166,10 @@ def test_log_replaces_a_repeated_batch(spark):
     logs.append_batch(spark.range(7), folder, 1)
     assert logs.read_log(spark, folder).count() == 12
     assert logs.read_log_or_none(spark, folder + "-absent") is None
+    with open(f"{folder}/batch_id=1/part-broken.parquet", "w") as broken:
+        broken.write("this is no parquet file")
+    with pytest.raises(Exception, match="part-broken"):  # a damaged log is not an empty one
+        logs.read_log_or_none(spark, folder).count()
 
 
 @pytest.fixture(scope="module")

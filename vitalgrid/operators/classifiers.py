@@ -8,7 +8,6 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -42,6 +41,8 @@ SEED = 42
 UNLIMITED_DEPTH = 30
 # Models that want scaled input.
 SCALED = {"logistic_regression", "rbf_svc", "mlp"}
+# Iterative fits end when the loss improves by less than this share.
+TOLERANCE = 1e-4
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,7 @@ def naive_bayes(label: str = "label"):
 def mlp(inputs: int, sizes: Sizes = Sizes(), label: str = "label"):
     return MultilayerPerceptronClassifier(
         labelCol=label, featuresCol="scaled_features", layers=[inputs, *sizes.hidden, 2],
-        maxIter=sizes.iterations, seed=SEED,
+        maxIter=sizes.iterations, tol=TOLERANCE, seed=SEED,
     )
 
 
@@ -121,7 +122,7 @@ class RbfMargin:
     def __init__(self, inputs: int, rows: int, sizes: Sizes = Sizes(), label: str = "label", c: float = 1.0):
         self.inputs, self.sizes, self.label = inputs, sizes, label
         self.margin = LinearSVC(
-            labelCol=label, featuresCol="fourier", maxIter=min(sizes.iterations, 200),
+            labelCol=label, featuresCol="fourier", maxIter=sizes.iterations, tol=TOLERANCE,
             regParam=1.0 / (c * max(rows, 1)), standardization=False, rawPredictionCol="margin_raw",
             predictionCol="margin_prediction",
         )
@@ -137,12 +138,10 @@ class RbfMargin:
         return df.withColumn("margin", array_to_vector(F.array(value)))
 
     def fit(self, df: DataFrame) -> RbfMargin:
-        prepared = self._fourier(df).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self.margin = self.margin.fit(prepared)
-            self.calibration = self.calibration.fit(self._margin(self.margin.transform(prepared)))
-        finally:
-            prepared.unpersist()
+        # Every iteration reads the projected rows; they are written once, to the shared folder.
+        prepared = spread(materialize(self._fourier(df).select(self.label, "fourier"), "fourier"))
+        self.margin = self.margin.fit(prepared)
+        self.calibration = self.calibration.fit(self._margin(self.margin.transform(prepared)))
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -237,15 +236,12 @@ def as_scores(df: DataFrame, *keep: str) -> DataFrame:
 
 def quality(scored: DataFrame, label: str = "label") -> tuple[float, float]:
     """(accuracy, AUC) of a frame with prediction and probability."""
-    rows = scored.select(
+    rows = materialize(scored.select(
         F.col(label).cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction"),
         probability_of_one().alias("score"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(rows)
-        auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0).evaluate(rows)
-    finally:
-        rows.unpersist()
+    ), "scored")
+    accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(rows)
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0).evaluate(rows)
     return accuracy, auc
 
 
@@ -258,38 +254,41 @@ def compare_models(
     folds: int = 5,
     test_share: float = 0.2,
     sizes: Sizes = Sizes(),
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
-    """Hold-out and cross-validated accuracy and AUC per model, one row each."""
+    """Hold-out and cross-validated accuracy and AUC per model, one row each.
+
+    All fits, of every model and fold, are independent jobs and share the cluster.
+    """
     split = materialize(stratified_split(df, label, identifier, test_share), "split")
     train = split.filter(F.col("part") == "train").drop("part")
     test = split.filter(F.col("part") == "test").drop("part")
     scales = fit_scales(train, features)
     keep = [identifier, label, "features", "scaled_features"]
     train = materialize(stratified_kfold(train, label, identifier, folds), "folds")
-    train = with_vectors(spread(train), features, scales)
-    train = train.select(*keep, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    test = with_vectors(test, features, scales).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    train = spread(materialize(with_vectors(spread(train), features, scales).select(*keep, "fold"), "train"))
+    test = materialize(with_vectors(test, features, scales).select(*keep), "test")
     made = estimators(train.count(), len(features), sizes, label)
 
-    def run(name):
-        accuracy, auc = quality(made[name]().fit(train.drop("fold")).transform(test), label)
-        per_fold = []
-        for held in range(folds):
-            fitted = made[name]().fit(train.filter(F.col("fold") != held).drop("fold"))
-            per_fold.append(quality(fitted.transform(train.filter(F.col("fold") == held).drop("fold")), label))
-        accuracies, aucs = np.array(per_fold).T
-        return (
-            name, float(accuracy), float(auc), float(accuracies.mean()), float(accuracies.std()),
+    def run(task):
+        name, held = task
+        known, asked = train, test
+        if held is not None:
+            known, asked = train.filter(F.col("fold") != held), train.filter(F.col("fold") == held).drop("fold")
+        return quality(made[name]().fit(known.drop("fold")).transform(asked), label)
+
+    names = list(names or made)
+    # Fold by fold, so that the long fits of one model do not queue behind each other.
+    tasks = [(name, held) for held in (None, *range(folds)) for name in names]
+    with ThreadPool(parallelism) as pool:
+        found = dict(zip(tasks, pool.map(run, tasks, chunksize=1)))
+    rows = []
+    for name in names:
+        accuracies, aucs = np.array([found[name, held] for held in range(folds)]).T
+        rows.append((
+            name, *map(float, found[name, None]), float(accuracies.mean()), float(accuracies.std()),
             float(aucs.mean()), float(aucs.std()),
-        )
-
-    try:
-        with ThreadPool(parallelism) as pool:
-            rows = pool.map(run, names or list(made))
-    finally:
-        train.unpersist()
-        test.unpersist()
+        ))
     return df.sparkSession.createDataFrame(
         rows,
         "model string, accuracy double, auc double, cv_accuracy_mean double, cv_accuracy_std double,"
@@ -330,19 +329,16 @@ def grid_search(
         model = forest.fit(with_vectors(df, features))
         return spark.createDataFrame([(1, "default", None)], schema), model
     folded = materialize(stratified_kfold(df, label, identifier, folds), "folds")
-    data = with_vectors(spread(folded), features).select(label, "features", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    data = spread(materialize(with_vectors(spread(folded), features).select(label, "features", "fold"), "grid"))
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(forest.getParam(name), list(values))
     points = builder.build()
-    try:
-        search = CrossValidator(
-            estimator=forest, estimatorParamMaps=points, numFolds=folds, foldCol="fold",
-            evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-            parallelism=parallelism,
-        ).fit(data)
-    finally:
-        data.unpersist()
+    search = CrossValidator(
+        estimator=forest, estimatorParamMaps=points, numFolds=folds, foldCol="fold",
+        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
+        parallelism=parallelism,
+    ).fit(data)
     texts = [", ".join(f"{p.name}={v}" for p, v in point.items()) for point in points]
     board = sorted(zip(search.avgMetrics, texts), key=lambda item: (-item[0], item[1]))
     table = spark.createDataFrame(

@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -15,7 +14,8 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions.scoring import absolute_error, percent_error
 from vitalgrid.operators.encoding import collect_scale, fit_scale, inverse_scale, scaled
-from vitalgrid.operators.sequences import chrono_split, sliding_sequence
+from vitalgrid.operators.sequences import series_positions, sliding_sequence
+from vitalgrid.session import materialize, spread
 
 PREDICTION = "scaled_prediction"
 
@@ -54,9 +54,13 @@ def _regression(kind: str, rounds: int):
 
 
 def training_windows(df: DataFrame, value: str, steps: int, share: float = 0.2, **how) -> DataFrame:
-    """Windows with their target, and `held` for the last `share` of each series."""
-    windows = sliding_sequence(df, value, steps, with_target=True, **how)
-    return chrono_split(windows, share).withColumn("held", F.col("part") == "test").drop("part")
+    """Windows with their target, and `held` for the last `share` of each series' windows.
+
+    The rows are numbered while they are narrow: a series of n rows has n - steps windows.
+    """
+    held = F.col("position") > F.col("group_rows") - F.ceil((F.col("group_rows") - steps) * F.lit(share))
+    marked = series_positions(df, **how).withColumn("held", held).drop("position", "group_rows")
+    return sliding_sequence(marked, value, steps, with_target=True, **how)
 
 
 def mean_squared(df: DataFrame, actual: str, predicted: str) -> float | None:
@@ -71,27 +75,30 @@ def fit_forecaster(
     kind: str = "linear",
     rounds: int = 30,
     share: float = 0.2,
-) -> Forecaster:
-    """One regression pooled over all series; the newest `share` of each series is held out."""
+) -> Forecaster | None:
+    """One regression pooled over all series; the newest `share` of each series is held out.
+
+    None if no window is left to train on: no series has `steps` rows and a next one yet.
+    """
     scale = collect_scale(fit_scale(df, [value]))[value]
     windows = training_windows(df, value, steps, share).select("sequence", "target", "held")
     inputs = F.transform("sequence", lambda x: scaled(x, scale))
-    ready = windows.select(
+    # The fit and both losses read the windows; they are written once, to the shared folder.
+    ready = spread(materialize(windows.select(
         array_to_vector(inputs).alias("features"),
         scaled(F.col("target"), scale).alias("scaled_target"), "held",
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        used = ready if kind == "boosted" else ready.filter(~F.col("held"))
-        stages = Pipeline(stages=[_regression(kind, rounds)]).fit(used)
-        fitted = stages.transform(ready)
-        counts = ready.agg(F.count_if(~F.col("held")).alias("n")).first()
-        run = {
-            "samples": counts["n"],
-            "final_loss": mean_squared(fitted.filter(~F.col("held")), "scaled_target", PREDICTION),
-            "final_val_loss": mean_squared(fitted.filter("held"), "scaled_target", PREDICTION),
-        }
-    finally:
-        ready.unpersist()
+    ), "windows"))
+    samples = ready.filter(~F.col("held")).count()
+    if not samples:
+        return None
+    used = ready if kind == "boosted" else ready.filter(~F.col("held"))
+    stages = Pipeline(stages=[_regression(kind, rounds)]).fit(used)
+    fitted = stages.transform(ready)
+    run = {
+        "samples": samples,
+        "final_loss": mean_squared(fitted.filter(~F.col("held")), "scaled_target", PREDICTION),
+        "final_val_loss": mean_squared(fitted.filter("held"), "scaled_target", PREDICTION),
+    }
     return Forecaster(steps, scale, stages, run)
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from vitalgrid.session import materialize
+
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 8_192
 # Rows per bucket that cut points are estimated from.
@@ -113,10 +115,15 @@ def hash_buckets(df: DataFrame, digest: str, rows_per_bucket: int | None = None)
 
 
 def text_buckets(df: DataFrame, text: str, rows_per_bucket: int | None = None) -> Buckets:
-    """Buckets of an alphabetical order: the leading characters."""
-    if df.count() <= (rows_per_bucket or ROWS_PER_BUCKET):
+    """Buckets of an alphabetical order, cut at sampled texts; a shared prefix does not matter.
+
+    The cut rows are stored: a second sample might cut them elsewhere.
+    """
+    buckets = bucket_count(df.count(), rows_per_bucket or ROWS_PER_BUCKET)
+    if buckets == 1:
         return Buckets(df)
-    return Buckets(df.withColumn(BUCKET, F.substring(text, 1, 3)), BUCKET)
+    ranged = df.repartitionByRange(buckets, text).withColumn(BUCKET, F.spark_partition_id())
+    return Buckets(materialize(ranged, "ordered"), BUCKET)
 
 
 def running_totals(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalgrid.operators.ordered import (
@@ -76,13 +76,16 @@ def series_positions(
     return positions_by_range(df, order, tie, group, rows_per_bucket)
 
 
-def bounded_history(df: DataFrame, keep: int = 70, **how) -> DataFrame:
-    """Newest `keep` rows of each series."""
-    return (
-        series_positions(df, **how)
-        .filter(F.col("position") > F.col("group_rows") - keep)
-        .drop("position", "group_rows")
-    )
+def bounded_history(
+    df: DataFrame, keep: int = 70, group: Sequence[str] = KEYS, order: str = TIME, tie: str = TIE
+) -> DataFrame:
+    """Newest `keep` rows of each series.
+
+    A limit on the rank lets every task drop all but `keep` rows of a series before the shuffle, so
+    a busy series is small when it arrives.
+    """
+    newest = Window.partitionBy(*group).orderBy(F.col(order).desc(), F.col(tie).desc())
+    return df.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= keep).drop("_place")
 
 
 def latest_sequence(df: DataFrame, value: str, steps: int = 60, group: Sequence[str] = KEYS, **how) -> DataFrame:

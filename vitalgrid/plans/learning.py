@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions import cleaning
-from vitalgrid.functions.columns import rounded
-from vitalgrid.operators import classifiers, forecasting, metrics, sequences
-from vitalgrid.operators.classifiers import Sizes
+from vitalgrid.functions.scoring import risk_tier
+from vitalgrid.operators import classifiers, forecasting, metrics, profile, sequences
 from vitalgrid.operators.registry import Registry
 from vitalgrid.plans.clinical import MEASURED, SWITCHES, labelled
 from vitalgrid.schemas import CATEGORY_CODES, CLINICAL_FEATURES, ENGINEERED_FEATURES, TEXT_CATEGORIES
@@ -17,10 +17,6 @@ from vitalgrid.sources import tables
 from vitalgrid.streaming import logs
 
 FEATURES = CLINICAL_FEATURES + ENGINEERED_FEATURES
-# Smaller ensembles than the library's defaults, so that a full round of queries stays short.
-SHORT = Sizes(trees=20, boosting_rounds=10, iterations=50, hidden=(20, 10), fourier=64)
-# The comparison makes many fits: three per model.
-SHORTER = Sizes(trees=10, boosting_rounds=5, iterations=20, hidden=(10,), fourier=32)
 STEPS = 60
 
 
@@ -32,45 +28,63 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
     return df.withColumn("label", F.when(F.col("num").isNotNull(), cleaning.binary_label(F.col("num"))))
 
 
+def valid_scores() -> Column:
+    """Whether a row of `as_scores` is a probability with its prediction and its tier."""
+    p, q = F.col("probability_disease"), F.col("probability_no_disease")
+    fits = p.between(0, 1) & (F.abs(p + q - 1) < 1e-9) & F.col("prediction").isin(0, 1)
+    return F.coalesce(fits & (F.col("risk_level") == risk_tier(p)), F.lit(False))
+
+
 def _scores(name: str):
-    """Hold-out scores of one model: fitted on the training part, applied to the test part."""
+    """Hold-out check of one model, fitted on the training part: a row for each test row with
+    whether its scores are valid, and a row with whether the model beats the majority class."""
     def query(spark, folder):
         rows = labelled(spark, folder).select("id", "label", *FEATURES)
         split = materialize(sequences.stratified_split(rows, "label", "id"), "split")
         train, test = spread(split.filter("part = 'train'")), split.filter("part = 'test'")
-        scales = classifiers.fit_scales(train, FEATURES)
+        scales = classifiers.fit_scales(train, FEATURES) if name in classifiers.SCALED else None
         train = classifiers.with_vectors(train, FEATURES, scales)
         test = classifiers.with_vectors(test, FEATURES, scales)
-        made = classifiers.estimators(train.count(), len(FEATURES), SHORT)[name]()
-        return classifiers.as_scores(made.fit(train).transform(test), "id", "label")
+        made = classifiers.estimators(train.count(), len(FEATURES))[name]()
+        scored = materialize(classifiers.as_scores(made.fit(train).transform(test), "id", "label"), "scores")
+        ones = F.avg("label")
+        hits = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+        none = F.lit(None)
+        return scored.select("id", "label", valid_scores().alias("valid"), none.cast("boolean").alias("beats_majority")).union(
+            scored.agg((hits > F.greatest(ones, 1 - ones)).alias("better")).select(
+                none.cast("bigint"), none.cast("int"), none.cast("boolean"), "better"
+            )
+        )
 
     return query
 
 
 def compare_models(spark, folder):
-    board = classifiers.compare_models(
-        labelled(spark, folder).select("id", "label", *FEATURES), FEATURES, folds=2, sizes=SHORTER
-    )
-    return metrics.leaderboard(board)
+    """Every model of the leaderboard, with whether its measures are shares."""
+    board = metrics.leaderboard(classifiers.compare_models(
+        labelled(spark, folder).select("id", "label", *FEATURES), FEATURES
+    ))
+    return board.select("model", (F.col("accuracy").between(0, 1) & F.col("auc").between(0, 1)).alias("valid"))
 
 
 def grid_search(spark, folder):
-    grid = {"numTrees": [5, 10], "maxDepth": [5, 10], "minInstancesPerNode": [1, 2]}
     df = labelled(spark, folder).select("id", "label", *FEATURES)
-    return classifiers.grid_search(df, FEATURES, grid=grid, folds=3)[0]
+    board = classifiers.grid_search(df, FEATURES)[0]
+    return board.select("parameters", (F.col("rank").isNotNull() & F.col("accuracy").between(0, 1)).alias("valid"))
 
 
 def _risk_model(df: DataFrame, preprocessor=None) -> classifiers.RiskModel:
     return classifiers.fit_risk_model(
         df.filter(F.col("label").isNotNull()), MEASURED + SWITCHES, TEXT_CATEGORIES,
-        preprocessor=preprocessor, sizes=SHORT,
+        preprocessor=preprocessor,
     )
 
 
 def batch_score(spark, folder):
     """Unlabelled rows scored by a forest fitted on the labelled ones."""
     df = patients(spark, folder)
-    return _risk_model(df).score(cleaning.route_by_label(df)[0], "id")
+    scored = _risk_model(df).score(cleaning.route_by_label(df)[0], "id")
+    return scored.select("id", valid_scores().alias("valid"))
 
 
 def model_roundtrip(spark, folder):
@@ -107,29 +121,46 @@ def retrain(spark, folder):
         hit = (F.col("prediction") == F.col("label")).cast("double")
         boards.append(scored.agg(
             F.lit(version).alias("version"), F.lit(registry.facts(version)["mode"]).alias("mode"),
-            F.count(F.lit(1)).alias("rows"), rounded(F.avg(hit)).alias("accuracy"),
+            F.count(F.lit(1)).alias("rows"), F.avg(hit).between(0.5, 1).alias("valid"),
         ))
     return boards[0].unionByName(boards[1]).unionByName(boards[2])
 
 
 def full_analysis(spark, folder):
-    """Clean, split, fit, evaluate and rank the inputs: `(section, name, value)`."""
-    rows = labelled(spark, folder).select("id", "label", *FEATURES)
+    """The whole run: profile, preparation, split, all models, their ranking, the evaluation of the
+    best forest, its inputs by weight, and the stored version: `(section, name, valid)`."""
+    rows = materialize(labelled(spark, folder).select("id", "label", *FEATURES), "prepared")
+    missing = profile.missing_profile(rows.select(*FEATURES)).select(
+        F.lit("missing").alias("section"), F.col("column").alias("name"), (F.col("missing") == 0).alias("valid")
+    )
     split = materialize(sequences.stratified_split(rows, "label", "id"), "split")
-    train = classifiers.with_vectors(spread(split.filter("part = 'train'")), FEATURES)
-    test = classifiers.with_vectors(split.filter("part = 'test'"), FEATURES)
-    forest = classifiers.random_forest(SHORT).fit(train)
+    train, test = spread(split.filter("part = 'train'")), split.filter("part = 'test'")
+    scales = classifiers.fit_scales(train, FEATURES)
+    train = materialize(classifiers.with_vectors(train, FEATURES, scales), "train")
+    test = classifiers.with_vectors(test, FEATURES, scales)
+    made = classifiers.estimators(train.count(), len(FEATURES))
+    ranked, forest = [], None
+    for name, estimator in made.items():
+        fitted = estimator().fit(train)
+        accuracy, auc = classifiers.quality(fitted.transform(test))
+        ranked.append(("ranking", name, 0.5 <= accuracy <= 1 and 0 <= auc <= 1))
+        forest = fitted if name == "random_forest" else forest
     scored = forest.transform(test).select(
         F.col("label").alias("y"), F.col("prediction").cast("int").alias("pred"),
         classifiers.probability_of_one().alias("score"),
     )
-    ranked = classifiers.importance_table(forest, FEATURES, spark).orderBy(F.col("weight").desc(), "feature").limit(10)
     report = metrics.evaluate(scored).select(
-        F.lit("metric").alias("section"), F.col("metric").alias("name"), "value"
+        F.lit("metric").alias("section"), F.col("metric").alias("name"), F.col("value").isNotNull().alias("valid")
+    )
+    weights = classifiers.importance_table(forest, FEATURES, spark).select(
+        F.lit("importance").alias("section"), F.col("feature").alias("name"), F.col("weight").between(0, 1).alias("valid")
     )
-    return report.unionByName(
-        ranked.select(F.lit("importance").alias("section"), F.col("feature").alias("name"), F.col("weight").alias("value"))
+    registry = Registry(spark, new_folder(spark, "registry"))
+    version = registry.save(1, PipelineModel(stages=[forest]), mode="analysis")
+    summary = spark.createDataFrame(
+        [*ranked, ("version", str(version), registry.latest() == version)], "section string, name string, valid boolean"
     )
+    return missing.union(report).union(weights).union(summary)
 
 
 # Forecasts ---------------------------------------------------------------------------------
@@ -140,8 +171,9 @@ def forecast(spark, folder):
     df = tables.series(spark, folder)
     model = forecasting.fit_forecaster(df, "use_kw", STEPS)
     windows = forecasting.training_windows(df, "use_kw", STEPS).filter("held").drop("held")
+    gap = F.abs(F.col("predicted") - F.col("actual"))
     return forecasting.score_windows(model, windows).select(
-        "series_id", "event_id", "actual", "predicted", "error", "error_pct"
+        "series_id", "event_id", "actual", F.coalesce(F.abs(F.col("error") - gap) < 1e-9, F.lit(False)).alias("valid")
     )
 
 
@@ -149,8 +181,8 @@ def _two_runs(spark, folder):
     """First model on the oldest 80 % of each series, second on the whole history."""
     df = tables.series(spark, folder)
     past = sequences.chrono_split(df, 0.2).filter("part = 'train'").drop("part")
-    first = forecasting.fit_forecaster(past, "use_kw", 20)
-    second = forecasting.fit_forecaster(df, "use_kw", 20)
+    first = forecasting.fit_forecaster(past, "use_kw", STEPS)
+    second = forecasting.fit_forecaster(df, "use_kw", STEPS)
     return df, first, second
 
 
@@ -158,16 +190,17 @@ def forecast_retrain(spark, folder):
     """Next reading of every series, by the model before and after the refit."""
     df, first, second = _two_runs(spark, folder)
     registry = Registry(spark, new_folder(spark, "registry"))
-    for version, model in ((1, first), (2, second)):
+    versions = {v: m for v, m in ((1, first), (2, second)) if m is not None}
+    for version, model in versions.items():
         registry.save(version, model.stages, steps=model.steps, scale=list(model.scale))
-    newest = sequences.latest_sequence(df, "use_kw", 20)
+    newest = sequences.latest_sequence(df, "use_kw", STEPS)
     out = None
-    for version in (1, 2):
+    for version in versions:
         stages, _ = registry.load(version)
         facts = registry.facts(version)
         model = forecasting.Forecaster(facts["steps"], tuple(facts["scale"]), stages, {})
         part = model.predict(newest).select(
-            "series_id", "event_id", F.lit(version).alias("version"), "predicted"
+            "series_id", "event_id", F.lit(version).alias("version"), F.col("predicted").isNotNull().alias("valid")
         )
         out = part if out is None else out.unionByName(part)
     return out
@@ -177,9 +210,11 @@ def training_history(spark, folder):
     _, first, second = _two_runs(spark, folder)
     target = new_folder(spark, "history")
     for run, model in ((1, first), (2, second)):
+        if model is None:  # no window in so short a past
+            continue
         logs.append_batch(forecasting.training_runs(spark, [model.run]), target, run)
     return logs.read_log(spark, target).select(
-        F.col("batch_id").alias("run"), "samples", "final_loss", "final_val_loss", "timestamp"
+        F.col("batch_id").alias("run"), "samples", F.col("final_loss").between(0, 1e9).alias("valid")
     )
 
 

@@ -575,3 +575,49 @@ ORACLES["report"] = (
     f" FROM ({SCORED}) s CROSS JOIN (VALUES (0), (1)) v(p) GROUP BY y, p"
 )
 ORACLES["stream_sequence"] = ORACLES["sliding_sequence"]
+
+
+# Models have no SQL form; their queries tell what SQL can: which rows get a result, whether it is
+# valid, and whether a model beats the majority class.
+_TEST_ROWS = (
+    "SELECT id, label FROM (SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR)), id) AS rn,"
+    " count(*) OVER (PARTITION BY label) AS n FROM labelled) t WHERE rn <= ceil(n * 0.2)"
+)
+MODELS = [
+    "random_forest", "gradient_boosting", "logistic_regression", "rbf_svc", "knn", "naive_bayes", "decision_tree", "mlp",
+]
+for _query in ("rf", "gbt", "logreg", "rbf_svc", "dtree", "nb", "mlp", "knn"):
+    ORACLES[f"{_query}_scores"] = over("patients", more={"labelled": LABELLED, "test": _TEST_ROWS}, select=(
+        "SELECT id, label, TRUE AS valid, CAST(NULL AS BOOLEAN) AS beats_majority FROM test UNION ALL SELECT NULL, NULL, NULL, TRUE"))
+ORACLES["compare_models"] = union_all(f"SELECT '{m}' AS model, TRUE AS valid" for m in MODELS)
+ORACLES["grid_search"] = union_all(
+    f"SELECT 'numTrees={t}, maxDepth={d}, minInstancesPerNode={m}, featureSubsetStrategy=sqrt' AS parameters, TRUE AS valid"
+    for t in (50, 100) for d in (30, 10) for m in (1, 2))
+ORACLES["batch_score"] = over("patients", select="SELECT id, TRUE AS valid FROM patients WHERE num IS NULL")
+ORACLES["stream_score"] = over("patients", select="SELECT id, 1 AS model_version, TRUE AS valid FROM patients WHERE num IS NULL")
+ORACLES["model_roundtrip"] = over("patients", select="SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM patients")
+ORACLES["retrain"] = over("patients", select=union_all(
+    f"SELECT {v} AS version, '{mode}' AS mode, count(*) AS rows, TRUE AS valid FROM patients WHERE num IS NOT NULL"
+    for v, mode in ((1, "initial"), (2, "retrain"), (3, "incremental"))))
+ORACLES["stream_models"] = "SELECT 1 AS version, 'initial' AS mode UNION ALL SELECT 2, 'retrain'"
+ORACLES["full_analysis"] = (
+    union_all(f"SELECT 'missing' AS section, '{c}' AS name, TRUE AS valid" for c in [*FEATURES, *ENGINEERED])
+    + f"\nUNION ALL SELECT 'metric', metric, TRUE FROM ({_evaluate()}) e\nUNION ALL\n"
+    + union_all(f"SELECT 'importance', '{c}', TRUE" for c in [*FEATURES, *ENGINEERED])
+    + "\nUNION ALL\n" + union_all(f"SELECT 'ranking', '{m}', TRUE" for m in MODELS)
+    + "\nUNION ALL SELECT 'version', '1', TRUE"
+)
+ORACLES["forecast"] = over("series", more={"pos": POSITIONS}, select=(
+    "SELECT series_id, event_id, use_kw AS actual, TRUE AS valid FROM pos WHERE rn > 60 AND rn > n - ceil((n - 60) * 0.2)"))
+_PAST = "SELECT series_id, CAST(n - ceil(n * 0.2) AS BIGINT) AS n FROM pos WHERE rn = 1"
+_RUNS = " UNION ALL ".join(
+    f"SELECT {run} AS run, CAST(sum(greatest(n - 60 - ceil((n - 60) * 0.2), 0)) AS BIGINT) AS samples FROM {source}"
+    for run, source in ((1, "past"), (2, "whole")))
+ORACLES["training_history"] = over("series", more={
+    "pos": POSITIONS, "past": _PAST, "whole": "SELECT series_id, n FROM pos WHERE rn = 1", "runs": _RUNS,
+}, select="SELECT run, samples, TRUE AS valid FROM runs WHERE samples > 0")
+ORACLES["forecast_retrain"] = over("series", more={
+    "pos": POSITIONS, "past": _PAST, "whole": "SELECT series_id, n FROM pos WHERE rn = 1", "runs": _RUNS,
+}, select=(
+    "SELECT p.series_id, p.event_id, r.run AS version, TRUE AS valid FROM pos p CROSS JOIN runs r"
+    " WHERE p.rn = p.n AND p.n >= 60 AND r.samples > 0"))

@@ -14,8 +14,8 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from vitalgrid.functions.scoring import absolute_error, percent_error
 from vitalgrid.operators import metrics
-from vitalgrid.operators.classifiers import Sizes
 from vitalgrid.plans.energy import forecasts, sequence_text
+from vitalgrid.plans.learning import valid_scores
 from vitalgrid.session import new_folder
 from vitalgrid.sources import messages, tables
 from vitalgrid.streaming import logs, runtime
@@ -23,8 +23,8 @@ from vitalgrid.streaming.clinical import ClinicalStream, initial_training
 from vitalgrid.streaming.energy import EnergyStream
 
 SLICES = 2
+FORECAST_SLICES = 10
 STEPS = 60
-FEW_TREES = Sizes(trees=10)
 
 READING = StructType([
     StructField("series_id", LongType()), StructField("event_id", LongType()),
@@ -37,14 +37,14 @@ FORECAST = StructType([
 ])
 
 
-def in_slices(df: DataFrame, order: str) -> list[DataFrame]:
-    """The table in `SLICES` parts along an order column."""
+def in_slices(df: DataFrame, order: str, slices: int = SLICES) -> list[DataFrame]:
+    """The table in `slices` parts along an order column; rows without an order come first."""
     cuts = df.agg(
-        F.percentile_approx(order, [i / SLICES for i in range(1, SLICES)], 1000).alias("cuts")
+        F.percentile_approx(order, [i / slices for i in range(1, slices)], 1000).alias("cuts")
     ).first()["cuts"]
-    part = sum((F.col(order) > F.lit(cut)).cast("int") for cut in cuts)
+    part = sum(F.coalesce((F.col(order) > F.lit(cut)).cast("int"), F.lit(0)) for cut in cuts)
     sliced = df.withColumn("_slice", part)
-    return [sliced.filter(F.col("_slice") == i).drop("_slice") for i in range(SLICES)]
+    return [sliced.filter(F.col("_slice") == i).drop("_slice") for i in range(slices)]
 
 
 def publish_and_drain(
@@ -55,9 +55,9 @@ def publish_and_drain(
         drain(messages.message_stream(spark, topic, kind="files"))
 
 
-def _meter_messages(spark, folder, order="time_us") -> list[DataFrame]:
+def _meter_messages(spark, folder, slices) -> list[DataFrame]:
     df = tables.series(spark, folder).withColumn("time_us", F.unix_micros("time")).select(*READING.names)
-    return [messages.encode_messages(part, F.col("event_id")) for part in in_slices(df, order)]
+    return [messages.encode_messages(part, F.col("event_id")) for part in in_slices(df, "time_us", slices)]
 
 
 def _readings(stream: DataFrame) -> DataFrame:
@@ -65,11 +65,11 @@ def _readings(stream: DataFrame) -> DataFrame:
     return good.withColumn("time", F.timestamp_micros("time_us")).drop("time_us")
 
 
-def _run(spark, folder, handle, parse=_readings, mode="append") -> None:
+def _run(spark, folder, handle, parse=_readings, mode="append", slices=SLICES) -> None:
     """Publishes the meter series and drains it through a handler."""
     checkpoint, topic = new_folder(spark, "checkpoint"), new_folder(spark, "topic")
     publish_and_drain(
-        spark, _meter_messages(spark, folder), topic,
+        spark, _meter_messages(spark, folder, slices), topic,
         lambda stream: runtime.drain(parse(stream), handle, checkpoint, mode),
     )
 
@@ -106,9 +106,10 @@ def stream_sequence(spark, folder):
 
 def stream_forecast(spark, folder):
     energy = EnergyStream(
-        spark, new_folder(spark, "energy"), steps=20, keep=30, high=100.0, medium=50.0
+        spark, new_folder(spark, "energy"), steps=STEPS, high=100.0, medium=50.0
     )
-    _run(spark, folder, energy.forecast_batch)
+    # Many small batches: the first ones stay cold, as no series has a full window yet.
+    _run(spark, folder, energy.forecast_batch, slices=FORECAST_SLICES)
     return energy.read("predictions").select(
         "series_id", "event_id", "clock", "actual", "predicted", "error", "error_pct", "tier",
         "model_version",
@@ -169,11 +170,11 @@ def dual_stream(spark, folder):
 
 def stream_score(spark, folder):
     """Unlabelled rows scored on the stream by a forest fitted on the labelled table."""
-    clinical = ClinicalStream(spark, new_folder(spark, "clinical"), sizes=FEW_TREES)
+    clinical = ClinicalStream(spark, new_folder(spark, "clinical"))
     rows = messages.decode_clinical(
         messages.encode_messages(tables.patients(spark, folder).drop("dataset"), F.col("id"))
     ).drop(messages.CORRUPT)
-    initial_training(spark, rows.filter("num is not null"), clinical.registry, FEW_TREES)
+    initial_training(spark, rows.filter("num is not null"), clinical.registry)
 
     def score(stream):
         good = messages.split_corrupt(clinical.parse(stream))[0]
@@ -182,11 +183,11 @@ def stream_score(spark, folder):
         )
 
     publish_and_drain(spark, _clinical_messages(spark, folder), new_folder(spark, "topic"), score)
-    return clinical.read("predictions").drop("batch_id")
+    return clinical.read("predictions").select("id", "model_version", valid_scores().alias("valid"))
 
 
 def _trained(spark, folder) -> ClinicalStream:
-    clinical = ClinicalStream(spark, new_folder(spark, "clinical"), sizes=FEW_TREES)
+    clinical = ClinicalStream(spark, new_folder(spark, "clinical"))
 
     def train(stream):
         good = messages.split_corrupt(clinical.parse(stream))[0]

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +23,9 @@ from vitalgrid.schemas import TEXT_CATEGORIES
 from vitalgrid.sources.messages import decode_clinical, split_corrupt
 from vitalgrid.streaming import logs, runtime
 
+# What a fit raises over its rows. Anything else (a lost executor, a full disk) fails the batch,
+# which is then repeated.
+DATA_ERRORS = (ValueError, IllegalArgumentException)
 NUMERIC = ["age", "trestbps", "chol", "fbs", "thalch", "exang", "oldpeak", "ca"]
 
 
@@ -75,6 +79,14 @@ class ClinicalStream:
     # Scoring ---------------------------------------------------------------------------------
 
     def score_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """Holds the batch, which several writes read, and scores it."""
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._score(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _score(self, batch: DataFrame, batch_id: int) -> None:
         """Scores the batch and rows that arrived before there was a model.
 
         Without a model the rows wait in `pending`. The newest complete version is read once per
@@ -109,6 +121,14 @@ class ClinicalStream:
         return last["blocks"], logs.read_batch(self.spark, self.table("remainder"), last["batch_id"])
 
     def train_batch(self, batch: DataFrame, batch_id: int) -> None:
+        """Holds the batch, which counts and writes read, and trains on its full blocks."""
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._train(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _train(self, batch: DataFrame, batch_id: int) -> None:
         """Cuts the new rows, with the rest of the last batch in front, into full blocks, and
         refits on them; rows that fill no block wait.
 
@@ -153,7 +173,7 @@ class ClinicalStream:
                 model = fit_risk_model(
                     rows, NUMERIC, TEXT_CATEGORIES, preprocessor=preprocessor, sizes=self.sizes
                 )
-        except Exception as error:  # the stream goes on with the version it has
+        except DATA_ERRORS as error:  # the stream goes on with the version it has
             logs.append_batch(
                 fresh.drop("batch_id").withColumn("reason", F.lit(str(error)[:500])),
                 self.table("failed_blocks"), batch_id,

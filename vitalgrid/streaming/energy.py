@@ -32,7 +32,7 @@ class EnergyStream:
     value: str = "use_kw"
     steps: int = 60
     keep: int = 70
-    first_fit: int = 160
+    first_windows: int = 100
     refit_every: int = 100
     high: float = 1.5
     medium: float = 1.0
@@ -100,6 +100,8 @@ class EnergyStream:
 
     def _publish(self, history: DataFrame, version: int, batch_id: int) -> None:
         model = fit_forecaster(history, self.value, self.steps, self.kind)
+        if model is None:
+            return
         logs.append_batch(
             training_runs(self.spark, [model.run]).drop("run"), self.table("runs"), version
         )
@@ -110,16 +112,19 @@ class EnergyStream:
     def forecast_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Forecasts every reading of the batch from the readings before it, then refits.
 
-        There is no forecast until `first_fit` rows came in; the model is then fitted on them.
-        Later it is refitted on the whole history once per batch that completes another
+        There is no forecast until `first_windows` readings had a full window before them (of one
+        series that is `steps + first_windows` rows); the model is then fitted on all so far, and
+        not before: many short series hold no window at all. Later it is refitted on the whole history once per batch that completes another
         `refit_every` forecasts.
         """
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             logs.append_batch(batch, self.table("history"), batch_id)
             version = self.registry.latest(before=batch_id + 1)
+            windows = self.windows(batch, batch_id, True)
+            completed = windows.count() if version is None else 0
             if version is not None:
-                scored = score_windows(self.load(version), self.windows(batch, batch_id, True))
+                scored = score_windows(self.load(version), windows)
                 logs.append_batch(
                     scored.withColumns({
                         "clock": clock_text(F.unix_seconds("time")),
@@ -129,21 +134,21 @@ class EnergyStream:
                     self.table("predictions"), batch_id,
                 )
             self.store_tail(batch, batch_id)
-            self._refit(batch, batch_id, version)
+            self._refit(completed, batch_id, version)
         finally:
             batch.unpersist()
 
-    def _refit(self, batch: DataFrame, batch_id: int, version: int | None) -> None:
+    def _refit(self, completed: int, batch_id: int, version: int | None) -> None:
         """Counters of the batch before decide; they are stored after the model, so that a
         repeated batch decides the same."""
         before = logs.state_before(self.spark, self.table("progress"), batch_id)
-        rows = (before["rows"] if before else 0) + batch.count()
+        windows = (before["windows"] if before else 0) + completed
         earlier = before["predictions"] if before else 0
         made = 0
         if version is not None:
             made = logs.read_batch(self.spark, self.table("predictions"), batch_id).count()
         if version is None:
-            due = rows >= self.first_fit
+            due = windows >= self.first_windows
         else:
             due = (earlier + made) // self.refit_every > earlier // self.refit_every
         if due:
@@ -151,7 +156,7 @@ class EnergyStream:
             past = past.filter(F.col("batch_id") <= batch_id).drop("batch_id")
             self._publish(past, batch_id + 1, batch_id)
         state = self.spark.range(1).select(
-            F.lit(rows).cast("bigint").alias("rows"),
+            F.lit(windows).cast("bigint").alias("windows"),
             F.lit(earlier + made).cast("bigint").alias("predictions"),
         )
         logs.append_batch(state, self.table("progress"), batch_id)

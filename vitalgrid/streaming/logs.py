@@ -16,18 +16,27 @@ def read_log(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*")
 
 
+def _nothing_there(error: AnalysisException) -> bool:
+    """Whether a read failed because nothing was written yet; any other failure is one."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_log_or_none(spark: SparkSession, folder: str) -> DataFrame | None:
     try:
         return read_log(spark, folder)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if _nothing_there(error):
+            return None
+        raise
 
 
 def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
     try:
         return spark.read.parquet(f"{folder}/batch_id={int(batch_id)}")
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if _nothing_there(error):
+            return None
+        raise
 
 
 def state_before(spark: SparkSession, folder: str, batch_id: int) -> Row | None:
