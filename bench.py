@@ -26,7 +26,13 @@ HEADLINE = [
     "roc_auc", "pr_curve", "prob_histogram", "evaluate", "topk_others", "knn_classify",
 ]
 # Fits and streams: one run each.
-SINGLE = ["rf_scores", "forecast", "stream_sequence", "stream_forecast"]
+SINGLE = ["rf_scores", "forecast", "energy_forecast", "stream_sequence", "stream_score", "stream_forecast"]
+
+# The table that a query reads, where it is not the orders that stand for patients.
+TABLE_OF = {name: "events" for name in (
+    "sliding_sequence", "next_step_target", "latest_sequence", "chrono_split", "forecast_metrics", "series_stats",
+    "forecast", "energy_forecast", "stream_sequence", "stream_forecast",
+)} | {"knn_classify": "embeddings"}
 
 
 def run(spark, query, folder) -> float:
@@ -53,10 +59,13 @@ def main() -> None:
         )
     for name in SINGLE:
         seconds[name] = round(run(spark, queries[name], folder), 3)
+    rows = {name: spark.read.parquet(f"{folder}/{name}.parquet").count() for name in ("orders", "events", "embeddings")}
+    read = {name: rows[TABLE_OF.get(name, "orders")] for name in seconds}
     spark.stop()
     print(json.dumps({
         "metric": "sum of median query times", "value": round(sum(seconds.values()), 3),
-        "unit": "sec", "queries": seconds, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "unit": "sec", "queries": seconds,
+        "rows_per_second": {name: round(read[name] / s) for name, s in seconds.items() if s}, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
     }))
 
 

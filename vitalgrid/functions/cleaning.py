@@ -98,10 +98,6 @@ def select_features(df: DataFrame, wanted: Sequence[str], keep: Sequence[str] =
     )
 
 
-def available(df: DataFrame, wanted: Sequence[str]) -> list[str]:
-    return [name for name in wanted if name in df.columns]
-
-
 def validate(df: DataFrame) -> DataFrame:
     """Category codes, numeric coercion and valid ranges in one projection chain."""
     measured = [c for c in CLINICAL_FEATURES if c not in CATEGORY_CODES]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,12 +23,20 @@ def hash_unit(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**31) - 1.0
 
 
+def hash_normal(*parts: Column) -> Column:
+    """Repeatable standard normal number (Box and Muller) from two md5 digests."""
+    u = (hash_unit(*parts, F.lit("u")) + 1) / 2
+    v = (hash_unit(*parts, F.lit("v")) + 1) / 2
+    return F.sqrt(-2 * F.log(1 - u)) * F.cos(2 * math.pi * v)
+
+
 def _jitter(columns: Sequence[str], identifier: str, scale: Column, seed: int | None) -> dict[str, Column]:
-    """Relative jitter per column, floor 0: md5-driven, or normal where a seed is given."""
+    """Relative jitter per column, floor 0: even, or normal where a seed is given. Both come from
+    md5, so a repeated batch gets the same rows however it is dealt out."""
     def noise(i, c):
         if seed is None:
             return hash_unit(F.col(identifier), F.lit(c), F.col("copy"))
-        return F.randn(seed + i)
+        return hash_normal(F.lit(seed), F.col(identifier), F.lit(c), F.col("copy"))
 
     return {
         c: F.greatest(F.lit(0.0), F.col(c) * (1.0 + scale * noise(i, c)))

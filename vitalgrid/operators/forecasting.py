@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.scoring import absolute_error, percent_error
@@ -22,16 +22,17 @@ PREDICTION = "scaled_prediction"
 
 @dataclass
 class Forecaster:
-    """Scale of the target and the regression on scaled lags."""
+    """Scales and the regression on scaled lags: of the target alone, or of several columns."""
 
     steps: int
     scale: tuple[float, float]
     stages: PipelineModel
     run: dict
+    columns: dict[str, tuple[float, float]] = field(default_factory=dict)
 
     def predict(self, windows: DataFrame, sequence: str = "sequence") -> DataFrame:
         """Adds `predicted` in the target's own unit to rows with a window of raw readings."""
-        inputs = F.transform(sequence, lambda x: scaled(x, self.scale))
+        inputs = scaled_lags(sequence, self.scale, self.columns)
         ready = windows.withColumn("features", array_to_vector(inputs))
         return (
             self.stages.transform(ready)
@@ -40,6 +41,21 @@ class Forecaster:
         )
 
 
+def readings(value: str, columns: Sequence[str] = ()) -> Column:
+    """What a window holds of each row: the value, or several columns as an array."""
+    if not columns:
+        return F.col(f"`{value}`")
+    return F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+
+
+def scaled_lags(sequence: str, scale, columns: Mapping[str, tuple[float, float]]) -> Column:
+    if not columns:
+        return F.transform(sequence, lambda x: scaled(x, scale))
+    return F.flatten(F.transform(sequence, lambda x: F.array(*[
+        scaled(x[i], each) for i, each in enumerate(columns.values())
+    ])))
+
+
 def _regression(kind: str, rounds: int):
     if kind == "linear":
         return LinearRegression(
@@ -53,14 +69,16 @@ def _regression(kind: str, rounds: int):
     )
 
 
-def training_windows(df: DataFrame, value: str, steps: int, share: float = 0.2, **how) -> DataFrame:
+def training_windows(
+    df: DataFrame, value: str, steps: int, share: float = 0.2, columns: Sequence[str] = (), **how
+) -> DataFrame:
     """Windows with their target, and `held` for the last `share` of each series' windows.
 
     The rows are numbered while they are narrow: a series of n rows has n - steps windows.
     """
     held = F.col("position") > F.col("group_rows") - F.ceil((F.col("group_rows") - steps) * F.lit(share))
     marked = series_positions(df, **how).withColumn("held", held).drop("position", "group_rows")
-    return sliding_sequence(marked, value, steps, with_target=True, **how)
+    return sliding_sequence(marked, readings(value, columns), steps, with_target=True, target=value, **how)
 
 
 def mean_squared(df: DataFrame, actual: str, predicted: str) -> float | None:
@@ -75,14 +93,16 @@ def fit_forecaster(
     kind: str = "linear",
     rounds: int = 30,
     share: float = 0.2,
+    columns: Sequence[str] = (),
 ) -> Forecaster | None:
     """One regression pooled over all series; the newest `share` of each series is held out.
 
     None if no window is left to train on: no series has `steps` rows and a next one yet.
     """
-    scale = collect_scale(fit_scale(df, [value]))[value]
-    windows = training_windows(df, value, steps, share).select("sequence", "target", "held")
-    inputs = F.transform("sequence", lambda x: scaled(x, scale))
+    scales = collect_scale(fit_scale(df, list(dict.fromkeys([value, *columns]))))
+    scale, lagged = scales[value], {c: scales[c] for c in columns}
+    windows = training_windows(df, value, steps, share, columns).select("sequence", "target", "held")
+    inputs = scaled_lags("sequence", scale, lagged)
     # The fit and both losses read the windows; they are written once, to the shared folder.
     ready = spread(materialize(windows.select(
         array_to_vector(inputs).alias("features"),
@@ -99,7 +119,7 @@ def fit_forecaster(
         "final_loss": mean_squared(fitted.filter(~F.col("held")), "scaled_target", PREDICTION),
         "final_val_loss": mean_squared(fitted.filter("held"), "scaled_target", PREDICTION),
     }
-    return Forecaster(steps, scale, stages, run)
+    return Forecaster(steps, scale, stages, run, lagged)
 
 
 def score_windows(model: Forecaster, windows: DataFrame) -> DataFrame:

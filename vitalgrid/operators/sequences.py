@@ -29,11 +29,12 @@ def sliding_sequence(
     order: str = TIME,
     tie: str = TIE,
     rows_per_chunk: int | None = None,
+    target: str | None = None,
 ) -> DataFrame:
     """One row per full window of `steps` rows, with the values in order in `sequence`.
 
     Without a target a window ends at its row. With one it ends at the row before, and the row's
-    own value is the `target`; a window that no row follows is left out.
+    own value (or its column `target`) is the `target`; a window that no row follows is left out.
     """
     value = F.col(values) if isinstance(values, str) else values
     rows = row_window(df, group, order, tie, steps, rows_per_chunk)
@@ -45,7 +46,7 @@ def sliding_sequence(
     )
     result = rows.frame.withColumn("sequence", sequence)
     if with_target:
-        result = result.withColumn("target", value)
+        result = result.withColumn("target", F.col(f"`{target}`") if target else value)
     return result.filter(rows.own & (F.size("sequence") == steps)).drop(*rows.helpers)
 
 

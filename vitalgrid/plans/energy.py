@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from vitalgrid.functions.columns import rounded
 from vitalgrid.functions.scoring import absolute_error, alert_tier as alert, clock_text, percent_error
 from vitalgrid.operators import metrics, sequences
+from vitalgrid.operators.forecasting import fit_forecaster, readings, score_windows, training_windows
+from vitalgrid.schemas import ENERGY_EVENT, ENERGY_FEATURES, ENERGY_TARGET, METERS
 from vitalgrid.session import new_folder
 from vitalgrid.sources import messages, tables
 from vitalgrid.streaming import logs
@@ -93,6 +95,50 @@ def bounded_history(spark, folder):
     )
 
 
+def energy_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The series as decoded energy events: eight meters and four weather columns a reading, sent
+    and read back as keyed JSON."""
+    use = F.col("use_kw")
+    meters = [use.alias(ENERGY_TARGET)] + [
+        (use * (i / 10)).alias(name) for i, name in enumerate(METERS[1:8], 1)
+    ]
+    df = tables.series(spark, folder).select("series_id", "event_id", "time", *meters, "data_type")
+    sent = messages.derive_weather(df, ENERGY_TARGET).withColumn("micros", F.unix_micros("time"))
+    key = F.concat_ws(":", "series_id", "event_id", "micros")
+    sent = sent.withColumn("time", F.unix_seconds("time"))
+    names = [f.name for f in ENERGY_EVENT.fields if f.name in sent.columns]
+    read, _ = messages.split_corrupt(
+        messages.decode_json(messages.encode_messages(sent, key, names), ENERGY_EVENT, ["key"])
+    )
+    ids = F.split(F.col("key"), ":")
+    return read.withColumns({
+        "series_id": ids[0].cast("bigint"), "event_id": ids[1].cast("bigint"),
+        "time": F.timestamp_micros(ids[2].cast("bigint")),
+    }).drop("key")
+
+
+def energy_windows(spark, folder):
+    """Windows over the twelve columns of an energy event, with the next load as the target."""
+    windows = sequences.sliding_sequence(
+        energy_feed(spark, folder), readings(ENERGY_TARGET, ENERGY_FEATURES), STEPS, with_target=True,
+        target=ENERGY_TARGET,
+    )
+    return windows.select(
+        "series_id", "event_id", sequence_text(F.flatten("sequence")).alias("sequence"), "target"
+    )
+
+
+def energy_forecast(spark, folder):
+    """Held-out forecasts of the load from the twelve columns of the last 60 events."""
+    df = energy_feed(spark, folder)
+    model = fit_forecaster(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES)
+    windows = training_windows(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES).filter("held").drop("held")
+    gap = F.abs(F.col("predicted") - F.col("actual"))
+    return score_windows(model, windows).select(
+        "series_id", "event_id", "actual", F.coalesce(F.abs(F.col("error") - gap) < 1e-9, F.lit(False)).alias("valid")
+    )
+
+
 def retrain_marks(spark, folder):
     """Every 100th forecast of a feed."""
     marks = sequences.retrain_marks(forecasts(spark, folder), 100, group=["data_type"])
@@ -158,6 +204,6 @@ QUERIES = {
         tail_n, filter_type, derive_weather, epoch_format, downsample, sliding_sequence,
         next_step_target, latest_sequence, bounded_history, retrain_marks, chrono_split, recent_k,
         forecast_baseline, forecast_error, forecast_metrics, series_stats, alert_tier,
-        cold_start_gate, prediction_log,
+        cold_start_gate, prediction_log, energy_windows, energy_forecast,
     )
 }

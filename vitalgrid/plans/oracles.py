@@ -621,3 +621,12 @@ ORACLES["forecast_retrain"] = over("series", more={
 }, select=(
     "SELECT p.series_id, p.event_id, r.run AS version, TRUE AS valid FROM pos p CROSS JOIN runs r"
     " WHERE p.rn = p.n AND p.n >= 60 AND r.samples > 0"))
+ORACLES["energy_forecast"] = ORACLES["forecast"]
+_EVENT = (
+    "[use_kw, " + ", ".join(f"use_kw * CAST({i / 10} AS DOUBLE)" for i in range(1, 8))
+    + ", 20.0 + use_kw * 5, 60.0 + use_kw * 10, 1013.0 + use_kw * 2, 5.0 + use_kw * 3]"
+)
+ORACLES["energy_windows"] = over("series", more={
+    "pos": POSITIONS,
+    "w": f"SELECT series_id, event_id, rn, use_kw, list({_EVENT}) OVER (PARTITION BY series_id ORDER BY time, event_id ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS s FROM pos",
+}, select=f"SELECT series_id, event_id, {sequence_text('flatten(s)')} AS sequence, use_kw AS target FROM w WHERE rn > 60")

@@ -117,10 +117,3 @@ VALID_RANGES = {
 
 # Defect codes of an older coding scheme.
 THAL_RECODE = {1: 6, 2: 7}
-
-PREDICTION = _struct(
-    ("prediction", IntegerType),
-    ("probability_no_disease", DoubleType),
-    ("probability_disease", DoubleType),
-    ("risk_level", StringType),
-)

@@ -12,6 +12,7 @@ from vitalgrid.functions.scoring import alert_tier, clock_text
 from vitalgrid.operators.forecasting import (
     Forecaster,
     fit_forecaster,
+    readings,
     score_windows,
     training_runs,
 )
@@ -30,6 +31,7 @@ class EnergyStream:
     spark: SparkSession
     folder: str
     value: str = "use_kw"
+    columns: tuple[str, ...] = ()
     steps: int = 60
     keep: int = 70
     first_windows: int = 100
@@ -71,7 +73,9 @@ class EnergyStream:
         if tail is not None:
             touched = tail.join(batch.select("series_id").distinct(), "series_id", "left_semi")
             rows = fresh.unionByName(touched.withColumn("_fresh", F.lit(False)))
-        found = sliding_sequence(rows, self.value, self.steps, with_target)
+        found = sliding_sequence(
+            rows, readings(self.value, self.columns), self.steps, with_target, target=self.value
+        )
         return found.filter("_fresh").drop("_fresh")
 
     def store_tail(self, batch: DataFrame, batch_id: int) -> None:
@@ -96,17 +100,19 @@ class EnergyStream:
     def load(self, version: int) -> Forecaster:
         stages, _ = self.registry.load(version)
         facts = self.registry.facts(version)
-        return Forecaster(facts["steps"], tuple(facts["scale"]), stages, {})
+        columns = {name: tuple(scale) for name, scale in facts["columns"]}
+        return Forecaster(facts["steps"], tuple(facts["scale"]), stages, {}, columns)
 
     def _publish(self, history: DataFrame, version: int, batch_id: int) -> None:
-        model = fit_forecaster(history, self.value, self.steps, self.kind)
+        model = fit_forecaster(history, self.value, self.steps, self.kind, columns=self.columns)
         if model is None:
             return
         logs.append_batch(
             training_runs(self.spark, [model.run]).drop("run"), self.table("runs"), version
         )
         self.registry.save(
-            version, model.stages, steps=model.steps, scale=list(model.scale), batch_id=batch_id
+            version, model.stages, steps=model.steps, scale=list(model.scale), batch_id=batch_id,
+            columns=[[name, list(scale)] for name, scale in model.columns.items()],
         )
 
     def forecast_batch(self, batch: DataFrame, batch_id: int) -> None:
