@@ -38,7 +38,7 @@ END = 1
 #: Share of the waiting pieces that fit one place of a large gap.
 PLACE_SHARE = 0.8
 ROUNDS_PER_LENGTH = 2
-SHORTEST_STEP = 16
+SHORTEST_STEP = 64
 
 
 def pieces(documents: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
@@ -70,20 +70,13 @@ def _sorted(rows: DataFrame, size: str, key: list[str], label: str) -> DataFrame
     )
 
 
-def _ranked(stored: DataFrame, size: str, capacity: int):
-    """The stored rows with their rank within their size, and the number of rows of each size.
+def _runs(stored: DataFrame, size: str) -> list[tuple[int, int, int, int]]:
+    """(partition, size, number of rows, first position) of the runs of equal sizes in a sorted table.
 
     A size spans neighbouring partitions, so there are at most as many runs as partitions and sizes.
     """
-    runs = stored.groupBy("part", size).agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()
-    counts, shifts = np.zeros(capacity + 1, np.int64), []
-    for run in sorted(runs, key=lambda r: (r[size], r["part"])):
-        shifts.append((run["part"], run[size], int(counts[run[size]]) - run["first"]))
-        counts[run[size]] += run["n"]
-    spark = stored.sparkSession
-    table = spark.createDataFrame(shifts, f"part int, {size} long, shift long")
-    ranked = stored.join(F.broadcast(table), ["part", size]).withColumn("rank", F.col("at") + F.col("shift"))
-    return ranked.drop("part", "at", "shift"), counts
+    runs = stored.groupBy("part", size).agg(F.count("*"), F.min("at")).collect()
+    return sorted(map(tuple, runs), key=lambda r: (r[1], r[0]))
 
 
 def successors(waiting: np.ndarray, places: np.ndarray):
@@ -120,8 +113,13 @@ def pack(documents: DataFrame, vocabulary: str | None = None, capacity: int = CA
         *cut.columns, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     stored = _sorted(cut.where(F.col("length") < capacity), "length", ["row"], "sorted")
-    ranked, waiting = _ranked(stored, "length", capacity)
-    placed = _rounds(spark, materialize(ranked, "ranked"), waiting, capacity)
+    waiting, shifts = np.zeros(capacity + 1, np.int64), []
+    for part, length, n, first in _runs(stored, "length"):
+        shifts.append((part, length, int(waiting[length]) - first))
+        waiting[length] += n
+    table = spark.createDataFrame(shifts, "part int, length long, shift long")
+    ranked = stored.join(F.broadcast(table), ["part", "length"]).withColumn("rank", F.col("at") + F.col("shift"))
+    placed = _rounds(spark, ranked.drop("part", "at", "shift"), waiting, capacity)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     if placed is None:
         return full.select(columns)
@@ -135,64 +133,85 @@ def _rounds(spark, ranked: DataFrame, counts: np.ndarray, capacity: int) -> Data
     """Rounds until every piece has a sequence; `counts` says how many pieces of each length wait."""
     waiting, taken = counts.copy(), np.zeros_like(counts)
     lengths = np.arange(capacity + 1)
-    opened = 0
-    gaps, largest = None, 0
-    rounds: list[DataFrame] = []
+    gaps, runs, opened = None, [], 0
     above, tries = capacity // 2, 0
+    placed, number = None, 0
     while waiting.any():
         active = np.where(lengths > above, waiting, 0)
         if active.any():
-            beyond = np.where(lengths > largest, active, 0)
             if gaps is None:
                 more = max(-(-int(waiting @ lengths) // capacity), int(waiting[capacity // 2 + 1:].sum()))
             else:
+                beyond = np.where(lengths > max((gap for _, gap, _, _ in runs), default=0), active, 0)
                 more = -(-int(beyond @ lengths) // capacity)
             if more:
                 fresh = spark.range(opened, opened + more).select(
-                    F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap")
+                    F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"),
+                    F.lit(-1).alias("part"), F.col("id").alias("at"),
                 )
-                gaps, opened = fresh if gaps is None else gaps.union(fresh), opened + more
-            rounds.append(_round(spark, ranked, gaps, active, taken, len(rounds), capacity))
-            done = dict(rounds[-1].groupBy("length").count().collect())
-            for length, n in done.items():
-                waiting[length] -= n
-                taken[length] += n
-            gaps = materialize(
-                gaps.union(rounds[-1].select("sequence_id", -F.col("length")))
-                .groupBy("sequence_id").agg(F.sum("gap").alias("gap")), "gaps",
-            )
-            largest = gaps.agg(F.coalesce(F.max("gap"), F.lit(0))).first()[0]
+                gaps = fresh if gaps is None else gaps.union(fresh)
+                runs.append((-1, capacity, more, opened))
+                opened += more
+            found, done = _round(spark, ranked, gaps, runs, active, taken, number, capacity)
+            placed, number = found if placed is None else placed.union(found), number + 1
+            waiting, taken = waiting - done, taken + done
+            if waiting.any():
+                left = gaps.select("sequence_id", "gap").union(found.select("sequence_id", -F.col("length")))
+                # A gap that is too small for every piece that waits is done with.
+                left = left.groupBy("sequence_id").agg(F.sum("gap").alias("gap")).where(
+                    F.col("gap") >= int(np.flatnonzero(waiting)[0])
+                )
+                gaps = _sorted(left, "gap", ["sequence_id"], "gaps")
+                runs = _runs(gaps, "gap")
         tries += 1
         if tries >= ROUNDS_PER_LENGTH or not active.any():
             above, tries = (above // 2 if above > SHORTEST_STEP else 0), 0
-    placed = None
-    for part in rounds:
-        placed = part if placed is None else placed.union(part)
     return placed
 
 
-def _round(spark, ranked, gaps, active, taken, number: int, capacity: int) -> DataFrame:
-    """The pieces that find a place in this round, with their sequence."""
+def _round(spark, ranked, gaps, runs, active, taken, number: int, capacity: int):
+    """The pieces that find a place in this round, with their sequence, and their number by length.
+
+    A gap of `g` tokens offers places of `unit` tokens, as far as they go, and one of the rest. All
+    gaps of one size offer the same, so the rank of a place follows from the rank of its gap.
+    """
     least, unit = int(np.flatnonzero(active)[0]), _place_size(active)
-    able = gaps.where(F.col("gap") >= least)
-    share = 1 + int(active.sum()) // max(1, able.count())
-    offers = F.least(F.greatest(F.floor(F.col("gap") / unit), F.lit(1)), F.lit(share)).cast("int")
-    places = able.withColumn("offers", offers).select(
-        "sequence_id", "gap", "offers", F.explode(F.sequence(F.lit(1), F.col("offers"))).alias("place")
-    ).select("sequence_id", "place", F.when(
-        F.col("place") == F.col("offers"), F.col("gap") - (F.col("offers") - 1) * unit
-    ).otherwise(F.lit(unit)).cast("long").alias("size"))
-    free, sizes = _ranked(_sorted(places, "size", ["sequence_id", "place"], "places"), "size", capacity)
-    runs = [
+    runs = [r for r in runs if r[1] >= least]
+    share = 1 + int(active.sum()) // max(1, sum(n for _, _, n, _ in runs))
+    places, offered = np.zeros(capacity + 1, np.int64), []
+    for part, gap, n, first in runs:
+        offers = max(1, min(gap // unit, share))
+        rest = gap - (offers - 1) * unit
+        rest_from = int(places[rest])
+        places[rest] += n
+        unit_from = int(places[unit])
+        places[unit] += n * (offers - 1)
+        offered.append((part, gap, -first, offers, rest, rest_from, unit_from))
+    swept = successors(active, places)
+    done = np.zeros_like(active)
+    for length, _, n, _, _ in swept:
+        done[length] += n
+    # Both tables are bounded: by partitions and sizes, and by two runs for each size.
+    offers = spark.createDataFrame(
+        offered, "part int, gap long, shift long, offers int, rest long, rest_from long, unit_from long"
+    )
+    chosen = spark.createDataFrame([
         (length, int(taken[length]) + first, int(taken[length]) + first + n, size, place - int(taken[length]) - first)
-        for length, first, n, size, place in successors(active, sizes)
-    ]
-    # At most two runs for each size that a piece or a place can have.
-    table = spark.createDataFrame(runs, "of_length long, from_rank long, to_rank long, size long, shift long")
-    chosen = ranked.join(F.broadcast(table), (
+        for length, first, n, size, place in swept
+    ], "of_length long, from_rank long, to_rank long, size long, shift long")
+    last = F.col("place") == F.col("offers")
+    within = F.col("at") + F.col("shift")
+    free = gaps.join(F.broadcast(offers), ["part", "gap"]).withColumn(
+        "place", F.explode(F.sequence(F.lit(1), F.col("offers")))
+    ).select(
+        "sequence_id", F.when(last, F.col("rest")).otherwise(F.lit(unit).cast("long")).alias("size"),
+        F.when(last, F.col("rest_from") + within)
+        .otherwise(F.col("unit_from") + within * (F.col("offers") - 1) + F.col("place") - 1).alias("rank"),
+    )
+    longest = int(np.flatnonzero(active)[-1])
+    wanted = ranked.where(F.col("length").between(least, longest)).join(F.broadcast(chosen), (
         (F.col("length") == F.col("of_length")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
     )).withColumn("rank", F.col("rank") + F.col("shift")).drop("of_length", "from_rank", "to_rank", "shift")
     return materialize(
-        chosen.join(free.select("size", "rank", "sequence_id"), ["size", "rank"])
-        .drop("size", "rank").withColumn("round", F.lit(number)), "placed",
-    )
+        wanted.join(free, ["size", "rank"]).drop("size", "rank").withColumn("round", F.lit(number)), "placed"
+    ), done
