@@ -209,7 +209,9 @@ def _round(spark, ranked, gaps, runs, active, taken, number: int, capacity: int)
         .otherwise(F.col("unit_from") + within * (F.col("offers") - 1) + F.col("place") - 1).alias("rank"),
     )
     longest = int(np.flatnonzero(active)[-1])
-    wanted = ranked.where(F.col("length").between(least, longest)).join(F.broadcast(chosen), (
+    # With one length only, the filter would make the join's key a constant and lose the hash join.
+    in_band = ranked.where(F.col("length").between(least, longest)) if least < longest else ranked
+    wanted = in_band.join(F.broadcast(chosen), (
         (F.col("length") == F.col("of_length")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
     )).withColumn("rank", F.col("rank") + F.col("shift")).drop("of_length", "from_rank", "to_rank", "shift")
     return materialize(
