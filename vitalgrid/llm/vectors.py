@@ -20,8 +20,12 @@ def usable(column: str = "embedding"):
     return F.coalesce(F.col(column).isNotNull() & fine & (F.size(column) > 0), F.lit(False))
 
 
-def _matrix(rows: pd.Series) -> np.ndarray:
-    return np.array(rows.tolist(), dtype=np.float64)
+def _unit(rows: pd.Series) -> np.ndarray:
+    """Vectors of length one in double precision."""
+    matrix = np.array(rows.tolist(), dtype=np.float64)
+    # Twice, so that neither huge nor tiny components overflow.
+    matrix /= np.abs(matrix).max(axis=1, keepdims=True)
+    return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
 def _groups(frames: Iterator[pd.DataFrame], key: str, limit: int | None = None):
@@ -54,7 +58,7 @@ class Hashing:
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
         signs = (unit @ self.planes > 0).reshape(len(unit), self.tables, self.bits)
-        return signs @ (1 << np.arange(self.bits, dtype=np.int64))
+        return (signs @ (1 << np.arange(self.bits, dtype=np.int64))).astype(np.int32)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 512) -> DataFrame:
@@ -70,7 +74,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 51
     vec_id are rows of their own, which may link each other; their component is named by the
     smallest vec_id. Other columns are not read.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    rows = vectors.select("vec_id", "embedding")
     rows = rows.withColumn("fine", usable() & F.exists("embedding", lambda x: x != 0))
     rows = materialize(rows, "vectors")
     classes = materialize(
@@ -103,16 +107,11 @@ def _links(classes: DataFrame, hashing: Hashing, threshold: float, block: int) -
 
     def coded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            matrix = _matrix(frame["embedding"])
-            # Twice, so that neither huge nor tiny components overflow.
-            matrix /= np.abs(matrix).max(axis=1, keepdims=True)
-            unit = matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-            yield pd.DataFrame({
-                "class": frame["class"], "n": frame["n"], "unit": list(unit), "codes": list(hashing.codes(unit)),
-            })
+            yield frame.assign(codes=list(hashing.codes(_unit(frame["embedding"]))))
 
+    kind = classes.schema["embedding"].dataType.simpleString()
     hashed = materialize(classes.select("class", "n", "embedding").mapInPandas(
-        coded, "class long, n long, unit array<double>, codes array<long>"
+        coded, f"class long, n long, embedding {kind}, codes array<int>"
     ), "codes")
     member = hashed.select("class", F.posexplode("codes").alias("table", "code"))
     # Blocks of a bucket: as many as its size asks for, filled by the hash of the class.
@@ -124,7 +123,7 @@ def _links(classes: DataFrame, hashing: Hashing, threshold: float, block: int) -
     )
     # A block meets itself and every other block of its bucket once.
     meetings = spots.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "table", "class", "n", "unit", "codes", "own",
+        "table", "class", "n", "embedding", "codes", "own",
         F.xxhash64("table", "code", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"),
         (F.col("own") == F.col("other")).alias("inner"),
     )
@@ -133,7 +132,7 @@ def _links(classes: DataFrame, hashing: Hashing, threshold: float, block: int) -
         for group in _groups(frames, "meeting"):
             table = int(group["table"].iloc[0])
             names, weights = group["class"].to_numpy(), group["n"].to_numpy()
-            unit, codes = _matrix(group["unit"]), np.array(group["codes"].tolist())
+            unit, codes = _unit(group["embedding"]), np.array(group["codes"].tolist())
             own = group["own"].to_numpy()
             left = np.flatnonzero(own == own.min())
             right = left if group["inner"].iloc[0] else np.flatnonzero(own != own.min())
