@@ -159,6 +159,19 @@ def test_a_failed_block_is_set_aside(spark, folder, monkeypatch):
     assert clinical.read("failed_blocks").count() == 10
 
 
+def test_batches_are_read_by_path(spark):
+    folder = new_folder(spark, "log")
+    for i in (*range(8), 9):
+        logs.append_batch(spark.range(i, i + 1), folder, i)
+    few = logs.read_batches(spark, folder, 5, 7)
+    assert sorted(map(tuple, few.collect())) == [(5, 5), (6, 6), (7, 7)]
+    assert len(few.inputFiles()) <= 3 * spark.sparkContext.defaultParallelism
+    assert not [f for f in few.inputFiles() if "batch_id=4" in f or "batch_id=9" in f]
+    assert logs.read_batches(spark, folder, 7, 9).count() == 2  # a gap
+    assert logs.read_batches(spark, folder, 0, -1) is None
+    assert logs.read_batches(spark, folder + "-absent", 0, 3) is None
+
+
 def test_log_replaces_a_repeated_batch(spark):
     folder = new_folder(spark, "log")
     logs.append_batch(spark.range(5), folder, 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.scoring import alert_tier, clock_text
@@ -57,11 +57,10 @@ class EnergyStream:
         A batch stores the series it touched, and every `compact_every`-th batch stores all; so
         only the batches since then are read, and per series the newest stored batch counts.
         """
-        table = self.read("tail")
-        if table is None or batch_id == 0:
-            return None
         since = (batch_id - 1) // self.compact_every * self.compact_every
-        past = table.filter(F.col("batch_id").between(since, batch_id - 1))
+        past = logs.read_batches(self.spark, self.table("tail"), max(0, since), batch_id - 1)
+        if past is None:
+            return None
         newest = past.groupBy("series_id").agg(F.max("batch_id").alias("batch_id"))
         return past.join(newest, ["series_id", "batch_id"]).drop("batch_id")
 
@@ -103,10 +102,10 @@ class EnergyStream:
         columns = {name: tuple(scale) for name, scale in facts["columns"]}
         return Forecaster(facts["steps"], tuple(facts["scale"]), stages, {}, columns)
 
-    def _publish(self, history: DataFrame, version: int, batch_id: int) -> None:
+    def _publish(self, history: DataFrame, version: int, batch_id: int) -> bool:
         model = fit_forecaster(history, self.value, self.steps, self.kind, columns=self.columns)
         if model is None:
-            return
+            return False
         logs.append_batch(
             training_runs(self.spark, [model.run]).drop("run"), self.table("runs"), version
         )
@@ -114,6 +113,7 @@ class EnergyStream:
             version, model.stages, steps=model.steps, scale=list(model.scale), batch_id=batch_id,
             columns=[[name, list(scale)] for name, scale in model.columns.items()],
         )
+        return True
 
     def forecast_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Forecasts every reading of the batch from the readings before it, then refits.
@@ -126,7 +126,8 @@ class EnergyStream:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             logs.append_batch(batch, self.table("history"), batch_id)
-            version = self.registry.latest(before=batch_id + 1)
+            before = logs.state_before(self.spark, self.table("progress"), batch_id)
+            version = before["version"] if before else None
             windows = self.windows(batch, batch_id, True)
             completed = windows.count() if version is None else 0
             if version is not None:
@@ -140,14 +141,13 @@ class EnergyStream:
                     self.table("predictions"), batch_id,
                 )
             self.store_tail(batch, batch_id)
-            self._refit(completed, batch_id, version)
+            self._refit(before, completed, batch_id, version)
         finally:
             batch.unpersist()
 
-    def _refit(self, completed: int, batch_id: int, version: int | None) -> None:
-        """Counters of the batch before decide; they are stored after the model, so that a
-        repeated batch decides the same."""
-        before = logs.state_before(self.spark, self.table("progress"), batch_id)
+    def _refit(self, before: Row | None, completed: int, batch_id: int, version: int | None) -> None:
+        """Counters of the batch before decide; they are stored after the model, with its version,
+        so that a repeated batch decides the same."""
         windows = (before["windows"] if before else 0) + completed
         earlier = before["predictions"] if before else 0
         made = 0
@@ -160,9 +160,11 @@ class EnergyStream:
         if due:
             past = logs.read_log(self.spark, self.table("history"))
             past = past.filter(F.col("batch_id") <= batch_id).drop("batch_id")
-            self._publish(past, batch_id + 1, batch_id)
+            if self._publish(past, batch_id + 1, batch_id):
+                version = batch_id + 1
         state = self.spark.range(1).select(
             F.lit(windows).cast("bigint").alias("windows"),
             F.lit(earlier + made).cast("bigint").alias("predictions"),
+            F.lit(version).cast("int").alias("version"),
         )
         logs.append_batch(state, self.table("progress"), batch_id)
