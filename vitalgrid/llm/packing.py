@@ -4,8 +4,8 @@ A document is its ids and an end id. Longer documents are cut at the capacity; f
 sequences of their own, the other pieces are packed. Enough empty sequences for the whole size are
 opened at once. Every round takes the pieces above a falling length, the longest first:
 
-1. pieces (once) and places in the gaps (every round) are sorted by size over all partitions, and
-   get their rank within their size;
+1. pieces (once) and gaps (every round) are sorted by size over all partitions, and get their rank
+   within their size; the ranks of the places in a gap follow from the rank of the gap;
 2. a successor sweep from the largest size down gives each piece the smallest free place that holds
    it. The sweep runs over the counts of lengths and of place sizes, of which there are at most as
    many as the capacity has tokens; its result are runs of ranks, joined to pieces and places;
