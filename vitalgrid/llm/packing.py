@@ -145,9 +145,11 @@ def _rounds(spark, ranked: DataFrame, counts: np.ndarray, capacity: int) -> Data
                 beyond = np.where(lengths > max((gap for _, gap, _, _ in runs), default=0), active, 0)
                 more = -(-int(beyond @ lengths) // capacity)
             if more:
+                # Not literals: those would turn the join by partition and gap into a nested loop.
+                none = F.col("id") - F.col("id")
                 fresh = spark.range(opened, opened + more).select(
-                    F.col("id").alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"),
-                    F.lit(-1).alias("part"), F.col("id").alias("at"),
+                    F.col("id").alias("sequence_id"), (none + capacity).alias("gap"),
+                    (none - 1).cast("int").alias("part"), F.col("id").alias("at"),
                 )
                 gaps = fresh if gaps is None else gaps.union(fresh)
                 runs.append((-1, capacity, more, opened))
