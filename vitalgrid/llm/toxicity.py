@@ -14,8 +14,8 @@ example every score is 0. Other columns of the input are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -57,9 +57,10 @@ def term_counts(text: str | None, vocabulary: dict[str, int] | None = None) -> C
     return counts
 
 
-def sketch(terms) -> int:
-    """Min-hash of a set of terms: near copies share it nearly always, other texts do not."""
-    return min((zlib.crc32(t.encode("utf-8", "replace")) for t in terms), default=-1)
+def copy_key(text: str | None) -> str:
+    """Digest of a whole text in lower case with its blanks made equal: only true copies share it."""
+    words = " ".join((text or "").lower().split())
+    return hashlib.blake2b(words.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
 class Index:
@@ -166,7 +167,7 @@ def _sample_terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = [term_counts(t) for t in frame["text"]]
         yield pd.DataFrame({
             "doc_id": frame["doc_id"], "label": frame["label"],
-            "sketch": [sketch(c) for c in counts], "terms": [list(c) for c in counts],
+            "copy": [copy_key(t) for t in frame["text"]], "terms": [list(c) for c in counts],
         })
 
 
@@ -183,16 +184,19 @@ def fit(
     sample = labelled_sample(documents, labels, label, learnable, settings.examples).persist()
     n, positive = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     seen = sample.mapInPandas(
-        _sample_terms, "doc_id long, label int, sketch long, terms array<string>"
+        _sample_terms, "doc_id long, label int, copy string, terms array<string>"
     )
-    # Copies of one text support a term once: they share their sketch.
+    # Copies of one text count once, for a term as for the totals.
+    texts = seen.groupBy("copy").agg(
+        F.max("label").alias("label"), F.max_by("terms", F.struct("label", "doc_id")).alias("terms")
+    ).persist()
+    different, different_toxic = texts.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     by_term = (
-        seen.groupBy("sketch").agg(F.max("label").alias("label"), F.max_by("terms", F.struct("label", "doc_id")).alias("terms"))
-        .select("label", F.explode("terms").alias("term"))
+        texts.select("label", F.explode("terms").alias("term"))
         .groupBy("term").agg(F.count("*").alias("n"), F.sum("label").alias("p"))
         .where(F.col("n") >= settings.support)
     )
-    total, toxic, c, p = F.lit(float(n)), F.lit(float(positive)), F.col("n"), F.col("p")
+    total, toxic, c, p = F.lit(float(different)), F.lit(float(different_toxic)), F.col("n"), F.col("p")
     expected = c * toxic * (total - c) * (total - toxic)
     chi_square = total * F.pow(p * total - c * toxic, F.lit(2.0)) / F.nullif(expected, F.lit(0.0))
     ratio = (p + 0.5) * (total - toxic - c + p + 0.5) / ((c - p + 0.5) * (toxic - p + 0.5))
@@ -201,6 +205,7 @@ def fit(
         .where((F.col("x") >= settings.association) & ((F.col("odds") >= settings.odds) | (F.col("odds") <= 1 / settings.odds)))
         .orderBy(F.col("x").desc(), "term").limit(settings.vocabulary).collect()
     )
+    texts.unpersist()
     vocabulary = {t: i for i, t in enumerate(terms)}
     shared = spark.sparkContext.broadcast(vocabulary)  # at most `vocabulary` words
 
