@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from vitalgrid.llm import toxicity
@@ -26,3 +27,40 @@ def test_copies_count_once_for_terms_and_totals(spark):
     texts = [("Vile  again", 1), ("vile again", 1)] * 10 + [(f"calm q{i}", 0) for i in range(20)]
     model = toxicity.fit(*_rows(spark, texts), "toxic", F.lit(True))
     assert "vile" not in model.vocabulary and "again" not in model.vocabulary
+
+
+def test_texts_without_a_selected_term_are_searched_over_all_words(spark):
+    texts = [(f"calm day number{i} in town", 0) for i in range(30)] + [("rareword bites deep", 1), ("rareword stings much", 1)]
+    model = toxicity.fit(*_rows(spark, texts), "toxic", F.lit(True))
+    assert "rareword" not in model.vocabulary
+    toxic, near, cosines = model.score("a rareword here")
+    assert near == [30, 31] and min(cosines) > 0 and toxic > model.score("number3 in town")[0]
+    assert model.score("nothing known") == (2 / 32, [], [])
+
+
+def test_whole_search_is_exact():
+    random = np.random.default_rng(4)
+    n, words = 150, 60
+    idf = random.uniform(1, 5, words)
+
+    def vector():
+        terms = np.sort(random.choice(words, random.integers(1, 30), replace=False))
+        return terms, random.integers(1, 4, len(terms)).astype(float)
+
+    vectors = [vector() for _ in range(n - 20)]
+    vectors += vectors[:20]  # ties
+    index = toxicity.WholeIndex(
+        np.arange(n) * 3, np.arange(n) % 2, [len(t) for t, _ in vectors],
+        np.concatenate([t for t, _ in vectors]), np.concatenate([f for _, f in vectors]), idf,
+    )
+    assert 0 < len(index.dense)
+    plain = np.zeros((n, words))
+    for i, (t, f) in enumerate(vectors):
+        plain[i, t] = (1 + np.log(f)) * idf[t]
+    plain /= np.linalg.norm(plain, axis=1)[:, None]
+    for i, (rows, cosines) in enumerate(index.nearest(vectors, 7, list(range(n)))):
+        want = np.round(plain @ plain[i], 9)
+        want[i] = 0
+        best = [j for j in np.lexsort((np.arange(n), -want))[:7] if want[j] > 0]
+        assert np.allclose(cosines, want[best], atol=2e-9) and len(rows) == len(best)
+        assert np.allclose(want[rows], want[best], atol=2e-9)

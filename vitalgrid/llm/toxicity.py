@@ -1,15 +1,18 @@
 """Toxicity by the nearest labelled examples.
 
-Documents are TF-IDF vectors over a selected vocabulary. The score of a document comes from the
-labelled examples nearest to it by exact cosine, found in an inverted index whose postings are cut
-into blocks: a block is opened only if the largest weights in it could still beat the k-th
-neighbour. The neighbours vote with their cosine, and the vote is turned into a probability by an
-isotonic fit of the examples' own votes, each without itself.
-
-Defined results: a null text counts as empty. A text without a term of the vocabulary has no
-neighbours and gets the share of toxic examples among the examples without one. Equal cosines are
-taken in the order of the example's id. Repeated rows are scored each by itself. Without any
-example every score is 0. Other columns of the input are not read.
+Documents are TF-IDF vectors, and the score of a document comes from the labelled examples nearest
+to it by exact cosine. A document with a selected term (one that tells the label) is compared over
+the selected terms, in an inverted index whose postings are cut into blocks: a block is opened only
+if the largest weights in it could still beat the k-th neighbour. Every other document is compared
+with all examples over all words that any example has. The neighbours vote with their cosine, and
+the vote is turned into a probability by an isotonic fit of the examples' own votes, each without
+itself; each of the two searches has its own fit.
+
+Defined results: a null text counts as empty. Words that no example has are not in the vectors. A
+text without any word of the examples has no neighbours and gets the share of toxic examples among
+the examples without a word, or among all if there is none such. Equal cosines are taken in the
+order of the example's id. Repeated rows are scored each by itself. Without any example every score
+is 0. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -48,6 +51,11 @@ class Settings:
     block: int = 64
 
 
+#: Texts that are compared with all examples at once; a word of more than one example in DENSE has a
+#: row over all examples, for the DENSE_WORDS most common of them.
+TOGETHER, DENSE, DENSE_WORDS = 64, 10, 256
+
+
 def term_counts(text: str | None, vocabulary: dict[str, int] | None = None) -> Counter:
     """Counts of the lower-case words of a whole text, or of those in a vocabulary."""
     counts: Counter = Counter()
@@ -125,6 +133,61 @@ class Index:
         return float(np.dot(cosines, self.labels[rows]) / cosines.sum())
 
 
+class WholeIndex:
+    """Unit vectors of all examples over all their words; cosines with every example at once.
+
+    The examples come in the order of their ids: `terms` and `tf` end to end, `sizes` words each.
+    """
+
+    def __init__(self, ids, labels, sizes, terms, tf, idf):
+        self.ids, self.labels, self.idf = ids, labels, idf
+        rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        weights = (1.0 + np.log(tf)) * idf[terms]
+        weights /= np.sqrt(np.bincount(rows, weights * weights, minlength=len(ids)))[rows]
+        by_term = np.argsort(terms, kind="stable")
+        self.rows, self.weights = rows[by_term], weights[by_term]
+        self.begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
+        many = np.diff(self.begin)
+        common = np.argsort(-many, kind="stable")[:DENSE_WORDS]
+        common = common[many[common] * DENSE > len(ids)]
+        self.place = np.full(len(idf), -1, np.int32)
+        self.place[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(ids)))
+        for i, term in enumerate(common):
+            span = slice(self.begin[term], self.begin[term + 1])
+            self.dense[i, self.rows[span]] = self.weights[span]
+
+    def nearest(self, vectors, k: int, without=None):
+        """For each (terms, tf): example numbers and cosines of the k nearest, ties by example id.
+
+        `without` has for each vector the number of an example that is not a neighbour.
+        """
+        queries = [Index.unit(terms, tf, self.idf) for terms, tf in vectors]
+        common = np.zeros((len(vectors), len(self.dense)))
+        for i, (terms, _) in enumerate(vectors):
+            at = self.place[terms]
+            common[i, at[at >= 0]] = queries[i][at >= 0]
+        scores = common @ self.dense
+        for i, (terms, _) in enumerate(vectors):
+            rare = self.place[terms] < 0
+            begins, ends = self.begin[terms[rare]], self.begin[terms[rare] + 1]
+            if len(begins):
+                spans = [slice(b, e) for b, e in zip(begins.tolist(), ends.tolist())]
+                rows = np.concatenate([self.rows[x] for x in spans])
+                weights = np.concatenate([self.weights[x] for x in spans])
+                weights *= np.repeat(queries[i][rare], ends - begins)
+                scores[i] += np.bincount(rows, weights, minlength=len(self.ids))
+            cosines = np.round(scores[i], 9)
+            if without is not None:
+                cosines[without[i]] = 0.0
+            least = np.partition(cosines, -k)[-k] if len(cosines) > k else 0.0
+            found = np.flatnonzero((cosines >= least) & (cosines > 0))
+            best = found[np.argsort(-cosines[found], kind="stable")][:k]
+            yield best, cosines[best]
+
+    vote = Index.vote
+
+
 def isotonic(votes: np.ndarray, labels: np.ndarray):
     """Points of a rising step fit of the label on the vote (pool adjacent violators), smoothed."""
     order = np.argsort(votes, kind="stable")
@@ -141,25 +204,59 @@ def isotonic(votes: np.ndarray, labels: np.ndarray):
 
 @dataclass
 class Model:
+    """`words` are all words of the examples, `vocabulary` the selected ones; `points` is the fit of
+    the votes over the selected terms, `whole_points` of those over all words."""
+
+    words: dict[str, int]
     vocabulary: dict[str, int]
     index: Index
+    whole: WholeIndex
     points: tuple[np.ndarray, np.ndarray]
+    whole_points: tuple[np.ndarray, np.ndarray]
     base: float
     settings: Settings
 
     def score(self, text: str | None):
         """Score, and the ids and cosines of the neighbours that gave it."""
-        counts = term_counts(text, self.vocabulary)
-        rows = np.empty(0, np.int64)
-        if counts:
-            terms = np.fromiter((self.vocabulary[t] for t in counts), np.int64, len(counts))
-            tf = np.fromiter(counts.values(), float, len(counts))
-            order = np.argsort(terms)
-            rows, cosines = self.index.nearest(terms[order], tf[order], self.settings.neighbours)
-        if not len(rows):
-            return self.base, [], []
-        score = float(np.interp(self.index.vote(rows, cosines), *self.points))
-        return score, self.index.ids[rows].tolist(), cosines.tolist()
+        return self.scores([text])[0]
+
+    def scores(self, texts) -> list[tuple]:
+        found: list[tuple] = [(self.base, [], [])] * len(texts)
+        waiting: list[tuple[int, tuple]] = []
+        for i, text in enumerate(texts):
+            counts = term_counts(text, self.words)
+            chosen = {t: n for t, n in counts.items() if t in self.vocabulary}
+            if chosen:
+                near = self.index.nearest(*_vector(chosen, self.vocabulary), self.settings.neighbours)
+                found[i] = self._judged(self.index, near, self.points)
+            elif counts:
+                waiting.append((i, _vector(counts, self.words)))
+            if len(waiting) == TOGETHER:
+                self._settle(waiting, found)
+                waiting = []
+        if waiting:
+            self._settle(waiting, found)
+        return found
+
+    def _settle(self, waiting, found) -> None:
+        for (i, _), near in zip(waiting, self.whole.nearest([v for _, v in waiting], self.settings.neighbours)):
+            if len(near[0]):
+                found[i] = self._judged(self.whole, near, self.whole_points)
+
+    @staticmethod
+    def _judged(index, near, points):
+        rows, cosines = near
+        return float(np.interp(index.vote(rows, cosines), *points)), index.ids[rows].tolist(), cosines.tolist()
+
+
+def _vector(counts: dict[str, int], numbers: dict[str, int]):
+    terms = np.fromiter((numbers[t] for t in counts), np.int64, len(counts))
+    order = np.argsort(terms)
+    return terms[order], np.fromiter(counts.values(), float, len(counts))[order]
+
+
+def _fitted(votes: list[tuple[float, int]]):
+    return isotonic(*map(np.array, zip(*votes))) if votes else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
 
 def _sample_terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,18 +302,23 @@ def fit(
         .where((F.col("x") >= settings.association) & ((F.col("odds") >= settings.odds) | (F.col("odds") <= 1 / settings.odds)))
         .orderBy(F.col("x").desc(), "term").limit(settings.vocabulary).collect()
     )
-    texts.unpersist()
     vocabulary = {t: i for i, t in enumerate(terms)}
-    shared = spark.sparkContext.broadcast(vocabulary)  # at most `vocabulary` words
+    # Bounded by the words of the sample.
+    all_words = texts.select(F.explode("terms").alias("term")).distinct().toArrow()["term"].to_pylist()
+    texts.unpersist()
+    words = {t: i for i, t in enumerate(sorted(all_words))}
+    shared = spark.sparkContext.broadcast(words)
 
     def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, rows, total = shared.value, np.zeros(len(shared.value), np.int64), 0
+        known, rows, total = shared.value, [0] * len(shared.value), 0
         for frame in frames:
             total += len(frame)
             for text in frame["text"]:
                 for term in term_counts(text, known):
                     rows[known[term]] += 1
-        yield pd.DataFrame({"term": np.arange(-1, len(known)), "n": np.concatenate([[total], rows])})
+        counted = np.array(rows, np.int64)
+        seen = np.flatnonzero(counted)
+        yield pd.DataFrame({"term": np.concatenate([[-1], seen]), "n": np.concatenate([[total], counted[seen]])})
 
     def example_vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -227,30 +329,49 @@ def fit(
                 "terms": [[t for t, _ in c] for c in counts], "tf": [[n for _, n in c] for c in counts],
             })
 
-    # One row per term of the bounded vocabulary comes back, counted over all documents.
-    counts = dict(
+    # One row per word of the bounded sample comes back, counted over all documents.
+    counts = (
         documents.select("text").mapInPandas(document_counts, "term int, n long")
-        .groupBy("term").agg(F.sum("n")).collect()
+        .groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     )
-    total = counts.get(-1, 0)
-    idf = np.array([np.log((1 + total) / (1 + counts.get(i, 0))) + 1.0 for i in range(len(terms))])
-    rows = sample.mapInPandas(
+    numbers, times = counts["term"].to_numpy(), counts["n"].to_numpy()
+    total, rows_with = int(times[numbers < 0].sum()), np.zeros(len(words))
+    rows_with[numbers[numbers >= 0]] = times[numbers >= 0]
+    idf = np.log((1 + total) / (1 + rows_with)) + 1.0
+    examples = sample.mapInPandas(
         example_vectors, "doc_id long, label int, terms array<int>, tf array<int>"
-    ).collect()  # bounded by `examples`
+    ).toArrow().sort_by("doc_id")  # bounded by `examples`
     sample.unpersist()
-    rows.sort(key=lambda r: r["doc_id"])
-    empty = [r["label"] for r in rows if not r["terms"]]
-    full = [r for r in rows if r["terms"]]
-    vectors = [(np.array(r["terms"], np.int64), np.array(r["tf"], float)) for r in full]
-    index = Index([r["doc_id"] for r in full], [r["label"] for r in full], vectors, idf, settings.block)
-    votes = []
-    for row, (t, tf) in zip(full, vectors):
-        near = index.nearest(t, tf, settings.neighbours, without=row["doc_id"])
+    shared.unpersist()
+    ids, marks = examples["doc_id"].to_numpy(), examples["label"].to_numpy()
+    lists = [examples[c].combine_chunks() for c in ("terms", "tf")]
+    flat_terms, flat_tf = lists[0].flatten().to_numpy().astype(np.int64), lists[1].flatten().to_numpy().astype(float)
+    sizes = lists[0].value_lengths().to_numpy()
+    whole = WholeIndex(ids, marks, sizes, flat_terms, flat_tf, idf)
+    chosen = np.full(len(words), -1)
+    chosen[[words[t] for t in terms]] = np.arange(len(terms))
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    vectors = [(flat_terms[b:e], flat_tf[b:e]) for b, e in zip(edges, edges[1:])]
+    narrow = [(chosen[t][chosen[t] >= 0], tf[chosen[t] >= 0]) for t, tf in vectors]
+    full = [i for i, (t, _) in enumerate(narrow) if len(t)]
+    index = Index(
+        [ids[i] for i in full], [marks[i] for i in full], [narrow[i] for i in full],
+        idf[[words[t] for t in terms]], settings.block,
+    )
+    votes, whole_votes = [], []
+    for i in full:
+        near = index.nearest(*narrow[i], settings.neighbours, without=ids[i])
         if len(near[0]):
-            votes.append((index.vote(*near), row["label"]))
-    points = isotonic(*map(np.array, zip(*votes))) if votes else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    base = (sum(empty) + 0.5) / (len(empty) + 1.0) if empty else (float(positive) / n if n else 0.0)
-    return Model(vocabulary, index, points, base, settings)
+            votes.append((index.vote(*near), marks[i]))
+    others = [i for i, (t, _) in enumerate(narrow) if not len(t) and sizes[i]]
+    for begin in range(0, len(others), TOGETHER):
+        part = others[begin:begin + TOGETHER]
+        for i, near in zip(part, whole.nearest([vectors[i] for i in part], settings.neighbours, part)):
+            if len(near[0]):
+                whole_votes.append((whole.vote(*near), marks[i]))
+    empty = marks[sizes == 0]
+    base = (float(empty.sum()) + 0.5) / (len(empty) + 1.0) if len(empty) else (float(positive) / n if n else 0.0)
+    return Model(words, vocabulary, index, whole, _fitted(votes), _fitted(whole_votes), base, settings)
 
 
 def scorer(spark, model: Model):
@@ -261,7 +382,6 @@ def scorer(spark, model: Model):
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fitted = shared.value
         for texts in batches:
-            found = [fitted.score(t) for t in texts]
-            yield pd.DataFrame(found, columns=["score", "neighbours", "cosines"])
+            yield pd.DataFrame(fitted.scores(list(texts)), columns=["score", "neighbours", "cosines"])
 
     return score
