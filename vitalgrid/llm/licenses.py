@@ -4,20 +4,23 @@ A text is its lower-case words. Of each run of `WINDOW` five-word shingles of a
 with the smallest code goes into an inverted index; all shingles of a document are looked up, so
 that a template piece of WINDOW + SHINGLE - 1 words that a document repeats is always found. Hits
 on near diagonals are one candidate, and the template is aligned with the document's words in a
-band around them. The matched share of the template's words is the coverage.
+band around them, again and again over the words that are left, until no piece is found. Pieces that
+advance in the template and in the document are chained, whatever stands between them. The share of
+the template's words that a chain matches is the coverage.
 
 Templates are a parameter, broadcast to the tasks; their size is checked. Texts are scanned one by
 one, whole, without any shuffle.
 
 Defined results: one row for each document row and license whose best coverage reaches the least
 one; documents without a license have no row. Null and empty texts have none. Spans are character
-places [begin, end) in order; repeated notices give a span each, and copies of a row repeat its
-rows. Templates of fewer than five words match as a whole sequence. Other columns are not read.
+places [begin, end) in order, one for each piece; repeated notices give a span each, and copies of a
+row repeat its rows. Templates of fewer than five words match as a whole sequence. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
@@ -114,21 +117,33 @@ class Scanner:
         if not candidates:
             return {}
         places = self._places(text)
-        regions = defaultdict(list)
+        pieces = defaultdict(set)
         for template, low_diagonal, high_diagonal in candidates:
+            words = self.templates[template][1]
+            masked = []
+            while True:
+                matched, begin, end = align(words, ids, low_diagonal, high_diagonal)
+                if len(matched) < min(SHINGLE, len(words)):
+                    break
+                pieces[template].add((begin, end, tuple(matched)))
+                masked.append((begin, ids[begin:end + 1].copy()))
+                ids[begin:end + 1] = 0  # no word of a template
+            for begin, own in masked:
+                ids[begin:begin + len(own)] = own
+        regions = defaultdict(list)
+        for template, parts in pieces.items():
             name, words = self.templates[template]
-            matched, begin, end = align(words, ids, low_diagonal, high_diagonal)
-            coverage = matched / len(words)
-            if coverage >= COVERAGE:
-                regions[name].append((coverage, places[begin][0], places[end][1]))
+            for matched, spans in chains(parts, len(words)):
+                regions[name].append((matched / len(words), [(places[b][0], places[e][1]) for b, e in spans]))
         found = {}
         for name, parts in regions.items():
             # Of overlapping regions of one license the one that covers most is told.
-            kept: list[tuple[float, int, int]] = []
-            for part in sorted(parts, key=lambda p: (-p[0], p[1] - p[2], p[1])):
-                if all(part[2] <= k[1] or part[1] >= k[2] for k in kept):
-                    kept.append(part)
-            found[name] = (max(k[0] for k in kept), sorted((b, e) for _, b, e in kept))
+            kept: list[tuple[int, int]] = []
+            for _, spans in sorted(parts, key=lambda p: (-p[0], p[1][0][0] - p[1][-1][1], p[1][0][0])):
+                if all(_free(kept, *span) for span in spans):
+                    for span in spans:
+                        insort(kept, span)
+            found[name] = (max(p[0] for p in parts), kept)
         return found
 
     @staticmethod
@@ -142,8 +157,66 @@ class Scanner:
         return [(origin[b], origin[e - 1] + 1) for b, e in spots]
 
 
+def _free(kept: list[tuple[int, int]], begin: int, end: int) -> bool:
+    """Whether a span overlaps none of the sorted, disjoint ones."""
+    at = bisect_left(kept, (begin, end))
+    return (at == 0 or kept[at - 1][1] <= begin) and (at == len(kept) or kept[at][0] >= end)
+
+
+def chains(pieces: set[tuple[int, int, tuple[int, ...]]], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Matched words and document spans of the chains that cover enough of a template of `size` words.
+
+    Pieces are (first, last place in the document, matched template words in order). In a chain both
+    advance; words that two pieces share, by chance at their ends, count once. A chain that covers
+    enough ends where the pieces after it cover enough by themselves: there the template begins anew.
+    """
+    found = []
+
+    def close(link):
+        spans = []
+        total = link[0]
+        while link:
+            spans.append(link[1])
+            link = link[3]
+        found.append((total, spans[::-1]))
+
+    def grown(links, begin, end, matched):
+        link = (len(matched), (begin, end), matched[0], None)
+        for at, before in links.items():
+            if before[2] < matched[0] and at < matched[-1] and matched[0] > at - BAND and begin > before[1][1]:
+                total = before[0] + sum(w > at for w in matched)
+                if total > link[0]:
+                    link = (total, (begin, end), matched[0], before)
+        return link
+
+    def keep(links, link, last):
+        # Of chains that match equally many words the later one leaves the smaller gap.
+        if last not in links or link[0] >= links[last][0]:
+            links[last] = link
+
+    # Both are last template word -> (matched words, span, first template word, link before).
+    best: dict[int, tuple] = {}
+    after: dict[int, tuple] = {}  # of the pieces behind a chain that covers enough
+    full = None
+    for begin, end, matched in sorted(pieces):
+        link = grown(best, begin, end, matched)
+        if full is None or link[0] > full[0] or begin <= full[1][1]:
+            keep(best, link, matched[-1])
+            if link[0] / size >= COVERAGE and (full is None or link[0] > full[0]):
+                full, after = link, {}
+            continue
+        link = grown(after, begin, end, matched)
+        keep(after, link, matched[-1])
+        if link[0] / size >= COVERAGE:
+            close(full)
+            best, after, full = after, {}, link
+    if full is not None:
+        close(full)
+    return found
+
+
 def align(template: np.ndarray, ids: np.ndarray, low: int, high: int):
-    """Matched words and the first and last matched place of the best alignment of a template within
+    """Matched template words and the first and last matched place of the best alignment of a template within
     the band of diagonals. A match counts 1, a word without a partner costs GAP on either side."""
     low, width = low - BAND, high - low + 2 * BAND + 1
     score = np.zeros((len(template) + 1, width + 1))
@@ -159,11 +232,11 @@ def align(template: np.ndarray, ids: np.ndarray, low: int, high: int):
         best = np.maximum(best, 0.0)
         score[i + 1, :-1] = np.maximum.accumulate(best + steps[:-1]) - steps[:-1]
     i, j = (int(v) for v in np.unravel_index(np.argmax(score), score.shape))
-    matched, begin, end = 0, None, None
+    matched, begin, end = [], None, None
     while i > 0 and score[i, j] > 0:
         here = score[i, j]
         if j < width and same[i - 1, j] and here == score[i - 1, j] + 1.0:
-            matched += 1
+            matched.append(i - 1)
             begin = i - 1 + low + j
             end = begin if end is None else end
             i -= 1
@@ -173,7 +246,7 @@ def align(template: np.ndarray, ids: np.ndarray, low: int, high: int):
             i, j = i - 1, j + 1
         else:
             i -= 1
-    return matched, begin, end
+    return matched[::-1], begin, end
 
 
 def scan(documents: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
