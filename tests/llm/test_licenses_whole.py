@@ -1,4 +1,6 @@
-"""License scans: inserted words."""
+"""License scans: inserted words and dense repeats."""
+
+import time
 
 import pytest
 
@@ -34,3 +36,18 @@ def test_halves_in_the_wrong_order_are_no_license():
     words = dict(LONG)["MIT"].split()
     half, foreign = len(words) // 2, " ".join(f"x{i}" for i in range(50))
     assert "MIT" not in SCANNER.scan(" ".join(words[half:] + [foreign] + words[:half]))
+
+
+@pytest.mark.parametrize("gap", [0, 1, 5, 15, 30])
+@pytest.mark.parametrize("name, notice", [("MIT", "Released under the MIT License."), ("CC-BY-4.0", "Licensed under CC BY 4.0.")])
+def test_dense_notices_have_a_span_each(name, notice, gap):
+    line = notice + "".join(f" pkg{i}" for i in range(gap)) + "\n"
+    coverage, spans = SCANNER.scan(line * 40)[name]
+    assert coverage == 1.0 and len(spans) == 40
+    assert all((line * 40)[b:e] == notice.rstrip(".") for b, e in spans)
+
+
+def test_long_runs_of_notices_take_time_in_proportion():
+    begin = time.monotonic()
+    assert len(SCANNER.scan("Released under the MIT License. pkg\n" * 5_000)["MIT"][1]) == 5_000
+    assert time.monotonic() - begin < 60

@@ -99,9 +99,11 @@ class Scanner:
         found = []
         for template, values in diagonals.items():
             values.sort()
+            # A dense run of notices is cut, so that no band is much wider than the template is long.
+            widest = max(len(self.templates[template][1]), 2 * BAND)
             low = high = values[0]
             for value in values[1:]:
-                if value - high > BAND:
+                if value - high > BAND or value - low > widest:
                     found.append((template, low, high))
                     low = value
                 high = value
