@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitalgrid.llm import mixing, urls
+from vitalgrid.llm.vector_oracles import CLUSTERING, CODING, REPEATS
 
 _WORDS = "[^\\x20\\x09-\\x0D]+"
 
@@ -85,4 +86,7 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 5
 """
 
-ORACLES = {"op4_chat": CHAT, "op5_urls": URLS, "op7_mixing": MIXING, "op8_topk": TOP_K}
+ORACLES = {
+    "op4_chat": CHAT, "op5_urls": URLS, "op7_mixing": MIXING, "op8_topk": TOP_K, "op11_suffixes": REPEATS,
+    "op12_centroids": CLUSTERING, "op13_codes": CODING,
+}

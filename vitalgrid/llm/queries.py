@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm import chat, licenses, mixing, packing, quality, simhash, toxicity, urls, vectors
+from vitalgrid.llm import centroids, chat, codes, licenses, mixing, packing, quality, simhash, suffixes, toxicity, urls, vectors
 from vitalgrid.llm.oracles import ORACLES  # noqa: F401
 from vitalgrid.llm.shared import fold, table
 from vitalgrid.session import ship
@@ -85,6 +85,18 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op11_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"))
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings")).drop("compared")
+
+
+def op13_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compress(table(spark, folder, "embeddings"))
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,6 +108,6 @@ def _shipped(query):
 QUERIES = {
     f.__name__: _shipped(f) for f in (
         op1_quality, op2_packing, op3_embeddings, op4_chat, op5_urls, op6_simhash, op7_mixing, op8_topk,
-        op9_toxicity, op10_licenses,
+        op9_toxicity, op10_licenses, op11_suffixes, op12_centroids, op13_codes,
     )
 }

@@ -62,3 +62,19 @@ def fresh(name: str, columns: list[str]) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, to be broadcast if all its rows fit BROADCAST_BYTES, else left to a shuffled join."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of the shared scratch space that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Ask for a collection of garbage, after which Spark drops the shuffle files of finished jobs."""
+    spark.sparkContext._jvm.System.gc()
