@@ -1,10 +1,10 @@
 """Removal of byte strings that an earlier document has too, by a family of suffix arrays.
 
 Documents come in batches. A batch gets a suffix array, sorted by the first bytes of the suffixes; it
-is scanned in order against every array the family already has, and against itself, for suffixes
-with an equal beginning in another document; then it becomes a level of the family. Two levels of
-equal size are merged before the next batch comes, so n batches leave about log2(n) levels and every
-suffix is rewritten that often.
+is scanned in order together with every array the family already has for suffixes that begin like
+one of another document; then it becomes a level of the family. Two levels of equal size are merged
+before the next batch comes, so n batches leave about log2(n) levels and every suffix is rewritten
+that often.
 
 The arrays are sparse without losing a match. A string of `length` bytes holds `length - GRAM + 1`
 runs of GRAM bytes; the run with the smallest hash, the leftmost of equals, stands at the same place
@@ -12,6 +12,10 @@ wherever the string occurs. Only suffixes that begin with such a run are kept, a
 seventeen, and each string belongs to exactly one of them. So two documents share a string only if
 their arrays share the beginning of the suffix it belongs to. What the scan finds is then verified:
 the strings of a found suffix are compared with those of all suffixes of the same beginning.
+
+An array is dealt into buckets by a hash of the beginning. A bucket is one row of a table, whose
+cells are columns of numbers: a suffix costs 32 bytes there and a few instructions of numpy, which
+is what makes a pass over all suffixes of a corpus affordable.
 """
 
 from __future__ import annotations
@@ -29,97 +33,175 @@ from pyspark.sql import functions as F
 from vitalgrid.llm.shared import discard, release, small
 from vitalgrid.session import materialize, new_folder
 
-#: Bytes by which suffixes are sorted, and the shortest text that can hold the marker of a string.
+#: Bytes by which suffixes are sorted and compared: two words of eight.
 GRAM = 16
-#: Suffixes of a text that are handed over at once.
-CHUNK = 1 << 16
-_ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Bytes of text that are searched for markers at once, and suffixes that are sorted at once.
+STRETCH, RUN = 1 << 18, 1 << 19
+#: Suffixes of a bucket, on average.
+BUCKET = 1 << 18
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
+_UPPER = np.uint64(0xFFFFFFFF00000000)
+
+
+def _words(text: np.ndarray, order: str = "<") -> np.ndarray:
+    """The eight bytes at every place of a text as a number."""
+    view = np.ndarray(shape=(max(0, len(text) - 7),), dtype=f"{order}u8", buffer=text, strides=(1,))
+    return view.astype(np.uint64)
 
 
 def hashes(text: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of the `width` bytes at every place of a text, from hashes of halves."""
-
-    def mixed(left, right):
-        h = left * _ODD + right
-        h ^= h >> np.uint64(29)
-        h *= _MIX
-        h ^= h >> np.uint64(32)
-        return h
-
-    power, size, found, covered = text.astype(np.uint64) + np.uint64(seed), 1, None, 0
-    while True:
-        if width & size:
-            if found is None:
-                found, covered = power, size
-            else:
-                n = len(text) - covered - size + 1
-                found = mixed(found[:n], power[covered:covered + n])
-                covered += size
-        if covered == width:
-            return found
-        power = mixed(power[:-size], power[size:])
-        size *= 2
-
-
-def markers(text: np.ndarray, length: int):
-    """Places of the marking runs of a text, and the first and the last of the strings of each."""
-    order = hashes(text, GRAM)
-    place, reach, width = np.arange(len(order), dtype=np.int32), 1, length - GRAM + 1
+    """A 64-bit hash of the `width` (eight or more) bytes at every place of a text."""
+    words, n = _words(text), len(text) - width + 1
+    found = np.full(n, seed, np.uint64)
+    for at in [*range(0, width - 8, 8), width - 8]:
+        found ^= words[at:at + n]
+        found *= _A
+        found ^= found >> np.uint64(29)
+    found *= _C
+    found ^= found >> np.uint64(32)
+    return found
+
+
+def markers(text: np.ndarray, length: int, begins: np.ndarray | None = None):
+    """Places of the marking runs of texts that stand end to end (`begins`; each has `length` bytes or
+    more), and the first and the last of the strings of each."""
+    runs = len(text) - GRAM + 1
+    order = (hashes(text, GRAM) & _UPPER) | np.arange(runs, dtype=np.uint64)
+    reach, width = 1, length - GRAM + 1
     while reach < width:
         step = min(reach, width - reach)
-        right = order[step:] < order[:-step]
-        place = np.where(right, place[step:], place[:-step])
-        order = np.where(right, order[step:], order[:-step])
+        order = np.minimum(order[:-step], order[step:])
         reach += step
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return place[first], first, np.append(first[1:], len(place)) - 1
+    place = (order & ~_UPPER).astype(np.int64)
+    string = np.arange(len(place))
+    if begins is not None and len(begins) > 1:
+        # No string reaches from one text into the next.
+        inside = np.ones(len(place), bool)
+        for begin in begins[1:]:
+            inside[max(0, begin - length + 1):begin] = False
+        string, place = string[inside], place[inside]
+    new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    return place[new], string[new], string[np.append(new[1:], len(place)) - 1]
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    """Equally long byte rows as a column."""
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
-    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+#: Columns of an array: the first sixteen bytes as two numbers, the document, and the place with its
+#: strings, `_packed`.
+CELLS = ("high", "low", "doc_id", "spot")
+TYPES = (np.uint64, np.uint64, np.int64, np.int64)
+ARRAY = "bucket int, " + ", ".join(f"{c} binary" for c in CELLS)
 
 
-def _starts(text: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return np.lib.stride_tricks.sliding_window_view(text, GRAM)[place]
+def _packed(place, first, last):
+    """A place and its first and last string as one number; strings begin at most 63 bytes before it."""
+    return (place << 12) | ((place - first) << 6) | (last - first)
 
 
-SUFFIX = "start binary, doc_id long, place int"
+def _unpacked(spot):
+    place = spot >> 12
+    first = place - ((spot >> 6) & 63)
+    return place, first, first + (spot & 63)
 
 
-def suffixes(texts: DataFrame, length: int) -> DataFrame:
-    """(start, doc_id, place): the kept suffixes of (doc_id, bytes), in no order yet."""
+def _row(bucket: int, columns) -> list:
+    return [bucket, *(np.ascontiguousarray(c, dtype=t).tobytes() for c, t in zip(columns, TYPES))]
+
+
+def _columns(row) -> list[np.ndarray]:
+    return [np.frombuffer(cell, t) for cell, t in zip(row, TYPES)]
+
+
+def _table(rows: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))],
+        names=["bucket", *CELLS],
+    )
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]):
+    """Documents of about STRETCH bytes together: their ids, bytes and where each begins."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("bytes").to_pylist()):
+            ids.append(doc_id)
+            texts.append(data)
+            size += len(data)
+            if size >= STRETCH:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
+def suffixes(texts: DataFrame, length: int, buckets: int) -> DataFrame:
+    """The kept suffixes of (doc_id, bytes) as sorted runs, a row for each run and bucket."""
+
+    def emit(held):
+        high, low, doc_id, spot = (np.concatenate(c) for c in zip(*held))
+        bucket = (((high * _A) ^ (low * _B)) >> np.uint64(33)) % np.uint64(buckets)
+        order = np.lexsort((low, high, bucket))
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]]))
+        rows = [
+            _row(int(bucket[order[a]]), [c[order[a:b]] for c in (high, low, doc_id, spot)]) for a, b in zip(edges, edges[1:])
+        ]
+        for at in range(0, len(rows), 64):
+            yield _table(rows[at:at + 64])
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("bytes").to_pylist()):
-                text = np.frombuffer(data, np.uint8)
-                places = markers(text, length)[0]
-                for at in range(0, len(places), CHUNK):
-                    part = places[at:at + CHUNK]
-                    yield pa.RecordBatch.from_arrays(
-                        [_binary(_starts(text, part)), pa.array(np.full(len(part), doc_id, np.int64)), pa.array(part)],
-                        names=["start", "doc_id", "place"],
-                    )
+        held, size = [], 0
+        for ids, data in _stretches(batches):
+            text = np.frombuffer(b"".join(data), np.uint8)
+            begins = np.cumsum([0, *map(len, data)])[:-1]
+            place, first, last = markers(text, length, begins)
+            which = np.searchsorted(begins, place, "right") - 1
+            words, base = _words(text, ">"), begins[which]
+            held.append((words[place], words[place + 8], np.array(ids, np.int64)[which], _packed(place - base, first - base, last - base)))
+            size += len(place)
+            if size >= RUN:
+                yield from emit(held)
+                held, size = [], 0
+        if held:
+            yield from emit(held)
+
+    return texts.select("doc_id", "bytes").mapInArrow(sample, ARRAY)
+
 
-    return texts.select("doc_id", "bytes").mapInArrow(sample, SUFFIX)
+def _merged(rows) -> list[np.ndarray]:
+    """Sorted runs as one."""
+    columns = [np.concatenate(c) for c in zip(*map(_columns, rows))]
+    order = np.lexsort((columns[1], columns[0]))
+    return [c[order] for c in columns]
+
+
+def _one_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by bucket: one run for each bucket."""
+    bucket, held = None, []
+    for batch in batches:
+        for number, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", *CELLS))):
+            if number != bucket and held:
+                yield _table([_row(bucket, _merged(held))])
+                held = []
+            bucket = number
+            held.append(row)
+    if held:
+        yield _table([_row(bucket, _merged(held))])
+
+
+SPOTS = "part int, doc_id binary, spot binary"
 
 
 class Family:
-    """Suffix arrays as tables that are bucketed and sorted by the start of the suffix, so that arrays
-    meet bucket by bucket in order, without being moved. `levels` are (batches, table), oldest first."""
+    """Suffix arrays as tables of one row a bucket, bucketed by it, so that arrays meet bucket by
+    bucket without being moved. `levels` are (batches, table), oldest first."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.levels, self.folders = spark, [], {}
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def __init__(self, spark: SparkSession, buckets: int, crowd: int = 1 << 14):
+        self.spark, self.buckets, self.crowd = spark, buckets, crowd
+        self.levels: list[tuple[int, str]] = []
+        self.folders: dict[str, str] = {}
 
-    def _store(self, rows: DataFrame) -> str:
+    def _store(self, runs: DataFrame) -> str:
         name, folder = f"suffixes_{uuid.uuid4().hex}", new_folder(self.spark, "suffixes")
-        (
-            rows.repartition(self.buckets, "start").write.bucketBy(self.buckets, "start").sortBy("start")
-            .option("path", folder).saveAsTable(name)
-        )
+        together = runs.repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_one_run, ARRAY)
+        together.write.bucketBy(self.buckets, "bucket").option("path", folder).saveAsTable(name)
         self.folders[name] = folder
         return name
 
@@ -127,18 +209,38 @@ class Family:
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         discard(self.spark, self.folders.pop(name))
 
-    def add(self, rows: DataFrame) -> DataFrame:
+    def add(self, runs: DataFrame) -> DataFrame:
         """Take a batch in; what is returned are its suffixes and those of the levels that begin like a
-        suffix of another document. A suffix may be returned more than once."""
+        suffix of another document, as (part, doc_id, spot) with many of them in a row. The lowest bit
+        of a spot says that its beginning is crowded by now. A suffix may be returned by several
+        batches; one in a crowd is returned by every batch that adds to it.
+        """
         self._merge()
-        own = self._store(rows)
-        batch = self.spark.table(own)
-        ids = batch.groupBy("start").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-        found = batch.join(ids.where("least < most"), "start", "left_semi")
-        for _, name in self.levels:
-            level = self.spark.table(name)
-            found = found.union(batch.join(level, "start", "left_semi")).union(level.join(batch, "start", "left_semi"))
-        found = materialize(found, "found")
+        own = self._store(runs)
+        met, names = self.spark.table(own), [CELLS]
+        for i, (_, level) in enumerate(self.levels):
+            names.append(tuple(f"{c}{i}" for c in CELLS))
+            met = met.join(self.spark.table(level).withColumnsRenamed(dict(zip(CELLS, names[-1]))), "bucket", "left")
+        parts, crowd = self.buckets, self.crowd
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    arrays = [[batch.column(c)[i].as_py() for c in cells] for cells in names]
+                    arrays = [_columns(a) for a in arrays if a[0] is not None]
+                    high, low, doc_id, spot = (np.concatenate(c) for c in zip(*arrays))
+                    fresh = np.arange(len(high)) < len(arrays[0][0])
+                    order = np.lexsort((low, high))
+                    high, low, doc_id, spot, fresh = (c[order] for c in (high, low, doc_id, spot, fresh))
+                    new = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]))
+                    sizes = np.diff(np.append(new, len(high)))
+                    several = np.minimum.reduceat(doc_id, new) < np.maximum.reduceat(doc_id, new)
+                    several &= np.logical_or.reduceat(fresh, new)
+                    hit = np.flatnonzero(np.repeat(several, sizes))
+                    spot = (spot << 1) | np.repeat(sizes > crowd, sizes)
+                    yield from _dealt(doc_id[hit], spot[hit], parts)
+
+        found = materialize(met.mapInArrow(scan, SPOTS), "found")
         self.levels.append((1, own))
         return found
 
@@ -155,7 +257,52 @@ class Family:
         self.levels = []
 
 
-def remove_repeats(documents: DataFrame, length: int = 50, batches: int = 4, crowd: int = 2_048) -> DataFrame:
+def _dealt(doc_id: np.ndarray, spot: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Suffixes dealt into parts by their document, a row for each part."""
+    if not len(doc_id):
+        return
+    part = (((doc_id.view(np.uint64) * _A) >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0, [True]]))
+    yield pa.RecordBatch.from_arrays([
+        pa.array(part[order[edges[:-1]]].astype(np.int32)),
+        *(pa.array([c[order[a:b]].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for c in (doc_id, spot)),
+    ], names=["part", "doc_id", "spot"])
+
+
+def spots_of_documents(found: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, spots): the found suffixes of every document, each once, with the crowded bit if any
+    batch has set it."""
+
+    def settle(held) -> pa.RecordBatch:
+        doc_id, spot = (np.concatenate([np.frombuffer(x, np.int64) for x in c]) for c in zip(*held))
+        order = np.lexsort((-spot, doc_id))
+        doc_id, spot = doc_id[order], spot[order]
+        # Of a spot with and without the bit the one with it comes first.
+        once = np.concatenate([[True], (doc_id[1:] != doc_id[:-1]) | (spot[1:] >> 1 != spot[:-1] >> 1)])
+        doc_id, spot = doc_id[once], spot[once]
+        new = np.flatnonzero(np.concatenate([[True], doc_id[1:] != doc_id[:-1]]))
+        return pa.RecordBatch.from_arrays([
+            pa.array(doc_id[new]), pa.ListArray.from_arrays(np.append(new, len(doc_id)).astype(np.int32), spot)
+        ], names=["doc_id", "spots"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            for number, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "spot"))):
+                if number != part and held:
+                    yield settle(held)
+                    held = []
+                part = number
+                held.append(row)
+        if held:
+            yield settle(held)
+
+    dealt = found.repartition(parts, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "doc_id long, spots array<long>")
+
+
+def remove_repeats(documents: DataFrame, length: int = 50, batches: int = 4, crowd: int = 1 << 14) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document, as UTF-8 bytes: every byte
     is removed that is covered by a string of `length` bytes that also starts in a document with a
     smaller doc_id. Strings are judged on the input; `n_spans` counts maximal removed runs.
@@ -164,7 +311,7 @@ def remove_repeats(documents: DataFrame, length: int = 50, batches: int = 4, cro
     is settled by its digest, before any suffix is made. Suffixes with one beginning are verified in
     one task up to `crowd` of them; the strings of more crowded ones are dealt out by their own hash,
     where a string that many documents share is reduced to its smallest doc_id before it moves.
-    Verified strings are compared by 64-bit hashes among those of one beginning (128 bits in crowds).
+    Verified strings are compared by 64-bit hashes (128 bits in crowds).
 
     Defined results: a null text is empty. A document without an id keeps all its bytes and takes
     none from others. Rows with the same doc_id are documents of their own, neither before the other.
@@ -188,28 +335,25 @@ def remove_repeats(documents: DataFrame, length: int = 50, batches: int = 4, cro
     shares = [i / batches for i in range(1, batches)]
     cuts = facts.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), 10_000)).first()[0] or [] if shares else []
     bounds = [None, *sorted(set(cuts)), None]
-    family, found = Family(spark), None
+    n_bytes = facts.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // ((length - GRAM + 2) // 2 * BUCKET)))
+    family, found = Family(spark, buckets, crowd), None
     for low, high in zip(bounds, bounds[1:]):
         part = texts
         if low is not None:
             part = part.where(F.col("doc_id") > low)
         if high is not None:
             part = part.where(F.col("doc_id") <= high)
-        matches = family.add(suffixes(part, length))
+        matches = family.add(suffixes(part, length, buckets))
         found = matches if found is None else found.union(matches)
         release(spark)
     family.drop()
 
-    crowded = materialize(found.groupBy("start").count().where(F.col("count") > crowd).select("start"), "crowded")
-    # Twice the place, plus one in a crowd: one number for each suffix.
-    marked = found.join(small(crowded.withColumn("crowd", F.lit(1)), 64), "start", "left").select(
-        "doc_id", (F.col("place").cast("long") * 2 + F.coalesce("crowd", F.lit(0))).alias("place")
-    )
-    placed = materialize(marked.groupBy("doc_id").agg(F.collect_set("place").alias("places")), "places")
+    placed = materialize(spots_of_documents(found, buckets), "spots")
     release(spark)
     spans = materialize(_verified(_excerpts(texts, placed, length), length), "spans")
     release(spark)
-    if not crowded.isEmpty():
+    if not placed.where(F.exists("spots", lambda x: x % 2 == 1)).isEmpty():
         spans = spans.union(materialize(_crowded(texts, placed, length), "crowded_spans"))
         release(spark)
     cut = _cut(texts, spans)
@@ -224,42 +368,46 @@ def remove_repeats(documents: DataFrame, length: int = 50, batches: int = 4, cro
     )
 
 
-def _chosen(batch: pa.RecordBatch, length: int, crowd: int):
-    """Of every text: the bytes, id and mark, and place, first and last string of the suffixes that are
-    (not) in a crowd."""
-    for doc_id, mark, data, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "bytes", "places"))):
-        text, wanted = np.frombuffer(data, np.uint8), np.asarray(places, np.int64)
-        place, first, last = markers(text, length)
-        hit = np.isin(place, wanted[wanted % 2 == crowd] // 2)
-        if hit.any():
-            yield text, doc_id, mark, place[hit], first[hit], last[hit]
+def _chosen(batch: pa.RecordBatch, crowd: int):
+    """Of every text: its id, mark and bytes, and the first and last strings of its suffixes that are
+    (not) in a crowd, with their places."""
+    for doc_id, mark, data, spots in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "mark", "bytes", "spots"))):
+        spot = np.array(spots, np.int64)
+        spot = np.sort(spot[(spot & 1) == crowd] >> 1)
+        place, first, last = _unpacked(spot)
+        # A row that repeats another's id with a shorter text has fewer places.
+        yield doc_id, mark, data, place, first, last
 
 
 def _joined(texts: DataFrame, placed: DataFrame, crowd: int) -> DataFrame:
-    return texts.join(placed.where(F.exists("places", lambda x: x % 2 == crowd)), "doc_id").select("doc_id", "mark", "bytes", "places")
+    return texts.join(placed.where(F.exists("spots", lambda x: x % 2 == crowd)), "doc_id").select("doc_id", "mark", "bytes", "spots")
 
 
 def _excerpts(texts: DataFrame, placed: DataFrame, length: int) -> DataFrame:
-    """(start, doc_id, mark, first, excerpt): of every found suffix the bytes that hold its strings."""
+    """(key, doc_id, mark, first, excerpt): of every found suffix the bytes that hold its strings, with
+    a hash of its beginning."""
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, doc_id, mark, place, first, last in _chosen(batch, length, 0):
-                data = text.tobytes()
+            for doc_id, mark, data, place, first, last in _chosen(batch, 0):
+                fits = last + length <= len(data)
+                place, first, last = place[fits], first[fits], last[fits]
+                words = _words(np.frombuffer(data, np.uint8))
+                key = (words[place] * _A) ^ (words[place + 8] * _B)
                 yield pa.RecordBatch.from_arrays([
-                    _binary(_starts(text, place)), pa.array(np.full(len(place), doc_id, np.int64)),
+                    pa.array(key.view(np.int64)), pa.array(np.full(len(place), doc_id, np.int64)),
                     pa.array(np.full(len(place), mark, np.int64)), pa.array(first.astype(np.int32)),
-                    pa.array([data[a:b + length] for a, b in zip(first.tolist(), last.tolist())], pa.binary()),
-                ], names=["start", "doc_id", "mark", "first", "excerpt"])
+                    pa.array([data[a:b] for a, b in zip(first.tolist(), (last + length).tolist())], pa.binary()),
+                ], names=["key", "doc_id", "mark", "first", "excerpt"])
 
-    return _joined(texts, placed, 0).mapInArrow(cut_out, "start binary, doc_id long, mark long, first int, excerpt binary")
+    return _joined(texts, placed, 0).mapInArrow(cut_out, "key long, doc_id long, mark long, first int, excerpt binary")
 
 
 SPAN = "doc_id long, mark long, begin int, end int"
 
 
 def _verified(excerpts: DataFrame, length: int) -> DataFrame:
-    """Removed stretches of the excerpts: all excerpts of one start are compared in one task."""
+    """Removed stretches of the excerpts: all excerpts of one key are compared in one task."""
 
     def settle(groups: pa.Table) -> pa.RecordBatch:
         sizes = pc.binary_length(groups.column("excerpt")).to_numpy() - length + 1
@@ -290,16 +438,17 @@ def _verified(excerpts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            # Whole groups: all rows before those of the last start; that start may go on.
+            # Whole groups: all rows before those of the last key; that key may go on.
             end = batch.num_rows
-            starts, last = batch.column("start"), batch.column("start")[-1].as_py()
-            while end and starts[end - 1].as_py() == last:
-                end -= 1
+            keys = batch.column("key").to_numpy()
+            last = keys[-1]
+            others = np.flatnonzero(keys != last)
+            end = int(others[-1]) + 1 if len(others) else 0
             ready = [*held, batch.slice(0, end)]
-            if end and sum(b.num_rows for b in ready):
+            if end:
                 yield settle(pa.Table.from_batches(ready).combine_chunks())
                 held = [batch.slice(end)]
-            elif held and held[-1].column("start")[-1].as_py() != last:
+            elif held and held[-1].column("key")[-1].as_py() != last:
                 yield settle(pa.Table.from_batches(held).combine_chunks())
                 held = [batch]
             else:
@@ -307,16 +456,19 @@ def _verified(excerpts: DataFrame, length: int) -> DataFrame:
         if held:
             yield settle(pa.Table.from_batches(held).combine_chunks())
 
-    return excerpts.repartition("start").sortWithinPartitions("start").mapInArrow(run, SPAN)
+    return excerpts.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPAN)
 
 
 def _crowded(texts: DataFrame, placed: DataFrame, length: int) -> DataFrame:
-    """The same of crowded starts, string by string."""
+    """The same of crowded beginnings, string by string."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, doc_id, mark, _, first, last in _chosen(batch, length, 1):
-                at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)])
+            for doc_id, mark, data, _, first, last in _chosen(batch, 1):
+                text, fits = np.frombuffer(data, np.uint8), last + length <= len(data)
+                at = np.concatenate([np.arange(a, b + 1) for a, b in zip(first[fits], last[fits])] or [np.empty(0, np.int64)])
+                if not len(at):
+                    continue
                 yield pa.RecordBatch.from_arrays([
                     *(pa.array(hashes(text, length, seed)[at].view(np.int64)) for seed in (1, 1_000_003)),
                     pa.array(np.full(len(at), doc_id, np.int64)), pa.array(np.full(len(at), mark, np.int64)), pa.array(at.astype(np.int32)),
