@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitalgrid.session import new_folder
+
 #: Bytes of a table that may be broadcast; a caller proves its bound or takes another way.
 BROADCAST_BYTES = 32 << 20
 
@@ -69,6 +71,14 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def kept_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The rows as a written table, and its folder, which `discard` removes when nothing reads it."""
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    df.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     """Remove a folder of the shared scratch space that nothing reads any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalgrid.llm.shared import discard, release, small
+from vitalgrid.llm.shared import discard, kept_table, release, small
 from vitalgrid.session import materialize, new_folder
 
 #: Bytes by which suffixes are sorted and compared: two words of eight.
@@ -189,38 +189,49 @@ def _one_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SPOTS = "part int, doc_id binary, spot binary"
 
 
+class Bucketed:
+    """A table in buckets of a column, one file each: what joins it by that column finds it in place."""
+
+    def __init__(self, rows: DataFrame, label: str, column: str, buckets: int):
+        self.spark = rows.sparkSession
+        self.name, self.folder = f"{label}_{uuid.uuid4().hex}", new_folder(self.spark, label)
+        (
+            rows.write.bucketBy(buckets, column).option("path", self.folder).option("compression", "zstd")
+            .saveAsTable(self.name)
+        )
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        discard(self.spark, self.folder)
+
+
 class Family:
     """Suffix arrays as tables of one row a bucket, bucketed by it, so that arrays meet bucket by
     bucket without being moved. `levels` are (batches, table), oldest first."""
 
     def __init__(self, spark: SparkSession, buckets: int, crowd: int = 1 << 14):
         self.spark, self.buckets, self.crowd = spark, buckets, crowd
-        self.levels: list[tuple[int, str]] = []
-        self.folders: dict[str, str] = {}
+        self.levels: list[tuple[int, Bucketed]] = []
 
-    def _store(self, runs: DataFrame) -> str:
-        name, folder = f"suffixes_{uuid.uuid4().hex}", new_folder(self.spark, "suffixes")
+    def _store(self, runs: DataFrame) -> Bucketed:
         together = runs.repartition(self.buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_one_run, ARRAY)
-        together.write.bucketBy(self.buckets, "bucket").option("path", folder).saveAsTable(name)
-        self.folders[name] = folder
-        return name
-
-    def _drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        discard(self.spark, self.folders.pop(name))
+        return Bucketed(together, "suffixes", "bucket", self.buckets)
 
     def add(self, runs: DataFrame) -> DataFrame:
-        """Take a batch in; what is returned are its suffixes and those of the levels that begin like a
+        """Take a batch in; what is returned, to be read before the next batch comes, are its suffixes and those of the levels that begin like a
         suffix of another document, as (part, doc_id, spot) with many of them in a row. The lowest bit
         of a spot says that its beginning is crowded by now. A suffix may be returned by several
         batches; one in a crowd is returned by every batch that adds to it.
         """
         self._merge()
         own = self._store(runs)
-        met, names = self.spark.table(own), [CELLS]
+        met, names = own.read(), [CELLS]
         for i, (_, level) in enumerate(self.levels):
             names.append(tuple(f"{c}{i}" for c in CELLS))
-            met = met.join(self.spark.table(level).withColumnsRenamed(dict(zip(CELLS, names[-1]))), "bucket", "left")
+            met = met.join(level.read().withColumnsRenamed(dict(zip(CELLS, names[-1]))), "bucket", "left")
         parts, crowd = self.buckets, self.crowd
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,20 +251,20 @@ class Family:
                     spot = (spot << 1) | np.repeat(sizes > crowd, sizes)
                     yield from _dealt(doc_id[hit], spot[hit], parts)
 
-        found = materialize(met.mapInArrow(scan, SPOTS), "found")
+        found = met.mapInArrow(scan, SPOTS)
         self.levels.append((1, own))
         return found
 
     def _merge(self) -> None:
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (n, late), (m, early) = self.levels.pop(), self.levels.pop()
-            self.levels.append((n + m, self._store(self.spark.table(early).union(self.spark.table(late)))))
-            self._drop(early)
-            self._drop(late)
+            self.levels.append((n + m, self._store(early.read().union(late.read()))))
+            early.drop()
+            late.drop()
 
     def drop(self) -> None:
-        for _, name in self.levels:
-            self._drop(name)
+        for _, level in self.levels:
+            level.drop()
         self.levels = []
 
 
@@ -337,26 +348,34 @@ def remove_repeats(documents: DataFrame, length: int = 50, batches: int = 4, cro
     bounds = [None, *sorted(set(cuts)), None]
     n_bytes = facts.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // ((length - GRAM + 2) // 2 * BUCKET)))
-    family, found = Family(spark, buckets, crowd), None
+    family, found, folders = Family(spark, buckets, crowd), None, []
     for low, high in zip(bounds, bounds[1:]):
         part = texts
         if low is not None:
             part = part.where(F.col("doc_id") > low)
         if high is not None:
             part = part.where(F.col("doc_id") <= high)
-        matches = family.add(suffixes(part, length, buckets))
+        matches, folder = kept_table(family.add(suffixes(part, length, buckets)), "found")
+        folders.append(folder)
         found = matches if found is None else found.union(matches)
         release(spark)
     family.drop()
-
-    placed = materialize(spots_of_documents(found, buckets), "spots")
+    # The texts with a found suffix move once, and are then read in place by what follows.
+    placed, folder = kept_table(spots_of_documents(found, buckets), "spots")
+    for old in folders:
+        discard(spark, old)
+    held = texts.repartition(buckets, "doc_id").join(placed, "doc_id").select("doc_id", "mark", "bytes", "spots")
+    held = Bucketed(held, "held", "doc_id", buckets)
+    discard(spark, folder)
     release(spark)
-    spans = materialize(_verified(_excerpts(texts, placed, length), length), "spans")
+    spans = materialize(_verified(_excerpts(held.read(), length), length), "spans")
     release(spark)
-    if not placed.where(F.exists("spots", lambda x: x % 2 == 1)).isEmpty():
-        spans = spans.union(materialize(_crowded(texts, placed, length), "crowded_spans"))
+    crowded = held.read().where(F.exists("spots", lambda x: x % 2 == 1))
+    if not crowded.isEmpty():
+        spans = spans.union(materialize(_crowded(crowded, length), "crowded_spans"))
         release(spark)
-    cut = _cut(texts, spans)
+    cut = materialize(_cut(held.read(), spans), "cut")
+    held.drop()
     whole = copies.withColumn("copy", F.lit(True))
     copied = F.coalesce("copy", F.lit(False))
     done = facts.join(small(whole, 32), ["doc_id", "mark"], "left").join(cut, ["doc_id", "mark"], "left")
@@ -379,11 +398,7 @@ def _chosen(batch: pa.RecordBatch, crowd: int):
         yield doc_id, mark, data, place, first, last
 
 
-def _joined(texts: DataFrame, placed: DataFrame, crowd: int) -> DataFrame:
-    return texts.join(placed.where(F.exists("spots", lambda x: x % 2 == crowd)), "doc_id").select("doc_id", "mark", "bytes", "spots")
-
-
-def _excerpts(texts: DataFrame, placed: DataFrame, length: int) -> DataFrame:
+def _excerpts(held: DataFrame, length: int) -> DataFrame:
     """(key, doc_id, mark, first, excerpt): of every found suffix the bytes that hold its strings, with
     a hash of its beginning."""
 
@@ -400,7 +415,8 @@ def _excerpts(texts: DataFrame, placed: DataFrame, length: int) -> DataFrame:
                     pa.array([data[a:b] for a, b in zip(first.tolist(), (last + length).tolist())], pa.binary()),
                 ], names=["key", "doc_id", "mark", "first", "excerpt"])
 
-    return _joined(texts, placed, 0).mapInArrow(cut_out, "key long, doc_id long, mark long, first int, excerpt binary")
+    alone = held.where(F.exists("spots", lambda x: x % 2 == 0))
+    return alone.mapInArrow(cut_out, "key long, doc_id long, mark long, first int, excerpt binary")
 
 
 SPAN = "doc_id long, mark long, begin int, end int"
@@ -459,7 +475,7 @@ def _verified(excerpts: DataFrame, length: int) -> DataFrame:
     return excerpts.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPAN)
 
 
-def _crowded(texts: DataFrame, placed: DataFrame, length: int) -> DataFrame:
+def _crowded(held: DataFrame, length: int) -> DataFrame:
     """The same of crowded beginnings, string by string."""
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -474,14 +490,16 @@ def _crowded(texts: DataFrame, placed: DataFrame, length: int) -> DataFrame:
                     pa.array(np.full(len(at), doc_id, np.int64)), pa.array(np.full(len(at), mark, np.int64)), pa.array(at.astype(np.int32)),
                 ], names=["x", "y", "doc_id", "mark", "begin"])
 
-    rows = materialize(_joined(texts, placed, 1).mapInArrow(strings, "x long, y long, doc_id long, mark long, begin int"), "strings")
-    firsts = rows.groupBy("x", "y").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+    rows = materialize(held.mapInArrow(strings, "x long, y long, doc_id long, mark long, begin int"), "strings")
+    firsts = rows.groupBy("x", "y").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    # The strings of crowds that several documents share are few beside their places.
+    firsts = small(materialize(firsts.where("least < most").select("x", "y", "least"), "firsts"), 48)
     return rows.join(firsts, ["x", "y"]).where("doc_id > least").select(
         "doc_id", "mark", "begin", (F.col("begin") + length).alias("end")
     )
 
 
-def _cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
+def _cut(held: DataFrame, spans: DataFrame) -> DataFrame:
     """(doc_id, mark, removed, spans, kept) of the documents that lose something."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -503,6 +521,8 @@ def _cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 ], names=["doc_id", "mark", "removed", "spans", "kept"])
 
     stretches = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("begin", "end")).alias("stretches"))
-    # A row that repeats both id and text is cut once.
-    once = texts.join(stretches, ["doc_id", "mark"]).select("doc_id", "mark", "bytes", "stretches")
+    # By the id alone, by which the texts are bucketed; a row that repeats both id and text is cut once.
+    once = held.join(stretches.withColumnRenamed("mark", "of"), "doc_id").where(F.col("mark") == F.col("of")).select(
+        "doc_id", "mark", "bytes", "stretches"
+    )
     return once.mapInArrow(cut, "doc_id long, mark long, removed long, spans long, kept string").distinct()
