@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 
 import numpy as np
 import pandas as pd
@@ -14,14 +15,13 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,14 +33,18 @@ from vitalgrid.operators.encoding import (
     scaled,
 )
 from vitalgrid.operators.neighbors import nearest
+from vitalgrid.operators.perceptron import Perceptron
 from vitalgrid.operators.sequences import stratified_kfold, stratified_split
-from vitalgrid.session import materialize, spread
+from vitalgrid.session import materialize, new_folder, spread
+from vitalgrid.streaming import logs
 
 SEED = 42
 # MLlib grows trees to depth 30 at most; an unlimited depth becomes this.
 UNLIMITED_DEPTH = 30
 # Models that want scaled input.
 SCALED = {"logistic_regression", "rbf_svc", "mlp"}
+# Histograms a task of a tree fit may hold: with more, a level of all trees takes fewer passes.
+TREE_MEMORY_MB = 1024
 # Iterative fits end when the loss improves by less than this share.
 TOLERANCE = 1e-4
 
@@ -61,13 +65,15 @@ def random_forest(sizes: Sizes = Sizes(), max_depth: int = 10, min_leaf: int = 2
     return RandomForestClassifier(
         labelCol=label, featuresCol="features", numTrees=sizes.trees, maxDepth=max_depth,
         minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=SEED,
+        # A pass then needs each row's node only, not all trees so far.
+        maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True,
     )
 
 
 def gradient_boosting(sizes: Sizes = Sizes(), label: str = "label"):
     return GBTClassifier(
         labelCol=label, featuresCol="features", maxIter=sizes.boosting_rounds, stepSize=0.1,
-        maxDepth=3, seed=SEED,
+        maxDepth=3, seed=SEED, maxMemoryInMB=TREE_MEMORY_MB,
     )
 
 
@@ -90,10 +96,7 @@ def naive_bayes(label: str = "label"):
 
 
 def mlp(inputs: int, sizes: Sizes = Sizes(), label: str = "label"):
-    return MultilayerPerceptronClassifier(
-        labelCol=label, featuresCol="scaled_features", layers=[inputs, *sizes.hidden, 2],
-        maxIter=sizes.iterations, tol=TOLERANCE, seed=SEED,
-    )
+    return Perceptron(inputs, sizes.hidden, label, iterations=sizes.iterations, tolerance=TOLERANCE, seed=SEED)
 
 
 # Random Fourier features (Rahimi and Recht 2007): a linear margin on them is an RBF margin.
@@ -191,6 +194,10 @@ class NearestVote:
         )
 
 
+# Models whose fits take long, by the number of jobs that follow each other in one.
+LONGEST_FIRST = ("gradient_boosting", "mlp", "rbf_svc", "random_forest", "knn", "logistic_regression")
+
+
 def estimators(rows: int, inputs: int, sizes: Sizes = Sizes(), label: str = "label") -> dict[str, Callable]:
     """Fresh estimator per model name."""
     return {
@@ -266,8 +273,8 @@ def compare_models(
     scales = fit_scales(train, features)
     keep = [identifier, label, "features", "scaled_features"]
     train = materialize(stratified_kfold(train, label, identifier, folds), "folds")
-    train = spread(materialize(with_vectors(spread(train), features, scales).select(*keep, "fold"), "train"))
-    test = materialize(with_vectors(test, features, scales).select(*keep), "test")
+    train = spread(materialize(with_vectors(train, features, scales).select(*keep, "fold"), "train"))
+    test = spread(materialize(with_vectors(test, features, scales).select(*keep), "test"))
     made = estimators(train.count(), len(features), sizes, label)
 
     def run(task):
@@ -278,8 +285,11 @@ def compare_models(
         return quality(made[name]().fit(known.drop("fold")).transform(asked), label)
 
     names = list(names or made)
-    # Fold by fold, so that the long fits of one model do not queue behind each other.
-    tasks = [(name, held) for held in (None, *range(folds)) for name in names]
+    # The longest fits first, so that none of them is left to run alone at the end.
+    tasks = sorted(
+        ((name, held) for held in (None, *range(folds)) for name in names),
+        key=lambda task: LONGEST_FIRST.index(task[0]) if task[0] in LONGEST_FIRST else len(LONGEST_FIRST),
+    )
     with ThreadPool(parallelism) as pool:
         found = dict(zip(tasks, pool.map(run, tasks, chunksize=1)))
     rows = []
@@ -307,6 +317,10 @@ BATCH_GRID = {
 }
 
 
+def _text(point: Mapping) -> str:
+    return ", ".join(f"{p.name}={v}" for p, v in point.items())
+
+
 def grid_search(
     df: DataFrame,
     features: Sequence[str],
@@ -314,11 +328,15 @@ def grid_search(
     identifier: str = "id",
     grid: Mapping[str, Sequence] = STREAM_GRID,
     folds: int = 3,
-    parallelism: int = 4,
+    parallelism: int = 8,
+    folder: str | None = None,
 ) -> tuple[DataFrame, object]:
     """Cross-validated accuracy per parameter set, best first, and the model refitted with the best.
 
-    Under ten rows there is nothing to search: the default forest is fitted.
+    Every (parameter set, fold) is a fit of its own, and its accuracy is a batch of the log
+    `folder/results` as soon as it is known. A search that is started again with the same folder takes
+    up what the log has and fits only the rest; the folds depend on the identifiers alone. The largest
+    forests are fitted first. Under ten rows there is nothing to search: the default forest is fitted.
     """
     rows = df.count()
     folds = min(folds, max(2, rows // 3))
@@ -328,23 +346,40 @@ def grid_search(
     if rows < 10:
         model = forest.fit(with_vectors(df, features))
         return spark.createDataFrame([(1, "default", None)], schema), model
+    folder = folder or new_folder(spark, "search")
+    results = f"{folder}/results"
     folded = materialize(stratified_kfold(df, label, identifier, folds), "folds")
-    data = spread(materialize(with_vectors(spread(folded), features).select(label, "features", "fold"), "grid"))
+    data = spread(materialize(with_vectors(folded, features).select(label, "features", "fold"), "grid"))
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(forest.getParam(name), list(values))
-    points = builder.build()
-    search = CrossValidator(
-        estimator=forest, estimatorParamMaps=points, numFolds=folds, foldCol="fold",
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        parallelism=parallelism,
-    ).fit(data)
-    texts = [", ".join(f"{p.name}={v}" for p, v in point.items()) for point in points]
-    board = sorted(zip(search.avgMetrics, texts), key=lambda item: (-item[0], item[1]))
-    table = spark.createDataFrame(
-        [(i, text, float(a)) for i, (a, text) in enumerate(board, 1)], schema
-    )
-    return table, search.bestModel
+    points = {_text(p): p for p in builder.build()}
+    # The log holds one row for each parameter set and fold.
+    log = logs.read_log_or_none(spark, results)
+    found = {} if log is None else {(r["parameters"], r["fold"]): r["accuracy"] for r in log.collect()}
+    tasks, one_writer = [(text, held) for text in points for held in range(folds)], Lock()
+
+    def size(task):
+        named = {p.name: v for p, v in points[task[0]].items()}
+        return -named.get("numTrees", 1) * named.get("maxDepth", 1) / named.get("minInstancesPerNode", 1)
+
+    def run(task):
+        text, held = task
+        model = forest.copy(points[text]).fit(data.filter(F.col("fold") != held))
+        asked = model.transform(data.filter(F.col("fold") == held))
+        accuracy = asked.agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+        row = spark.createDataFrame([(text, held, accuracy)], "parameters string, fold int, accuracy double")
+        with one_writer:
+            logs.append_batch(row.coalesce(1), results, tasks.index(task))
+        return accuracy
+
+    open_tasks = sorted((t for t in tasks if t not in found), key=size)
+    with ThreadPool(parallelism) as pool:
+        found.update(zip(open_tasks, pool.map(run, open_tasks, chunksize=1)))
+    mean = {text: sum(found[text, held] for held in range(folds)) / folds for text in points}
+    board = sorted(mean.items(), key=lambda item: (-item[1], item[0]))
+    table = spark.createDataFrame([(i, text, float(a)) for i, (text, a) in enumerate(board, 1)], schema)
+    return table, forest.copy(points[board[0][0]]).fit(data)
 
 
 def importance_table(model, features: Sequence[str], spark) -> DataFrame:
@@ -398,3 +433,24 @@ def fit_risk_model(
         random_forest(sizes, max_depth, min_leaf, label),
     ])
     return RiskModel(preprocessor, stages.fit(prepared))
+
+
+def tuned_risk_model(
+    df: DataFrame,
+    numeric: Sequence[str],
+    categories: Sequence[str],
+    label: str = "label",
+    identifier: str = "id",
+    grid: Mapping[str, Sequence] | None = None,
+    folds: int = 5,
+    folder: str | None = None,
+) -> tuple[DataFrame, RiskModel]:
+    """The board of a search over a grid (the batch grid, unless another is given) and the forest that
+    is refitted with its best parameters. A search with a folder goes on where it was ended."""
+    preprocessor = Preprocessor(list(numeric), list(categories)).fit(df)
+    prepared = materialize(preprocessor.transform(df).select(identifier, *preprocessor.features, label), "tuning")
+    board, forest = grid_search(
+        prepared, preprocessor.features, label, identifier, BATCH_GRID if grid is None else grid, folds, folder=folder
+    )
+    assembler = VectorAssembler(inputCols=preprocessor.features, outputCol="features")
+    return board, RiskModel(preprocessor, PipelineModel(stages=[assembler, forest]))

@@ -56,16 +56,10 @@ def scaled_lags(sequence: str, scale, columns: Mapping[str, tuple[float, float]]
     ])))
 
 
-def _regression(kind: str, rounds: int):
-    if kind == "linear":
-        return LinearRegression(
-            featuresCol="features", labelCol="scaled_target", predictionCol=PREDICTION,
-            regParam=1e-3, maxIter=100,
-        )
-    # Boosting stops early once the marked rows no longer improve.
-    return GBTRegressor(
-        featuresCol="features", labelCol="scaled_target", predictionCol=PREDICTION, maxIter=rounds,
-        maxDepth=3, stepSize=0.1, validationIndicatorCol="held", seed=42,
+def _regression():
+    return LinearRegression(
+        featuresCol="features", labelCol="scaled_target", predictionCol=PREDICTION,
+        regParam=1e-3, maxIter=100,
     )
 
 
@@ -81,6 +75,42 @@ def training_windows(
     return sliding_sequence(marked, readings(value, columns), steps, with_target=True, target=value, **how)
 
 
+def stop_round(losses: Sequence[float], patience: int) -> int:
+    """Number of rounds to keep: up to the lowest loss before `patience` rounds in a row without a lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _boosted(ready: DataFrame, rounds: int, patience: int) -> tuple[PipelineModel, list[dict]]:
+    """Boosting on the rows that are not held; the held ones decide how many rounds are kept.
+
+    All rounds are grown and the loss after each is measured in one pass over either part. The fit
+    with fewer rounds grows the same first trees.
+    """
+    train, tail = ready.filter(~F.col("held")), ready.filter("held")
+
+    def grown(n: int):
+        return GBTRegressor(
+            featuresCol="features", labelCol="scaled_target", predictionCol=PREDICTION, maxIter=n,
+            maxDepth=3, stepSize=0.1, seed=42,
+        ).fit(train)
+
+    model = grown(rounds)
+    losses = model.evaluateEachIteration(train, "squared")
+    tail_losses = losses if tail.isEmpty() else model.evaluateEachIteration(tail, "squared")
+    kept = stop_round(tail_losses, patience)
+    history = [
+        {"round": i + 1, "loss": float(a), "val_loss": float(b), "kept": i < kept}
+        for i, (a, b) in enumerate(zip(losses, tail_losses))
+    ]
+    return PipelineModel(stages=[model if kept == rounds else grown(kept)]), history
+
+
 def mean_squared(df: DataFrame, actual: str, predicted: str) -> float | None:
     error = F.col(predicted) - F.col(actual)
     return df.agg(F.avg(error * error)).first()[0]
@@ -94,9 +124,13 @@ def fit_forecaster(
     rounds: int = 30,
     share: float = 0.2,
     columns: Sequence[str] = (),
+    patience: int = 5,
 ) -> Forecaster | None:
     """One regression pooled over all series; the newest `share` of each series is held out.
 
+    The held-out rows stop the boosted kind: once `patience` rounds in a row have not lowered their
+    loss, the rounds up to the lowest are kept, and `run["rounds"]` has the losses after every round.
+
     None if no window is left to train on: no series has `steps` rows and a next one yet.
     """
     scales = collect_scale(fit_scale(df, list(dict.fromkeys([value, *columns]))))
@@ -111,11 +145,14 @@ def fit_forecaster(
     samples = ready.filter(~F.col("held")).count()
     if not samples:
         return None
-    used = ready if kind == "boosted" else ready.filter(~F.col("held"))
-    stages = Pipeline(stages=[_regression(kind, rounds)]).fit(used)
+    history: list[dict] = []
+    if kind == "boosted":
+        stages, history = _boosted(ready, rounds, patience)
+    else:
+        stages = Pipeline(stages=[_regression()]).fit(ready.filter(~F.col("held")))
     fitted = stages.transform(ready)
     run = {
-        "samples": samples,
+        "samples": samples, "rounds": history,
         "final_loss": mean_squared(fitted.filter(~F.col("held")), "scaled_target", PREDICTION),
         "final_val_loss": mean_squared(fitted.filter("held"), "scaled_target", PREDICTION),
     }
@@ -144,3 +181,9 @@ def training_runs(spark: SparkSession, runs: Sequence[dict]) -> DataFrame:
         ],
         "run int, samples bigint, final_loss double, final_val_loss double",
     ).withColumn("timestamp", F.current_timestamp())
+
+
+def round_history(spark: SparkSession, run: dict) -> DataFrame:
+    """Losses of a boosted fit, one row per round."""
+    rows = [(r["round"], r["loss"], r["val_loss"], r["kept"]) for r in run["rounds"]]
+    return spark.createDataFrame(rows, "round int, loss double, val_loss double, kept boolean")

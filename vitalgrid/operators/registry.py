@@ -10,53 +10,54 @@ import json
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from vitalgrid.operators.encoding import Dictionary, Preprocessor
-from vitalgrid.streaming.logs import append_batch, read_log_or_none
+from vitalgrid.streaming import files, logs
 
 
 @dataclass
 class Registry:
     spark: SparkSession
     folder: str
+    #: Newest versions that are kept; older ones are removed when a new one is saved. None keeps all.
+    keep: int | None = None
 
     def _version(self, version: int) -> str:
         return f"{self.folder}/models/v{version:08d}"
 
-    def _records(self) -> DataFrame | None:
-        return read_log_or_none(self.spark, f"{self.folder}/versions")
-
     def latest(self, before: int | None = None) -> int | None:
         """Newest complete version, of those below `before` if given."""
-        records = self._records()
-        if records is None:
-            return None
-        if before is not None:
-            records = records.filter(F.col("batch_id") < before)
-        return records.agg(F.max("batch_id")).first()[0]
+        return logs.newest_batch(self.spark, f"{self.folder}/versions", before)
 
     def save(
-        self, version: int, stages: PipelineModel, preprocessor: Preprocessor | None = None, **facts
+        self, version: int, stages: PipelineModel | None, preprocessor: Preprocessor | None = None, **facts
     ) -> int:
-        """Writes the model first and its record last; saving a version again replaces it."""
+        """Writes the model first and its record last; saving a version again replaces it.
+
+        A model that its facts describe in full has no stages.
+        """
         folder = self._version(version)
-        stages.write().overwrite().save(f"{folder}/stages")
+        if stages is not None:
+            stages.write().overwrite().save(f"{folder}/stages")
         meta = {"facts": facts, "preprocessor": None}
         if preprocessor is not None:
             meta["preprocessor"] = preprocessor.describe()
             if preprocessor.dictionary is not None and preprocessor.dictionary.entries is None:
                 preprocessor.dictionary.table.write.mode("overwrite").parquet(f"{folder}/dictionary")
         record = self.spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1)
-        append_batch(record, f"{self.folder}/versions", version)
+        logs.append_batch(record, f"{self.folder}/versions", version)
+        if self.keep is not None:
+            stored = [n for n in files.names(self.spark, f"{self.folder}/models") if int(n[1:]) <= version]
+            for name in stored[:-self.keep]:
+                files.remove(self.spark, f"{self.folder}/models/{name}")
         return version
 
     def facts(self, version: int) -> dict:
         return self._meta(version)["facts"]
 
     def _meta(self, version: int) -> dict:
-        row = self._records().filter(F.col("batch_id") == version).first()
+        row = logs.read_batch(self.spark, f"{self.folder}/versions", version).first()
         return json.loads(row["meta"])
 
     def load(self, version: int) -> tuple[PipelineModel, Preprocessor | None]:

@@ -115,15 +115,17 @@ def downsample(df: DataFrame, step: int = 10, **how) -> DataFrame:
     )
 
 
-def chrono_split(df: DataFrame, share: float = 0.2, **how) -> DataFrame:
-    """`part` is test for the last `ceil(n * share)` rows of each series, train before."""
+def chrono_split(df: DataFrame, share: float = 0.2, validation: float = 0.0, **how) -> DataFrame:
+    """`part` is test for the last `ceil(n * share)` rows of each series, train before; with
+    `validation`, that share of the rows before the test rows, the newest of them, is validation."""
     test_rows = F.ceil(F.col("group_rows") * F.lit(share))
+    before = F.col("group_rows") - test_rows
+    part = F.when(F.col("position") > before, "test")
+    if validation:
+        part = part.when(F.col("position") > before - F.ceil(before * F.lit(validation)), "validation")
     return (
         series_positions(df, **how)
-        .withColumn(
-            "part",
-            F.when(F.col("position") > F.col("group_rows") - test_rows, "test").otherwise("train"),
-        )
+        .withColumn("part", part.otherwise("train"))
         .drop("position", "group_rows")
     )
 

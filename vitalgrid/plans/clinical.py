@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions import cleaning, features
 from vitalgrid.functions.columns import rounded
-from vitalgrid.operators import augment, bayes, encoding, metrics, profile, sequences
+from vitalgrid.operators import augment, bayes, encoding, metrics, profile, sequences, sketches
 from vitalgrid.operators.quantiles import exact_medians
 from vitalgrid.schemas import (
     CATEGORY_CODES,
@@ -18,6 +18,7 @@ from vitalgrid.schemas import (
 )
 from vitalgrid.session import materialize, new_folder
 from vitalgrid.sources import messages, tables
+from vitalgrid.streaming import progress
 
 MEASURED = ["age", "trestbps", "chol", "thalch", "oldpeak", "ca"]
 SWITCHES = ["fbs", "exang"]
@@ -98,6 +99,40 @@ def ingest_tally(spark, folder):
     return profile.ingest_tally(parsed, F.col(messages.CORRUPT).isNull(), "batch")
 
 
+def observed_tally(spark, folder):
+    """The tally of all messages, taken while they are written: no job of its own."""
+    parsed = messages.decode_json(
+        tables.read_table(spark, folder, "events").select(F.col("props").alias("value")).union(
+            tables.read_table(spark, folder, "documents").select("text")
+        ), messages.StructType([messages.StructField("k", messages.StringType())]),
+    )
+    told = progress.write_observed(
+        parsed, progress.tally(F.col(messages.CORRUPT).isNull()),
+        lambda df: df.write.parquet(new_folder(spark, "messages")),
+    )
+    return spark.createDataFrame([(told["sent"], told["failed"])], "sent long, failed long")
+
+
+def _sketched(spark, folder) -> str:
+    """The patients in three appended batches, each sketched when it came."""
+    target = new_folder(spark, "sketches")
+    df = tables.patients(spark, folder)
+    for batch in range(3):
+        sketches.append_sketch(df.filter(F.col("id") % 3 == batch), target, batch)
+    return target
+
+
+def sketch_parts(spark, folder):
+    """What merges exactly of the profile of all batches."""
+    found = sketches.stored_profile(spark, _sketched(spark, folder))
+    return found.select("column", "type", "n_rows", "n_values", *[rounded(c).alias(c) for c in ("mean", "std", "low", "high")])
+
+
+def sketch_profile(spark, folder):
+    """The whole profile of all batches, with distinct values and quartiles as estimates."""
+    return sketches.stored_profile(spark, _sketched(spark, folder))
+
+
 # Cleaning and features ---------------------------------------------------------------------
 
 
@@ -322,6 +357,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         scan_csv, head_n, json_decode, json_encode, pair_emit, multi_source_union, ingest_tally,
+        observed_tally, sketch_parts, sketch_profile,
         select_features, route_by_label, fill_defaults, binarize_label, coerce_numeric,
         map_categories, clamp_ranges, bucketize, risk_flags, hr_reserve, risk_score,
         feature_engineering, clean_and_engineer, label_encode, label_encode_transform,

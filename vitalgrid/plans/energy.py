@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from vitalgrid.functions.columns import rounded
 from vitalgrid.functions.scoring import absolute_error, alert_tier as alert, clock_text, percent_error
-from vitalgrid.operators import metrics, sequences
-from vitalgrid.operators.forecasting import fit_forecaster, readings, score_windows, training_windows
+from vitalgrid.operators import additive, metrics, sequences
+from vitalgrid.operators.forecasting import fit_forecaster, readings, round_history, training_windows
+from vitalgrid.plans.learning import checked_forecasts
 from vitalgrid.schemas import ENERGY_EVENT, ENERGY_FEATURES, ENERGY_TARGET, METERS
-from vitalgrid.session import new_folder
+from vitalgrid.session import materialize, new_folder
 from vitalgrid.sources import messages, tables
 from vitalgrid.streaming import logs
 
@@ -131,11 +132,33 @@ def energy_windows(spark, folder):
 def energy_forecast(spark, folder):
     """Held-out forecasts of the load from the twelve columns of the last 60 events."""
     df = energy_feed(spark, folder)
+    df = materialize(df.select("series_id", "event_id", "time", *[F.col(f"`{c}`") for c in ENERGY_FEATURES]), "events")
     model = fit_forecaster(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES)
-    windows = training_windows(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES).filter("held").drop("held")
-    gap = F.abs(F.col("predicted") - F.col("actual"))
-    return score_windows(model, windows).select(
-        "series_id", "event_id", "actual", F.coalesce(F.abs(F.col("error") - gap) < 1e-9, F.lit(False)).alias("valid")
+    windows = training_windows(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES)
+    return checked_forecasts(model, materialize(windows, "windows"))
+
+
+def _training_rows(spark, folder, steps):
+    windows = sequences.sliding_sequence(tables.series(spark, folder), "use_kw", steps, with_target=True)
+    return windows.select("series_id", "event_id", "sequence", "target")
+
+
+def forecast_moments(spark, folder):
+    """The sums that the additive fit over the last 60 readings is made of."""
+    rows = _training_rows(spark, folder, STEPS).select(additive.lags("sequence").alias("features"), "target")
+    return additive.product_sums(rows, STEPS).select("i", "j", F.round("total", 4).alias("total"))
+
+
+def additive_forecast(spark, folder):
+    """Forecasts of an additive fit of each reading on the one before, and the fit's own loss."""
+    rows = materialize(_training_rows(spark, folder, 1), "windows")
+    sums = additive.Moments.of(rows.select(additive.lags("sequence").alias("features"), "target"), 1)
+    model = additive.AdditiveForecaster.of(sums, 1)
+    if model is None:
+        return rows.select("series_id", "event_id", F.lit(0.0).alias("predicted"), F.lit(0.0).alias("loss"))
+    return model.predict(rows).select(
+        "series_id", "event_id", rounded("predicted").alias("predicted"),
+        F.lit(round(model.run["final_loss"], 4)).alias("loss"),
     )
 
 
@@ -149,6 +172,19 @@ def chrono_split(spark, folder):
     return sequences.chrono_split(tables.series(spark, folder)).select("series_id", "event_id", "part")
 
 
+def chrono_split_three(spark, folder):
+    """Train, validation tail and test of every series."""
+    parts = sequences.chrono_split(tables.series(spark, folder), 0.2, validation=0.1)
+    return parts.select("series_id", "event_id", "part")
+
+
+def boosted_forecast(spark, folder):
+    """Losses after every round of the boosted forecaster, and which rounds its validation tail kept."""
+    model = fit_forecaster(tables.series(spark, folder), "use_kw", STEPS, kind="boosted")
+    run = model.run if model else {"rounds": []}
+    return round_history(spark, run)
+
+
 def recent_k(spark, folder):
     rows = metrics.recent(forecasts(spark, folder), 10, "time", "event_id")
     return rows.select("event_id", "actual", "predicted", rounded("error").alias("error"))
@@ -205,5 +241,6 @@ QUERIES = {
         next_step_target, latest_sequence, bounded_history, retrain_marks, chrono_split, recent_k,
         forecast_baseline, forecast_error, forecast_metrics, series_stats, alert_tier,
         cold_start_gate, prediction_log, energy_windows, energy_forecast,
+        forecast_moments, additive_forecast, chrono_split_three, boosted_forecast,
     )
 }

@@ -575,6 +575,10 @@ ORACLES["report"] = (
     f" FROM ({SCORED}) s CROSS JOIN (VALUES (0), (1)) v(p) GROUP BY y, p"
 )
 ORACLES["stream_sequence"] = ORACLES["sliding_sequence"]
+ORACLES["stream_state_sequence"] = over("series", more={
+    "pos": POSITIONS,
+    "w": "SELECT series_id, event_id, rn, list(use_kw) OVER (PARTITION BY series_id ORDER BY time, event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW) AS s FROM pos",
+}, select=f"SELECT series_id, event_id, rn AS position, rn >= 160 AS warm, {sequence_text('s')} AS sequence FROM w WHERE rn >= 60")
 
 
 # Models have no SQL form; their queries tell what SQL can: which rows get a result, whether it is
@@ -586,7 +590,7 @@ _TEST_ROWS = (
 MODELS = [
     "random_forest", "gradient_boosting", "logistic_regression", "rbf_svc", "knn", "naive_bayes", "decision_tree", "mlp",
 ]
-for _query in ("rf", "gbt", "logreg", "rbf_svc", "dtree", "nb", "mlp", "knn"):
+for _query in ("rf", "gbt", "logreg", "rbf_svc", "dtree", "mlp", "knn"):
     ORACLES[f"{_query}_scores"] = over("patients", more={"labelled": LABELLED, "test": _TEST_ROWS}, select=(
         "SELECT id, label, TRUE AS valid, CAST(NULL AS BOOLEAN) AS beats_majority FROM test UNION ALL SELECT NULL, NULL, NULL, TRUE"))
 ORACLES["compare_models"] = union_all(f"SELECT '{m}' AS model, TRUE AS valid" for m in MODELS)
@@ -630,3 +634,112 @@ ORACLES["energy_windows"] = over("series", more={
     "pos": POSITIONS,
     "w": f"SELECT series_id, event_id, rn, use_kw, list({_EVENT}) OVER (PARTITION BY series_id ORDER BY time, event_id ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS s FROM pos",
 }, select=f"SELECT series_id, event_id, {sequence_text('flatten(s)')} AS sequence, use_kw AS target FROM w WHERE rn > 60")
+
+# Additive forecasts: a fit on one reading has the closed form of a regression line, shrunk by the
+# penalty on its standardised slope.
+_PAIRS = (
+    "SELECT *, lag(use_kw) OVER (PARTITION BY series_id ORDER BY time, event_id) AS x FROM pos"
+)
+_SHRUNK = "regr_slope(use_kw, x) / 1.001"
+ORACLES["additive_forecast"] = over("series", more={
+    "pos": POSITIONS, "pairs": f"SELECT * FROM ({_PAIRS}) q WHERE rn > 1",
+    "fit": f"SELECT {_SHRUNK} AS slope, avg(use_kw) - {_SHRUNK} * avg(x) AS base FROM pairs WHERE x IS NOT NULL AND use_kw IS NOT NULL",
+    "loss": "SELECT avg((use_kw - base - slope * x) * (use_kw - base - slope * x)) AS loss FROM pairs CROSS JOIN fit",
+}, select=(
+    f"SELECT series_id, event_id, {r6('base + slope * x')} AS predicted, round(loss, 4) AS loss"
+    " FROM pairs CROSS JOIN fit CROSS JOIN loss"))
+ORACLES["forecast_moments"] = over("series", more={
+    "pos": POSITIONS,
+    "w": "SELECT rn, use_kw, list(use_kw) OVER (PARTITION BY series_id ORDER BY time, event_id ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS s FROM pos",
+    "x": "SELECT list_prepend(CAST(1 AS DOUBLE), list_append(s, use_kw)) AS r FROM w WHERE rn > 60",
+    "ij": "SELECT i, j FROM range(62) a(i), range(62) b(j) WHERE i <= j",
+}, select="SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(sum(r[i + 1] * r[j + 1]), 4) AS total FROM x, ij GROUP BY i, j")
+
+# The stream in ten equal spans of time: a model appears with the batch that completes 100 windows,
+# and again with every batch that completes another 100 forecasts.
+_STREAM = {
+    "pos": POSITIONS,
+    "span": "SELECT min(epoch_us(time)) AS lo, max(epoch_us(time)) AS hi FROM series",
+    "cut": "SELECT i, lo + (hi - lo) * i // 10 AS at FROM span, range(1, 10) t(i)",
+    "sliced": "SELECT p.*, (SELECT count(*) FROM cut WHERE epoch_us(p.time) > cut.at) AS slice,"
+    " lag(use_kw) OVER (PARTITION BY series_id ORDER BY time, event_id) AS x FROM pos p",
+}
+
+
+def _stream_versions(steps: int) -> dict[str, str]:
+    return _STREAM | {
+        "per": f"SELECT b.i AS slice, count(s.rn) AS n FROM range(10) b(i) LEFT JOIN sliced s ON s.slice = b.i AND s.rn > {steps} GROUP BY b.i",
+        "upto": "SELECT slice, n, sum(n) OVER (ORDER BY slice) AS total FROM per",
+        "opened": "SELECT min(slice) AS first FROM upto WHERE total >= 100",
+        "made": "SELECT slice, sum(n) OVER (ORDER BY slice) AS done, n FROM upto, opened WHERE slice > first",
+        "due": "SELECT first AS slice FROM opened WHERE first IS NOT NULL UNION ALL"
+        " SELECT slice FROM made WHERE done // 100 > (done - n) // 100",
+        "versions": "SELECT p.slice, CAST(max(d.slice) + 1 AS INTEGER) AS version FROM per p JOIN due d ON d.slice < p.slice GROUP BY p.slice",
+        "asked": f"SELECT s.*, v.version FROM sliced s JOIN versions v ON s.slice = v.slice WHERE s.rn > {steps}",
+    }
+
+
+ORACLES["stream_forecast_rows"] = over("series", more=_stream_versions(60), select=(
+    "SELECT series_id, event_id, strftime(time, '%H:%M:%S') AS clock, use_kw AS actual, version AS model_version FROM asked"))
+ORACLES["stream_additive"] = over("series", more=_stream_versions(1) | {
+    "fit": f"SELECT v.version, {_SHRUNK} AS slope, avg(use_kw) - {_SHRUNK} * avg(x) AS base"
+    " FROM (SELECT DISTINCT version FROM versions) v JOIN sliced s ON s.slice < v.version WHERE s.rn > 1 GROUP BY v.version",
+    "told": "SELECT a.*, base + slope * x AS predicted FROM asked a JOIN fit USING (version)",
+    "judged": "SELECT *, abs(predicted - use_kw) AS error FROM told",
+}, select=(
+    f"SELECT series_id, event_id, use_kw AS actual, {r6('predicted')} AS predicted, {r6('error')} AS error,"
+    f" {r6('CASE WHEN use_kw > 0 THEN error / use_kw * 100 ELSE 0 END')} AS error_pct,"
+    " CASE WHEN predicted > 100 THEN 'high' WHEN predicted > 50 THEN 'medium' ELSE 'normal' END AS tier,"
+    " version AS model_version FROM judged"))
+
+# What is told while rows are written or streamed, and what sketches merge exactly.
+ORACLES["observed_tally"] = (
+    "WITH m AS (SELECT props AS v FROM events UNION ALL SELECT text FROM documents)"
+    " SELECT count(*) FILTER (WHERE json_valid(v)) AS sent, count(*) FILTER (WHERE NOT json_valid(v)) AS failed FROM m"
+)
+ORACLES["stream_progress"] = over("patients", more={
+    "span": "SELECT min(id) AS lo, max(id) AS hi FROM patients",
+}, select=(
+    "SELECT CAST(id > lo + (hi - lo) // 2 AS BIGINT) AS batch_id, count(*) AS sent, CAST(0 AS BIGINT) AS failed FROM patients, span GROUP BY 1"
+    " UNION ALL SELECT 2, count(*) FILTER (WHERE json_valid(text)), count(*) FILTER (WHERE NOT json_valid(text)) FROM documents"))
+ORACLES["sketch_parts"] = over("patients", select=union_all(
+    f"SELECT '{c}' AS \"column\", '{t}' AS type, count(*) AS n_rows, count({c}) AS n_values, "
+    + ", ".join(
+        (f"{r6(f'{f}({c})')}" if t in ("bigint", "int", "double") else "CAST(NULL AS DOUBLE)") + f" AS {name}"
+        for f, name in (("avg", "mean"), ("stddev_samp", "std"), ("min", "low"), ("max", "high")))
+    + " FROM patients" for c, t in PATIENT_TYPES.items()))
+
+ORACLES["chrono_split_three"] = over("series", more={
+    "pos": POSITIONS, "b": "SELECT *, n - ceil(n * 0.2) AS before FROM pos",
+}, select=(
+    "SELECT series_id, event_id, CASE WHEN rn > before THEN 'test' WHEN rn > before - ceil(before * 0.1) THEN 'validation' ELSE 'train' END AS part FROM b"))
+
+ORACLES["pipeline_roundtrip"] = ORACLES["model_roundtrip"]
+ORACLES["pipeline_folds"] = over("patients", select=(
+    "SELECT CAST((rn - 1) % 5 AS INTEGER) AS fold, count(*) AS rows, TRUE AS valid FROM ("
+    "SELECT row_number() OVER (PARTITION BY num > 0 ORDER BY md5(CAST(id AS VARCHAR)), id) AS rn FROM patients WHERE num IS NOT NULL) t GROUP BY 1"))
+
+
+def _bayes_scores() -> str:
+    names = [*FEATURES, *ENGINEERED]
+    raw = ENGINEERED | {"hr_reserve": "CASE WHEN 220 - age > 0 THEN thalch / (220 - age) ELSE 0 END"}
+    columns = ", ".join(f"CAST({raw.get(c, c)} AS DOUBLE) AS {c}" for c in names)
+    moments = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in names)
+    widest = "greatest(" + ", ".join(f"var_pop({c})" for c in names) + ")"
+    terms = " - ".join(
+        f"0.5 * (ln(2 * pi() * (v_{c} + floor_)) + (t.{c} - m_{c}) * (t.{c} - m_{c}) / (v_{c} + floor_))" for c in names
+    )
+    return over("imputed", more={
+        "known": f"SELECT id, label, {columns} FROM imputed WHERE num IS NOT NULL",
+        "placed": "SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(id AS VARCHAR)), id) <= ceil(count(*) OVER (PARTITION BY label) * 0.2) AS test FROM known",
+        "class": f"SELECT label AS y, count(*) AS rows, {moments} FROM placed WHERE NOT test GROUP BY label",
+        "all_": f"SELECT count(*) AS total, 1e-9 * {widest} AS floor_ FROM placed WHERE NOT test",
+        "likely": f"SELECT t.id, t.label, y, ln(CAST(rows AS DOUBLE) / total) - {terms} AS s FROM placed t, class, all_ WHERE test",
+        "both_": "SELECT id, label, max(CASE WHEN y = 1 THEN s END) - max(CASE WHEN y = 0 THEN s END) AS d FROM likely GROUP BY id, label",
+        "p": "SELECT id, label, CASE WHEN d > 0 THEN 1 / (1 + exp(-least(d, 700))) ELSE exp(greatest(d, -700)) / (1 + exp(greatest(d, -700))) END AS p FROM both_",
+    }, select=(
+        f"SELECT id, label, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction, {r6('p')} AS probability,"
+        " CASE WHEN p > 0.7 THEN 'High' WHEN p > 0.3 THEN 'Medium' ELSE 'Low' END AS risk_level FROM p"))
+
+
+ORACLES["nb_scores"] = _bayes_scores()

@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from vitalgrid.functions.columns import rounded
 from vitalgrid.functions.scoring import absolute_error, percent_error
 from vitalgrid.operators import metrics
 from vitalgrid.plans.energy import forecasts, sequence_text
 from vitalgrid.plans.learning import valid_scores
 from vitalgrid.session import new_folder
 from vitalgrid.sources import messages, tables
-from vitalgrid.streaming import logs, runtime
+from vitalgrid.streaming import logs, progress, rolling, runtime
 from vitalgrid.streaming.clinical import ClinicalStream, initial_training
 from vitalgrid.streaming.energy import EnergyStream
 
@@ -37,12 +38,17 @@ FORECAST = StructType([
 ])
 
 
-def in_slices(df: DataFrame, order: str, slices: int = SLICES) -> list[DataFrame]:
-    """The table in `slices` parts along an order column; rows without an order come first."""
-    cuts = df.agg(
-        F.percentile_approx(order, [i / slices for i in range(1, slices)], 1000).alias("cuts")
-    ).first()["cuts"]
-    part = sum(F.coalesce((F.col(order) > F.lit(cut)).cast("int"), F.lit(0)) for cut in cuts)
+def in_slices(df: DataFrame, order: str, slices: int = SLICES, even: bool = False) -> list[DataFrame]:
+    """The table in `slices` parts along an order column, of about as many rows each or, `even`, of
+    equal spans of whole numbers; rows without an order come first."""
+    if even:
+        low, high = df.agg(F.min(order), F.max(order)).first()
+        cuts = [] if low is None else [low + (high - low) * i // slices for i in range(1, slices)]
+    else:
+        cuts = df.agg(
+            F.percentile_approx(order, [i / slices for i in range(1, slices)], 1000).alias("cuts")
+        ).first()["cuts"]
+    part = sum((F.coalesce((F.col(order) > F.lit(cut)).cast("int"), F.lit(0)) for cut in cuts), F.lit(0))
     sliced = df.withColumn("_slice", part)
     return [sliced.filter(F.col("_slice") == i).drop("_slice") for i in range(slices)]
 
@@ -55,9 +61,10 @@ def publish_and_drain(
         drain(messages.message_stream(spark, topic, kind="files"))
 
 
-def _meter_messages(spark, folder, slices) -> list[DataFrame]:
+def _meter_messages(spark, folder, slices, even=False) -> list[DataFrame]:
     df = tables.series(spark, folder).withColumn("time_us", F.unix_micros("time")).select(*READING.names)
-    return [messages.encode_messages(part, F.col("event_id")) for part in in_slices(df, "time_us", slices)]
+    parts = in_slices(df, "time_us", slices, even)
+    return [messages.encode_messages(part, F.col("event_id")) for part in parts]
 
 
 def _readings(stream: DataFrame) -> DataFrame:
@@ -65,11 +72,11 @@ def _readings(stream: DataFrame) -> DataFrame:
     return good.withColumn("time", F.timestamp_micros("time_us")).drop("time_us")
 
 
-def _run(spark, folder, handle, parse=_readings, mode="append", slices=SLICES) -> None:
+def _run(spark, folder, handle, parse=_readings, mode="append", slices=SLICES, even=False) -> None:
     """Publishes the meter series and drains it through a handler."""
     checkpoint, topic = new_folder(spark, "checkpoint"), new_folder(spark, "topic")
     publish_and_drain(
-        spark, _meter_messages(spark, folder, slices), topic,
+        spark, _meter_messages(spark, folder, slices, even), topic,
         lambda stream: runtime.drain(parse(stream), handle, checkpoint, mode),
     )
 
@@ -104,18 +111,45 @@ def stream_sequence(spark, folder):
     )
 
 
-def stream_forecast(spark, folder):
-    energy = EnergyStream(
-        spark, new_folder(spark, "energy"), steps=STEPS, high=100.0, medium=50.0
+def stream_state_sequence(spark, folder):
+    """The same windows from keyed state, and from which reading on a series can have a model."""
+    target = new_folder(spark, "windows")
+    _run(
+        spark, folder, lambda df, i: logs.append_batch(df, target, i),
+        lambda stream: rolling.keyed_windows(_readings(stream), steps=STEPS),
+    )
+    return logs.read_log(spark, target).select(
+        "series_id", "event_id", "position", "warm", sequence_text("sequence").alias("sequence")
     )
-    # Many small batches: the first ones stay cold, as no series has a full window yet.
-    _run(spark, folder, energy.forecast_batch, slices=FORECAST_SLICES)
-    return energy.read("predictions").select(
+
+
+def _forecast_stream(spark, folder, steps: int) -> EnergyStream:
+    """Many small batches: the first ones stay cold, as no series has a full window yet."""
+    energy = EnergyStream(spark, new_folder(spark, "energy"), steps=steps, high=100.0, medium=50.0)
+    _run(spark, folder, energy.forecast_batch, slices=FORECAST_SLICES, even=True)
+    return energy
+
+
+def stream_forecast(spark, folder):
+    return _forecast_stream(spark, folder, STEPS).read("predictions").select(
         "series_id", "event_id", "clock", "actual", "predicted", "error", "error_pct", "tier",
         "model_version",
     )
 
 
+def stream_forecast_rows(spark, folder):
+    """Which readings of the same stream are forecast, and by which version of the model."""
+    return stream_forecast(spark, folder).select("series_id", "event_id", "clock", "actual", "model_version")
+
+
+def stream_additive(spark, folder):
+    """The stream with a window of one reading, whose fits and forecasts have a closed form."""
+    return _forecast_stream(spark, folder, 1).read("predictions").select(
+        "series_id", "event_id", "actual", rounded("predicted").alias("predicted"), rounded("error").alias("error"),
+        rounded("error_pct").alias("error_pct"), "tier", "model_version",
+    )
+
+
 def stream_metrics(spark, folder):
     """Running error report over all forecasts so far, as of the last batch."""
     records = forecasts(spark, folder).select("event_id", "actual", "predicted")
@@ -139,6 +173,31 @@ def stream_metrics(spark, folder):
     return log.filter(F.col("batch_id") == last).drop("batch_id")
 
 
+def stream_progress(spark, folder):
+    """Per micro-batch of a feed with broken messages: how many were sent and failed, as the stream
+    itself reports it."""
+    target, topic, checkpoint = (new_folder(spark, n) for n in ("progress", "topic", "checkpoint"))
+    df = tables.patients(spark, folder).drop("dataset")
+    broken = tables.read_table(spark, folder, "documents").select(
+        F.concat(F.lit("doc_"), "doc_id").alias("key"), F.col("text").alias("value")
+    )
+    parts = [messages.encode_messages(part, F.col("id")) for part in in_slices(df, "id", even=True)]
+    clinical = ClinicalStream(spark, new_folder(spark, "clinical"))
+
+    def run(stream):
+        good = F.col(messages.CORRUPT).isNull()
+        runtime.drain(
+            progress.observed(clinical.parse(stream), "messages", progress.tally(good)), clinical.route_batch, checkpoint
+        )
+
+    with progress.ProgressLog(spark, target) as log:
+        publish_and_drain(spark, [*parts, broken], topic, run)
+    told = F.col("metrics")["messages"]
+    return log.read().select(
+        "batch_id", told["sent"].cast("long").alias("sent"), told["failed"].cast("long").alias("failed"),
+    )
+
+
 # Clinical ----------------------------------------------------------------------------------
 
 
@@ -217,7 +276,8 @@ def stream_models(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        stream_source, stream_append, stream_sequence, stream_forecast,
-        stream_metrics, dual_stream, stream_score, stream_train_blocks, stream_models,
+        stream_source, stream_append, stream_sequence, stream_state_sequence, stream_forecast,
+        stream_forecast_rows, stream_additive,
+        stream_metrics, stream_progress, dual_stream, stream_score, stream_train_blocks, stream_models,
     )
 }

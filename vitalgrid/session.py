@@ -89,10 +89,21 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def spread(stored: DataFrame) -> DataFrame:
-    """A stored table in at least as many partitions as there are cores, for iterative fits.
+#: Rows that are worth a task of their own in an iterative fit: less, and starting tasks costs more
+#: than the work they share.
+FIT_ROWS = 20_000
 
-    Only a table too small to fill the cluster is moved.
+
+def spread(stored: DataFrame, rows_per_task: int = FIT_ROWS) -> DataFrame:
+    """A stored table in as many partitions as its rows deserve, for iterative fits.
+
+    A fit runs hundreds of short jobs over the same rows. A table of a few thousand rows is one task
+    of each, so that many fits share the cluster; a table that was written in too few files to use
+    all cores is dealt out to them.
     """
     cores = stored.sparkSession.sparkContext.defaultParallelism
-    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored
+    wanted = min(cores, max(1, -(-stored.count() // rows_per_task)))
+    have = stored.rdd.getNumPartitions()
+    if have < wanted:
+        return stored.repartition(wanted)
+    return stored.coalesce(wanted) if wanted < cores and have > wanted else stored

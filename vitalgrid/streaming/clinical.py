@@ -20,12 +20,17 @@ from vitalgrid.operators.classifiers import RiskModel, Sizes, fit_risk_model
 from vitalgrid.operators.registry import Registry
 from vitalgrid.operators.sequences import blocks, stratified_split
 from vitalgrid.schemas import TEXT_CATEGORIES
+from vitalgrid.session import materialize
 from vitalgrid.sources.messages import decode_clinical, split_corrupt
 from vitalgrid.streaming import logs, runtime
 
 # What a fit raises over its rows. Anything else (a lost executor, a full disk) fails the batch,
 # which is then repeated.
 DATA_ERRORS = (ValueError, IllegalArgumentException)
+# Batches for which the state of a stream is kept: the newest counts, older ones are for repeats.
+STATES = 50
+# Model versions that are kept.
+VERSIONS = 20
 NUMERIC = ["age", "trestbps", "chol", "fbs", "thalch", "exang", "oldpeak", "ca"]
 
 
@@ -41,7 +46,8 @@ class ClinicalStream:
     registry: Registry = field(init=False)
 
     def __post_init__(self):
-        self.registry = Registry(self.spark, f"{self.folder}/registry")
+        self.registry = Registry(self.spark, f"{self.folder}/registry", keep=VERSIONS)
+        self._loaded: tuple[int, RiskModel] | None = None
 
     def table(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -96,20 +102,25 @@ class ClinicalStream:
         if version is None:
             logs.append_batch(batch, self.table("pending"), batch_id)
             return
-        stages, preprocessor = self.registry.load(version)
         rows = batch
         drained = logs.state_before(self.spark, self.table("drained"), batch_id)
         since = -1 if drained is None else drained["upto"]
-        pending = self.read("pending")
-        if pending is not None:
-            waiting = pending.filter((F.col("batch_id") > since) & (F.col("batch_id") < batch_id))
+        waiting = logs.read_batches(self.spark, self.table("pending"), since + 1, batch_id - 1)
+        if waiting is not None:
             rows = rows.unionByName(waiting.drop("batch_id"))
-        scored = RiskModel(preprocessor, stages).score(rows, "id")
+        scored = self._model(version).score(rows, "id")
         logs.append_batch(
             scored.withColumn("model_version", F.lit(version)), self.table("predictions"), batch_id
         )
         mark = self.spark.range(1).select(F.lit(batch_id).alias("upto"))
-        logs.append_batch(mark, self.table("drained"), batch_id)
+        logs.append_batch(mark, self.table("drained"), batch_id, keep=STATES)
+
+    def _model(self, version: int) -> RiskModel:
+        """A version, read from the folder once as long as it is the newest."""
+        if self._loaded is None or self._loaded[0] != version:
+            stages, preprocessor = self.registry.load(version)
+            self._loaded = version, RiskModel(preprocessor, stages)
+        return self._loaded[1]
 
     # Training --------------------------------------------------------------------------------
 
@@ -144,10 +155,10 @@ class ClinicalStream:
         full = int(rows.count() // self.block_rows)
         taken = cut.filter(F.col("block") < full).withColumn("block", F.col("block") + first)
         logs.append_batch(taken, self.table("blocks"), batch_id)
-        logs.append_batch(cut.filter(F.col("block") >= full).drop("block"), self.table("remainder"), batch_id)
+        logs.append_batch(cut.filter(F.col("block") >= full).drop("block"), self.table("remainder"), batch_id, keep=STATES)
         logs.append_batch(
             self.spark.range(1).select(F.lit(first + full).cast("bigint").alias("blocks")),
-            self.table("blocks_done"), batch_id,
+            self.table("blocks_done"), batch_id, keep=STATES,
         )
         if full:
             self.fit(batch_id)
@@ -155,12 +166,12 @@ class ClinicalStream:
     def fit(self, batch_id: int) -> None:
         """Model from the blocks of this batch, or from all so far; published as version
         `batch_id + 1`. Blocks that cannot be fitted go to `failed_blocks`."""
-        history = logs.read_log(self.spark, self.table("blocks"))
-        fresh = history.filter(F.col("batch_id") == batch_id)
-        chosen = history.filter(F.col("batch_id") <= batch_id) if self.incremental else fresh
+        blocks_log = self.table("blocks")
+        fresh = logs.read_batch(self.spark, blocks_log, batch_id)
+        chosen = logs.read_batches(self.spark, blocks_log, 0, batch_id).drop("batch_id") if self.incremental else fresh
         earlier = self.registry.latest(before=batch_id + 1)
         rows = (
-            chosen.drop("batch_id", "arrival", "block")
+            chosen.drop("arrival", "block")
             .withColumn("label", binary_label(F.col("num")))
             .withColumns({c: F.col(c).cast("double") for c in NUMERIC})
         )
@@ -175,7 +186,7 @@ class ClinicalStream:
                 )
         except DATA_ERRORS as error:  # the stream goes on with the version it has
             logs.append_batch(
-                fresh.drop("batch_id").withColumn("reason", F.lit(str(error)[:500])),
+                fresh.withColumn("reason", F.lit(str(error)[:500])),
                 self.table("failed_blocks"), batch_id,
             )
             return
@@ -194,7 +205,8 @@ def initial_training(
     rows = df.withColumn("label", binary_label(F.col("num"))).withColumns(
         {c: F.col(c).cast("double") for c in NUMERIC}
     )
-    split = stratified_split(rows, "label", "id")
+    # Every fitted statistic reads the rows; they are decoded and split once.
+    split = materialize(stratified_split(rows, "label", "id"), "initial")
     model = fit_risk_model(
         split.filter("part = 'train'").drop("part"), NUMERIC, TEXT_CATEGORIES, sizes=sizes
     )

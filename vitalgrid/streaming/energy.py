@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vitalgrid.functions.scoring import alert_tier, clock_text
+from vitalgrid.operators.additive import AdditiveForecaster, Moments, lags, product_sums
 from vitalgrid.operators.forecasting import (
     Forecaster,
     fit_forecaster,
@@ -38,12 +39,13 @@ class EnergyStream:
     refit_every: int = 100
     high: float = 1.5
     medium: float = 1.0
-    kind: str = "linear"
+    kind: str = "additive"
     compact_every: int = 100
+    keep_versions: int = 20
     registry: Registry = field(init=False)
 
     def __post_init__(self):
-        self.registry = Registry(self.spark, f"{self.folder}/registry")
+        self.registry = Registry(self.spark, f"{self.folder}/registry", keep=self.keep_versions)
 
     def table(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -83,7 +85,9 @@ class EnergyStream:
             if batch_id % self.compact_every:
                 tail = tail.join(batch.select("series_id").distinct(), "series_id", "left_semi")
             rows = batch.unionByName(tail.select(*batch.columns))
-        logs.append_batch(bounded_history(rows, self.keep), self.table("tail"), batch_id)
+        logs.append_batch(
+            bounded_history(rows, self.keep), self.table("tail"), batch_id, keep=2 * self.compact_every + 2
+        )
 
     def sequence_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Appends the windows of the batch to `sequences`."""
@@ -96,23 +100,54 @@ class EnergyStream:
 
     # Forecasts -------------------------------------------------------------------------------
 
-    def load(self, version: int) -> Forecaster:
-        stages, _ = self.registry.load(version)
+    def load(self, version: int) -> Forecaster | AdditiveForecaster:
         facts = self.registry.facts(version)
+        if "weights" in facts:
+            return AdditiveForecaster.from_facts(facts)
+        stages, _ = self.registry.load(version)
         columns = {name: tuple(scale) for name, scale in facts["columns"]}
         return Forecaster(facts["steps"], tuple(facts["scale"]), stages, {}, columns)
 
-    def _publish(self, history: DataFrame, version: int, batch_id: int) -> bool:
-        model = fit_forecaster(history, self.value, self.steps, self.kind, columns=self.columns)
+    @property
+    def inputs(self) -> int:
+        return self.steps * max(1, len(self.columns))
+
+    def _centre(self, batch: DataFrame, before: Row | None) -> float:
+        """What sums are taken around: the mean of the first batch that has a reading."""
+        if before is not None and before["centre"] is not None:
+            return before["centre"]
+        return batch.agg(F.avg(F.col(f"`{self.value}`").cast("double"))).first()[0] or 0.0
+
+    def _add_moments(self, windows: DataFrame, batch_id: int, centre: float) -> None:
+        """The sums so far with those of this batch: a table of one size in every batch."""
+        fresh = windows.select(lags("sequence", self.columns).alias("features"), "target")
+        sums = product_sums(fresh, self.inputs, centre)
+        past = logs.read_batches(self.spark, self.table("moments"), 0, batch_id - 1)
+        if past is not None:
+            newest = past.groupBy().agg(F.max("batch_id").alias("newest"))
+            past = past.join(F.broadcast(newest), F.col("batch_id") == F.col("newest")).select("i", "j", "total")
+            sums = sums.unionByName(past).groupBy("i", "j").agg(F.sum("total").alias("total"))
+        logs.append_batch(sums.coalesce(1), self.table("moments"), batch_id, keep=2)
+
+    def _publish(self, version: int, batch_id: int, centre: float) -> bool:
+        if self.kind == "additive":
+            sums = logs.read_batch(self.spark, self.table("moments"), batch_id)
+            model = AdditiveForecaster.of(Moments.none(self.inputs, centre).filled(sums), self.steps, self.columns)
+        else:
+            history = logs.read_batches(self.spark, self.table("history"), 0, batch_id).drop("batch_id")
+            model = fit_forecaster(history, self.value, self.steps, self.kind, columns=self.columns)
         if model is None:
             return False
         logs.append_batch(
             training_runs(self.spark, [model.run]).drop("run"), self.table("runs"), version
         )
-        self.registry.save(
-            version, model.stages, steps=model.steps, scale=list(model.scale), batch_id=batch_id,
-            columns=[[name, list(scale)] for name, scale in model.columns.items()],
-        )
+        if self.kind == "additive":
+            self.registry.save(version, None, batch_id=batch_id, **model.facts())
+        else:
+            self.registry.save(
+                version, model.stages, steps=model.steps, scale=list(model.scale), batch_id=batch_id,
+                columns=[[name, list(scale)] for name, scale in model.columns.items()],
+            )
         return True
 
     def forecast_batch(self, batch: DataFrame, batch_id: int) -> None:
@@ -120,51 +155,58 @@ class EnergyStream:
 
         There is no forecast until `first_windows` readings had a full window before them (of one
         series that is `steps + first_windows` rows); the model is then fitted on all so far, and
-        not before: many short series hold no window at all. Later it is refitted on the whole history once per batch that completes another
-        `refit_every` forecasts.
+        not before: many short series hold no window at all. Later it is refitted once per batch that
+        completes another `refit_every` forecasts.
+
+        The additive model is refitted from the sums of all batches, to which a batch adds its own:
+        it costs the same however long the stream has run. Other kinds keep all readings and are
+        refitted on them.
         """
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            logs.append_batch(batch, self.table("history"), batch_id)
+            if self.kind != "additive":
+                logs.append_batch(batch, self.table("history"), batch_id)
             before = logs.state_before(self.spark, self.table("progress"), batch_id)
             version = before["version"] if before else None
-            windows = self.windows(batch, batch_id, True)
-            completed = windows.count() if version is None else 0
-            if version is not None:
-                scored = score_windows(self.load(version), windows)
-                logs.append_batch(
-                    scored.withColumns({
-                        "clock": clock_text(F.unix_seconds("time")),
-                        "tier": alert_tier(F.col("predicted"), self.high, self.medium),
-                        "model_version": F.lit(version),
-                    }),
-                    self.table("predictions"), batch_id,
-                )
+            centre = self._centre(batch, before)
+            windows = self.windows(batch, batch_id, True).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                found = windows.count()
+                if version is not None:
+                    scored = score_windows(self.load(version), windows)
+                    logs.append_batch(
+                        scored.withColumns({
+                            "clock": clock_text(F.unix_seconds("time")),
+                            "tier": alert_tier(F.col("predicted"), self.high, self.medium),
+                            "model_version": F.lit(version),
+                        }),
+                        self.table("predictions"), batch_id,
+                    )
+                if self.kind == "additive":
+                    self._add_moments(windows, batch_id, centre)
+            finally:
+                windows.unpersist()
             self.store_tail(batch, batch_id)
-            self._refit(before, completed, batch_id, version)
+            self._refit(before, found, batch_id, version, centre)
         finally:
             batch.unpersist()
 
-    def _refit(self, before: Row | None, completed: int, batch_id: int, version: int | None) -> None:
+    def _refit(self, before: Row | None, found: int, batch_id: int, version: int | None, centre: float) -> None:
         """Counters of the batch before decide; they are stored after the model, with its version,
         so that a repeated batch decides the same."""
-        windows = (before["windows"] if before else 0) + completed
+        windows = (before["windows"] if before else 0) + found
         earlier = before["predictions"] if before else 0
-        made = 0
-        if version is not None:
-            made = logs.read_batch(self.spark, self.table("predictions"), batch_id).count()
+        made = 0 if version is None else found
         if version is None:
             due = windows >= self.first_windows
         else:
             due = (earlier + made) // self.refit_every > earlier // self.refit_every
-        if due:
-            past = logs.read_log(self.spark, self.table("history"))
-            past = past.filter(F.col("batch_id") <= batch_id).drop("batch_id")
-            if self._publish(past, batch_id + 1, batch_id):
-                version = batch_id + 1
+        if due and self._publish(batch_id + 1, batch_id, centre):
+            version = batch_id + 1
         state = self.spark.range(1).select(
             F.lit(windows).cast("bigint").alias("windows"),
             F.lit(earlier + made).cast("bigint").alias("predictions"),
             F.lit(version).cast("int").alias("version"),
+            F.lit(centre).cast("double").alias("centre"),
         )
-        logs.append_batch(state, self.table("progress"), batch_id)
+        logs.append_batch(state, self.table("progress"), batch_id, keep=50)
