@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -202,20 +203,102 @@ def isotonic(votes: np.ndarray, labels: np.ndarray):
     return np.array(xs), np.maximum.accumulate(np.array(ys))
 
 
+@dataclass
+class Examples:
+    """The labelled examples in the order of their ids, as numbers end to end: `sizes` words each, their
+    `terms` and counts `tf`. `lines` has all their words, in order, one a line; `chosen` are the
+    selected ones. This is what travels; dictionaries and indexes are built where they are used.
+    """
+
+    lines: bytes
+    chosen: list[str]
+    ids: np.ndarray
+    labels: np.ndarray
+    sizes: np.ndarray
+    terms: np.ndarray
+    tf: np.ndarray
+    idf: np.ndarray
+    block: int
+
+    def __getstate__(self):
+        return {f: getattr(self, f) for f in self.__dataclass_fields__}
+
+    @cached_property
+    def words(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.lines.decode().split("\n"))} if self.lines else {}
+
+    @cached_property
+    def vocabulary(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self.chosen)}
+
+    @cached_property
+    def edges(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.sizes)])
+
+    @cached_property
+    def number(self) -> np.ndarray:
+        """Of each word its number among the selected ones, or -1."""
+        number = np.full(len(self.idf), -1)
+        number[[self.words[t] for t in self.chosen]] = np.arange(len(self.chosen))
+        return number
+
+    def vector(self, i: int):
+        part = slice(self.edges[i], self.edges[i + 1])
+        return self.terms[part].astype(np.int64), self.tf[part].astype(float)
+
+    def narrow(self, i: int):
+        """The vector over the selected terms, which stand in the order of their numbers."""
+        terms, tf = self.vector(i)
+        kept = self.number[terms] >= 0
+        return self.number[terms[kept]], tf[kept]
+
+    @cached_property
+    def index(self) -> Index:
+        vectors = [(i, self.narrow(i)) for i in range(len(self.ids))]
+        vectors = [(i, v) for i, v in vectors if len(v[0])]
+        return Index(
+            [self.ids[i] for i, _ in vectors], [self.labels[i] for i, _ in vectors], [v for _, v in vectors],
+            self.idf[[self.words[t] for t in self.chosen]], self.block,
+        )
+
+    @cached_property
+    def whole(self) -> WholeIndex:
+        return WholeIndex(self.ids, self.labels, self.sizes, self.terms, self.tf, self.idf)
+
+    def votes(self, numbers, k: int) -> Iterator[tuple[bool, float, int]]:
+        """Of examples: whether they have a selected term, the vote of the others on them, and the label.
+        Examples without a word, or without a neighbour, have none."""
+        others = []
+        for i in numbers:
+            narrow = self.narrow(i)
+            if len(narrow[0]):
+                near = self.index.nearest(*narrow, k, without=self.ids[i])
+                if len(near[0]):
+                    yield True, self.index.vote(*near), int(self.labels[i])
+            elif self.sizes[i]:
+                others.append(i)
+        for begin in range(0, len(others), TOGETHER):
+            part = others[begin:begin + TOGETHER]
+            for i, near in zip(part, self.whole.nearest([self.vector(i) for i in part], k, part)):
+                if len(near[0]):
+                    yield False, self.whole.vote(*near), int(self.labels[i])
+
+
 @dataclass
 class Model:
-    """`words` are all words of the examples, `vocabulary` the selected ones; `points` is the fit of
-    the votes over the selected terms, `whole_points` of those over all words."""
+    """`points` is the fit of the votes over the selected terms, `whole_points` of those over all words."""
 
-    words: dict[str, int]
-    vocabulary: dict[str, int]
-    index: Index
-    whole: WholeIndex
+    examples: Examples
     points: tuple[np.ndarray, np.ndarray]
     whole_points: tuple[np.ndarray, np.ndarray]
     base: float
     settings: Settings
 
+    words = property(lambda self: self.examples.words)
+    vocabulary = property(lambda self: self.examples.vocabulary)
+    index = property(lambda self: self.examples.index)
+    whole = property(lambda self: self.examples.whole)
+
     def score(self, text: str | None):
         """Score, and the ids and cosines of the neighbours that gave it."""
         return self.scores([text])[0]
@@ -302,15 +385,18 @@ def fit(
         .where((F.col("x") >= settings.association) & ((F.col("odds") >= settings.odds) | (F.col("odds") <= 1 / settings.odds)))
         .orderBy(F.col("x").desc(), "term").limit(settings.vocabulary).collect()
     )
-    vocabulary = {t: i for i, t in enumerate(terms)}
-    # Bounded by the words of the sample.
-    all_words = texts.select(F.explode("terms").alias("term")).distinct().toArrow()["term"].to_pylist()
+    # Bounded by the words of the sample; as one text, which is small beside a set of strings.
+    lines = "\n".join(texts.select(F.explode("terms").alias("term")).distinct().orderBy("term").toArrow()["term"].to_pylist())
     texts.unpersist()
-    words = {t: i for i, t in enumerate(sorted(all_words))}
-    shared = spark.sparkContext.broadcast(words)
+    shared = spark.sparkContext.broadcast(lines.encode())
+    lines = lines.encode()
+
+    def numbers() -> dict[str, int]:
+        return {w: i for i, w in enumerate(shared.value.decode().split("\n"))} if shared.value else {}
 
     def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, rows, total = shared.value, [0] * len(shared.value), 0
+        known, total = numbers(), 0
+        rows = [0] * len(known)
         for frame in frames:
             total += len(frame)
             for text in frame["text"]:
@@ -321,7 +407,7 @@ def fit(
         yield pd.DataFrame({"term": np.concatenate([[-1], seen]), "n": np.concatenate([[total], counted[seen]])})
 
     def example_vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = numbers()
         for frame in frames:
             counts = [sorted((known[t], n) for t, n in term_counts(x, known).items()) for x in frame["text"]]
             yield pd.DataFrame({
@@ -334,44 +420,36 @@ def fit(
         documents.select("text").mapInPandas(document_counts, "term int, n long")
         .groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     )
-    numbers, times = counts["term"].to_numpy(), counts["n"].to_numpy()
-    total, rows_with = int(times[numbers < 0].sum()), np.zeros(len(words))
-    rows_with[numbers[numbers >= 0]] = times[numbers >= 0]
+    numbered, times = counts["term"].to_numpy(), counts["n"].to_numpy()
+    size = lines.count(b"\n") + 1 if lines else 0
+    total, rows_with = int(times[numbered < 0].sum()), np.zeros(size)
+    rows_with[numbered[numbered >= 0]] = times[numbered >= 0]
     idf = np.log((1 + total) / (1 + rows_with)) + 1.0
-    examples = sample.mapInPandas(
+    table = sample.mapInPandas(
         example_vectors, "doc_id long, label int, terms array<int>, tf array<int>"
     ).toArrow().sort_by("doc_id")  # bounded by `examples`
     sample.unpersist()
+    ids, marks = table["doc_id"].to_numpy(), table["label"].to_numpy()
+    lists = {c: table[c].combine_chunks() for c in ("terms", "tf")}
+    sizes = lists["terms"].value_lengths().to_numpy()
+    flat = {c: lists[c].flatten().to_numpy().astype(np.int32) for c in lists}
+    del table, lists
+    examples = Examples(lines, terms, ids, marks, sizes, flat["terms"], flat["tf"], idf, settings.block)
+    known = spark.sparkContext.broadcast(examples)
+
+    def leave_one_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame(known.value.votes(frame["id"], settings.neighbours), columns=["chosen", "vote", "label"])
+
+    # Two numbers for each example come back; the searches are the tasks' work.
+    voted = spark.range(len(ids)).mapInPandas(leave_one_out, "chosen boolean, vote double, label int").toArrow()
+    chosen, vote, mark = (voted[c].to_numpy() for c in ("chosen", "vote", "label"))
+    fits = [_fitted(list(zip(vote[chosen == c].tolist(), mark[chosen == c].tolist()))) for c in (True, False)]
+    known.unpersist()
     shared.unpersist()
-    ids, marks = examples["doc_id"].to_numpy(), examples["label"].to_numpy()
-    lists = [examples[c].combine_chunks() for c in ("terms", "tf")]
-    flat_terms, flat_tf = lists[0].flatten().to_numpy().astype(np.int64), lists[1].flatten().to_numpy().astype(float)
-    sizes = lists[0].value_lengths().to_numpy()
-    whole = WholeIndex(ids, marks, sizes, flat_terms, flat_tf, idf)
-    chosen = np.full(len(words), -1)
-    chosen[[words[t] for t in terms]] = np.arange(len(terms))
-    edges = np.concatenate([[0], np.cumsum(sizes)])
-    vectors = [(flat_terms[b:e], flat_tf[b:e]) for b, e in zip(edges, edges[1:])]
-    narrow = [(chosen[t][chosen[t] >= 0], tf[chosen[t] >= 0]) for t, tf in vectors]
-    full = [i for i, (t, _) in enumerate(narrow) if len(t)]
-    index = Index(
-        [ids[i] for i in full], [marks[i] for i in full], [narrow[i] for i in full],
-        idf[[words[t] for t in terms]], settings.block,
-    )
-    votes, whole_votes = [], []
-    for i in full:
-        near = index.nearest(*narrow[i], settings.neighbours, without=ids[i])
-        if len(near[0]):
-            votes.append((index.vote(*near), marks[i]))
-    others = [i for i, (t, _) in enumerate(narrow) if not len(t) and sizes[i]]
-    for begin in range(0, len(others), TOGETHER):
-        part = others[begin:begin + TOGETHER]
-        for i, near in zip(part, whole.nearest([vectors[i] for i in part], settings.neighbours, part)):
-            if len(near[0]):
-                whole_votes.append((whole.vote(*near), marks[i]))
     empty = marks[sizes == 0]
     base = (float(empty.sum()) + 0.5) / (len(empty) + 1.0) if len(empty) else (float(positive) / n if n else 0.0)
-    return Model(words, vocabulary, index, whole, _fitted(votes), _fitted(whole_votes), base, settings)
+    return Model(examples, *fits, base, settings)
 
 
 def scorer(spark, model: Model):
