@@ -26,6 +26,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,10 +144,19 @@ class WholeIndex:
     def __init__(self, ids, labels, sizes, terms, tf, idf):
         self.ids, self.labels, self.idf = ids, labels, idf
         rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        weights = (1.0 + np.log(tf)) * idf[terms]
-        weights /= np.sqrt(np.bincount(rows, weights * weights, minlength=len(ids)))[rows]
+        weights, edges = np.array(tf, dtype=np.float64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        # Some examples at once, so that nothing else is as long as the weights.
+        for at in range(0, len(ids), TOGETHER):
+            part = slice(edges[at], edges[min(len(ids), at + TOGETHER)])
+            w, row = weights[part], rows[part] - at
+            np.log(w, out=w)
+            w += 1.0
+            w *= idf[terms[part]]
+            if len(w):
+                w /= np.sqrt(np.bincount(row, w * w))[row]
         by_term = np.argsort(terms, kind="stable")
         self.rows, self.weights = rows[by_term], weights[by_term]
+        del rows, weights
         self.begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
         many = np.diff(self.begin)
         common = np.argsort(-many, kind="stable")[:DENSE_WORDS]
@@ -252,6 +262,13 @@ class Examples:
         kept = self.number[terms] >= 0
         return self.number[terms[kept]], tf[kept]
 
+    def for_scoring(self) -> Examples:
+        """Builds both indexes and lets go of what only votes need."""
+        if self.terms is not None:
+            self.index, self.whole  # noqa: B018
+            self.terms = self.tf = None
+        return self
+
     @cached_property
     def index(self) -> Index:
         vectors = [(i, self.narrow(i)) for i in range(len(self.ids))]
@@ -286,13 +303,15 @@ class Examples:
 
 @dataclass
 class Model:
-    """`points` is the fit of the votes over the selected terms, `whole_points` of those over all words."""
+    """`points` is the fit of the votes over the selected terms, `whole_points` of those over all words;
+    `shared` has the examples for the tasks."""
 
     examples: Examples
     points: tuple[np.ndarray, np.ndarray]
     whole_points: tuple[np.ndarray, np.ndarray]
     base: float
     settings: Settings
+    shared: Broadcast | None = None
 
     words = property(lambda self: self.examples.words)
     vocabulary = property(lambda self: self.examples.vocabulary)
@@ -445,20 +464,19 @@ def fit(
     voted = spark.range(len(ids)).mapInPandas(leave_one_out, "chosen boolean, vote double, label int").toArrow()
     chosen, vote, mark = (voted[c].to_numpy() for c in ("chosen", "vote", "label"))
     fits = [_fitted(list(zip(vote[chosen == c].tolist(), mark[chosen == c].tolist()))) for c in (True, False)]
-    known.unpersist()
     shared.unpersist()
     empty = marks[sizes == 0]
     base = (float(empty.sum()) + 0.5) / (len(empty) + 1.0) if len(empty) else (float(positive) / n if n else 0.0)
-    return Model(examples, *fits, base, settings)
+    return Model(examples, *fits, base, settings, known)
 
 
 def scorer(spark, model: Model):
     """Column function: text -> struct of score and evidence (ids and cosines of the neighbours)."""
-    shared = spark.sparkContext.broadcast(model)
+    shared, rest = model.shared, (model.points, model.whole_points, model.base, model.settings)
 
     @F.pandas_udf("score double, neighbours array<long>, cosines array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        fitted = shared.value
+        fitted = Model(shared.value.for_scoring(), *rest)
         for texts in batches:
             yield pd.DataFrame(fitted.scores(list(texts)), columns=["score", "neighbours", "cosines"])
 
