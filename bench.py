@@ -26,12 +26,15 @@ HEADLINE = [
     "roc_auc", "pr_curve", "prob_histogram", "evaluate", "topk_others", "knn_classify",
 ]
 # Fits and streams: one run each.
-SINGLE = ["rf_scores", "forecast", "energy_forecast", "stream_sequence", "stream_score", "stream_forecast"]
+SINGLE = [
+    "rf_scores", "forecast", "energy_forecast", "stream_sequence", "stream_score", "stream_forecast",
+    "additive_forecast", "sketch_profile", "stream_state_sequence",
+]
 
 # The table that a query reads, where it is not the orders that stand for patients.
 TABLE_OF = {name: "events" for name in (
     "sliding_sequence", "next_step_target", "latest_sequence", "chrono_split", "forecast_metrics", "series_stats",
-    "forecast", "energy_forecast", "stream_sequence", "stream_forecast",
+    "forecast", "energy_forecast", "stream_sequence", "stream_forecast", "additive_forecast", "stream_state_sequence",
 )} | {"knn_classify": "embeddings"}
 
 

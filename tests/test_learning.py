@@ -167,3 +167,30 @@ def test_logistic_regression_is_the_plain_one(spark):
         p = 1 / (1 + np.exp(-design @ beta))
         beta -= np.linalg.solve((design.T * (p * (1 - p))) @ design + ridge, design.T @ (p - y) + ridge @ beta)
     assert np.abs(np.append(made.coefficients.toArray(), made.intercept) - beta).max() < 1e-3
+
+
+def test_every_row_gets_a_vote_of_its_own(spark):
+    rows = [(1, [0.0], 0), (1, [10.0], 1), (2, [10.0], 1), (3, [0.5], 0)]
+    df = spark.createDataFrame(rows, "id int, x array<double>, label int").withColumn("features", array_to_vector("x"))
+    model = classifiers.NearestVote(k=1).fit(df.filter("id > 1"))
+    got = model.transform(df).select("id", "label", "prediction").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 0.0), (1, 1, 1.0), (2, 1, 1.0), (3, 0, 0.0)]
+
+
+def test_long_texts_stay_out_of_the_driver(spark):
+    from vitalgrid.operators import encoding
+
+    df = spark.createDataFrame([("a",), ("b" * 5_000,)], "c string")
+    dictionary = encoding.Dictionary.of(encoding.fit_dictionary(df, ["c"]))
+    assert dictionary.entries is None
+    assert sorted(r["c"] for r in encoding.encode(df, ["c"], dictionary).collect()) == [0, 1]
+
+
+def test_only_absent_sources_are_skipped(spark, tmp_path):
+    from vitalgrid.sources import tables
+
+    here = spark.createDataFrame([(1,)], "x int")
+    union, skipped = tables.union_sources(spark, {"here": here, "gone": str(tmp_path / "gone")})
+    assert skipped == ["gone"] and union.count() == 1
+    with pytest.raises(Exception, match="DATATYPE|PARSE|[Tt]ype"):
+        tables.union_sources(spark, {"here": here, "bad": str(tmp_path)}, schema="x nosuchtype")

@@ -165,32 +165,35 @@ class NearestVote:
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """Every row gets its own vote, also where identifiers repeat; without training rows the
+        probability is a half."""
         def with_array(rows):
             return rows.withColumn("_array", vector_to_array("features"))
 
-        found = nearest(
-            with_array(df), with_array(self.train), self.k, self.identifier, "_array", self.label,
-            exclude_self=False,
-        )
+        # The numbers of rows are made once; a second pass over the input could number them otherwise.
+        asked = materialize(with_array(df).withColumn("_row", F.monotonically_increasing_id()), "asked")
+        known = with_array(self.train).withColumn("_row", F.col(self.identifier))
+        found = nearest(asked, known, self.k, "_row", "_array", self.label, exclude_self=False)
         exact = F.min("distance").alias("least")
         share = F.sum(
             F.when(F.col("least") > 0, 1 / F.col("distance"))
             .when(F.col("distance") == 0, 1.0).otherwise(0.0)
         )
         votes = (
-            found.join(found.groupBy(self.identifier).agg(exact), self.identifier)
-            .groupBy(self.identifier, "label").agg(share.alias("w"))
-            .groupBy(self.identifier)
+            found.join(found.groupBy("_row").agg(exact), "_row")
+            .groupBy("_row", "label").agg(share.alias("w"))
+            .groupBy("_row")
             .agg(
                 F.sum(F.when(F.col("label") == 1, F.col("w")).otherwise(0.0)).alias("one"),
                 F.sum("w").alias("all"),
             )
-            .withColumn("_p", F.col("one") / F.col("all"))
+            .select("_row", (F.col("one") / F.col("all")).alias("_p"))
         )
-        return df.join(votes.select(self.identifier, "_p"), self.identifier).select(
+        p = F.coalesce("_p", F.lit(0.5))
+        return asked.join(votes, "_row", "left").select(
             *df.columns,
-            (F.col("_p") > 0.5).cast("double").alias("prediction"),
-            array_to_vector(F.array(1 - F.col("_p"), F.col("_p"))).alias("probability"),
+            (p > 0.5).cast("double").alias("prediction"),
+            array_to_vector(F.array(1 - p, p)).alias("probability"),
         )
 
 

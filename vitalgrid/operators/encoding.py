@@ -17,6 +17,8 @@ from vitalgrid.session import new_folder
 
 # A dictionary up to this size is broadcast; a larger one is joined as a table.
 DICTIONARY_LIMIT = 20_000
+# Bytes of the longest text in a dictionary that the driver holds.
+TEXT_BYTES = 1_024
 
 
 def category_text(value: Column) -> Column:
@@ -55,8 +57,10 @@ class Dictionary:
     @classmethod
     def of(cls, fitted: DataFrame, limit: int | None = None) -> Dictionary:
         limit = limit or DICTIONARY_LIMIT
-        head = fitted.limit(limit + 1).collect()
-        if len(head) <= limit:
+        # A text beyond TEXT_BYTES comes as a null, so that the head is bounded in bytes too.
+        short = F.when(F.octet_length("value") <= TEXT_BYTES, F.col("value")).alias("value")
+        head = fitted.select("column", short, "code").limit(limit + 1).collect()
+        if len(head) <= limit and all(row["value"] is not None for row in head):
             entries: dict[str, dict[str, int]] = {}
             for row in head:
                 entries.setdefault(row["column"], {})[row["value"]] = row["code"]

@@ -51,8 +51,8 @@ def union_sources(
 ) -> tuple[DataFrame, list[str]]:
     """Union of data frames and CSV paths by column name, tagged with the source name.
 
-    Returns the union and the names of the sources that could not be opened; columns that a
-    source lacks are null.
+    Returns the union and the names of the sources that are not there; columns that a source lacks
+    are null. Any other failure to open a source is raised.
     """
     if not isinstance(sources, Mapping):
         sources = {f"source_{i}": source for i, source in enumerate(sources, 1)}
@@ -65,7 +65,9 @@ def union_sources(
                 frame = read_csv(spark, source, schema)
             else:
                 frame = spark.read.option("header", True).csv(source)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             skipped.append(name)
             continue
         frames.append(frame.withColumn(tag, F.lit(name)))
