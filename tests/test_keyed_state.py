@@ -1,6 +1,7 @@
 """Rolling windows in keyed state: late readings, restarts, idle series."""
 
 import datetime
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,12 +26,22 @@ class Feed:
         # The event id is the second, so that results can be read.
         table = [(s, (when - START).seconds, when, v) for s, _, when, v in table]
         self.spark.createDataFrame(table, SCHEMA).coalesce(1).write.mode("append").parquet(self.source)
-        stream = self.spark.readStream.schema(SCHEMA).parquet(self.source)
-        runtime.drain(
-            rolling.keyed_windows(stream, **self.how), lambda df, i: logs.append_batch(df, self.out, i), self.checkpoint
-        )
+        stream = rolling.keyed_windows(self.spark.readStream.schema(SCHEMA).parquet(self.source), **self.how)
+        if "ttl" not in self.how:
+            runtime.drain(stream, self.keep, self.checkpoint)
+            return self
+        query = runtime.start(stream, self.keep, self.checkpoint, every="1 second")
+        try:
+            end = time.monotonic() + 120
+            while sum(p.numInputRows for p in query.recentProgress) < len(rows) and time.monotonic() < end:
+                time.sleep(0.2)
+        finally:
+            query.stop()
         return self
 
+    def keep(self, df, batch_id):
+        logs.append_batch(df, self.out, batch_id)
+
     def windows(self, series):
         found = logs.read_log(self.spark, self.out).filter(F.col("series_id") == series).orderBy("event_id", "position")
         return [(r["event_id"], r["position"], r["warm"], r["sequence"]) for r in found.collect()]

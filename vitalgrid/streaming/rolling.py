@@ -115,7 +115,9 @@ def keyed_windows(
     newest time of the stream, has passed it; a reading that comes later than that is dropped by Spark
     and counted in its progress. A series without a reading for `idle` seconds of event time is
     forgotten and starts anew. With `ttl` (seconds) state ages by the clock instead: then nothing waits, every
-    micro-batch is ordered for itself, and state that was not touched for so long is dropped.
+    micro-batch is ordered for itself, and state that was not touched for so long is dropped. Spark runs
+    such a stream for the clock even without data, so it needs a trigger interval and is stopped from
+    outside; it never drains.
 
     Defined results: readings without a series or a time take no part; a null or NaN value is a null
     of its windows.
