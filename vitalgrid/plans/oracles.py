@@ -679,7 +679,7 @@ def _stream_versions(steps: int) -> dict[str, str]:
     }
 
 
-ORACLES["stream_forecast_rows"] = over("series", more=_stream_versions(60), select=(
+ORACLES["stream_forecast_rows"] = over("series", more=_stream_versions(5), select=(
     "SELECT series_id, event_id, strftime(time, '%H:%M:%S') AS clock, use_kw AS actual, version AS model_version FROM asked"))
 ORACLES["stream_additive"] = over("series", more=_stream_versions(1) | {
     "fit": f"SELECT v.version, {_SHRUNK} AS slope, avg(use_kw) - {_SHRUNK} * avg(x) AS base"

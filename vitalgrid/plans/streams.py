@@ -130,21 +130,33 @@ def _forecast_stream(spark, folder, steps: int) -> EnergyStream:
     return energy
 
 
+PREDICTIONS = (
+    "series_id long, event_id long, clock string, actual double, predicted double, error double, error_pct double,"
+    " tier string, model_version int"
+)
+
+
+def _predictions(spark, folder, steps: int) -> DataFrame:
+    """What the stream forecast; no rows if it stayed cold."""
+    made = _forecast_stream(spark, folder, steps).read("predictions")
+    return spark.createDataFrame([], PREDICTIONS) if made is None else made
+
+
 def stream_forecast(spark, folder):
-    return _forecast_stream(spark, folder, STEPS).read("predictions").select(
+    return _predictions(spark, folder, STEPS).select(
         "series_id", "event_id", "clock", "actual", "predicted", "error", "error_pct", "tier",
         "model_version",
     )
 
 
 def stream_forecast_rows(spark, folder):
-    """Which readings of the same stream are forecast, and by which version of the model."""
-    return stream_forecast(spark, folder).select("series_id", "event_id", "clock", "actual", "model_version")
+    """Which readings a stream with a window of five is to forecast, and by which version of the model."""
+    return _predictions(spark, folder, 5).select("series_id", "event_id", "clock", "actual", "model_version")
 
 
 def stream_additive(spark, folder):
     """The stream with a window of one reading, whose fits and forecasts have a closed form."""
-    return _forecast_stream(spark, folder, 1).read("predictions").select(
+    return _predictions(spark, folder, 1).select(
         "series_id", "event_id", "actual", rounded("predicted").alias("predicted"), rounded("error").alias("error"),
         rounded("error_pct").alias("error_pct"), "tier", "model_version",
     )
