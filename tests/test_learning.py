@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from vitalgrid.operators import classifiers, perceptron, stages
@@ -194,3 +195,13 @@ def test_only_absent_sources_are_skipped(spark, tmp_path):
     assert skipped == ["gone"] and union.count() == 1
     with pytest.raises(Exception, match="DATATYPE|PARSE|[Tt]ype"):
         tables.union_sources(spark, {"here": here, "bad": str(tmp_path)}, schema="x nosuchtype")
+
+
+@pytest.mark.parametrize("name", ["random_forest", "logistic_regression", "rbf_svc"])
+def test_models_score_in_a_session_that_has_observed(spark, points, name):
+    df = points[0].withColumn("features", F.col("scaled_features"))
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).count()
+    assert seen.get["rows"] == 300
+    made = classifiers.estimators(300, 3, classifiers.Sizes(trees=3, iterations=5, fourier=4))[name]()
+    assert classifiers.quality(stages.fitted(made, df).transform(df))[0] > 0.4
