@@ -237,3 +237,27 @@ def test_training_rows_are_copied_to_visiting_slices_only(spark):
         plan = found._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
         copies.append(found)
+
+
+def test_a_block_finds_the_nearest_without_all_pairs(monkeypatch):
+    random = np.random.default_rng(5)
+    rows = random.integers(-30, 30, (6_000, 3)).astype(float)
+    rows[:50] = rows[0]  # ties go to the smaller id
+    ids, asked = random.permutation(6_000), rows[::20]
+    exact, pairs = neighbors._squared, []
+    monkeypatch.setattr(neighbors, "_squared", lambda a, b: pairs.append(len(a)) or exact(a, b))
+    for exclude_self in (True, False):
+        own = ids[::20]
+        probe, row, _ = neighbors.Block(ids, rows).nearest(own, asked, np.full(len(asked), np.inf), 5, exclude_self)
+        for i in range(len(asked)):
+            d2 = ((rows - asked[i]) ** 2).sum(axis=1)
+            d2[exclude_self & (ids == own[i])] = np.inf
+            assert ids[row[probe == i]].tolist() == ids[np.lexsort((ids, d2))[:5]].tolist()
+    assert sum(pairs) < 0.05 * 2 * len(asked) * len(rows)
+
+
+def test_neighbours_leave_out_vectors_that_have_no_distance(spark):
+    rows = [(i, [float(i), 0.0], i % 2) for i in range(8)] + [(8, None, 0), (9, [float("nan"), 1.0], 0), (10, [1.0, None], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = neighbors.nearest(df, df, 2, block_rows=3).collect()
+    assert {r["vec_id"] for r in found} == {r["neighbour"] for r in found} == set(range(8)) and len(found) == 16
