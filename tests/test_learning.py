@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vitalgrid.operators import classifiers, perceptron, stages
 from vitalgrid.plans import learning
 from vitalgrid.schemas import TEXT_CATEGORIES
-from vitalgrid.session import new_folder
+from vitalgrid.session import new_folder, spread
 from vitalgrid.streaming import logs
 
 
@@ -205,3 +205,13 @@ def test_models_score_in_a_session_that_has_observed(spark, points, name):
     assert seen.get["rows"] == 300
     made = classifiers.estimators(300, 3, classifiers.Sizes(trees=3, iterations=5, fourier=4))[name]()
     assert classifiers.quality(stages.fitted(made, df).transform(df))[0] > 0.4
+
+
+def test_a_fit_is_dealt_out_evenly_and_in_bounded_parts(spark):
+    low = spark.range(0, 900, 1, 1).union(spark.range(900, 1_000, 1, 9))  # one part has most of the rows
+    cores = spark.sparkContext.defaultParallelism
+    for rows, most, tasks in ((100, 1_000, cores), (100, 50, cores * -(-1_000 // (50 * cores))), (500, 1_000, 2), (5_000, 9_000, 1)):
+        dealt = spread(low, rows, most)
+        held = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert dealt.rdd.getNumPartitions() == tasks and sum(held) == 1_000 and max(held) <= min(most, 1.5 * 1_000 / tasks)
+    assert dealt.select("id").distinct().count() == 1_000
