@@ -215,3 +215,11 @@ def test_a_fit_is_dealt_out_evenly_and_in_bounded_parts(spark):
         held = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
         assert dealt.rdd.getNumPartitions() == tasks and sum(held) == 1_000 and max(held) <= min(most, 1.5 * 1_000 / tasks)
     assert dealt.select("id").distinct().count() == 1_000
+
+
+def test_the_margin_fit_stores_no_projected_rows(points, monkeypatch):
+    stored, store = [], classifiers.materialize
+    monkeypatch.setattr(classifiers, "materialize", lambda df, label: stored.append(df.columns) or store(df, label))
+    sizes = classifiers.Sizes(iterations=20, fourier=64)
+    classifiers.RbfMargin(3, 300, sizes).fit(points[0])
+    assert stored == [["label", "margin"]]
