@@ -43,6 +43,15 @@ def test_heavy_value_is_cut_along_the_tie(series):
     assert largest <= 120
 
 
+def test_small_groups_need_no_buckets(spark):
+    """However many rows there are: only a group that is too large for a task is cut."""
+    df = spark.range(300).select((F.col("id") % 30).alias("series_id"), F.col("id").alias("time"), F.col("id").alias("event_id"))
+    assert ordered.row_window(df, ["series_id"], "time", "event_id", carry=3, rows_per_chunk=50).helpers == ()
+    assert not ordered.range_buckets(df, "time", "event_id", 50, ["series_id"]).split
+    assert ordered.range_buckets(df, "time", "event_id", 5, ["series_id"]).split
+    assert ordered.range_buckets(df, "time", "event_id", 50).split
+
+
 def test_positions_by_hash(series):
     same(
         ordered.positions_by_hash(series, "event_id", ["data_type"]),

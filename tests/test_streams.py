@@ -50,6 +50,15 @@ def test_compaction_keeps_idle_series(spark):
     assert energy._tail(5).count() == 5 + 6
 
 
+def test_a_short_window_carries_over_few_rows(spark):
+    """What a batch stores and the next one reads is in proportion to the window."""
+    rows = spark.range(200).select((F.col("id") % 2).alias("series_id"), F.col("id").alias("event_id"), F.col("id").alias("time"), F.col("id").cast("double").alias("use_kw"))
+    energy = EnergyStream(spark, new_folder(spark, "energy"), steps=1)
+    energy.sequence_batch(rows, 0)
+    assert energy._tail(1).count() == 2 * 11
+    assert EnergyStream(spark, new_folder(spark, "energy")).keep == 70
+
+
 def test_cold_start_then_forecasts_then_refit(spark, folder):
     df = tables.series(spark, folder)
     energy = EnergyStream(spark, new_folder(spark, "energy"), steps=5, keep=15)

@@ -21,12 +21,17 @@ from vitalgrid.operators.registry import Registry
 from vitalgrid.operators.sequences import bounded_history, sliding_sequence
 from vitalgrid.streaming import logs
 
+#: Rows of a series that are carried over beyond its window.
+SPARE = 10
+
+
 @dataclass
 class EnergyStream:
     """Tables of one deployment under `folder`, and the micro-batch handler.
 
     The rolling window of a series is carried over in a table that holds its newest rows. So a
     micro-batch is windowed like a batch: a busy series is cut into chunks and spread over tasks.
+    `keep` rows of a series are carried over: unless given, ten more than a window has.
     """
 
     spark: SparkSession
@@ -34,7 +39,7 @@ class EnergyStream:
     value: str = "use_kw"
     columns: tuple[str, ...] = ()
     steps: int = 60
-    keep: int = 70
+    keep: int | None = None
     first_windows: int = 100
     refit_every: int = 100
     high: float = 1.5
@@ -45,6 +50,7 @@ class EnergyStream:
     registry: Registry = field(init=False)
 
     def __post_init__(self):
+        self.keep = self.steps + SPARE if self.keep is None else self.keep
         self.registry = Registry(self.spark, f"{self.folder}/registry", keep=self.keep_versions)
 
     def table(self, name: str) -> str:
