@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vitalgrid.operators import encoding, ordered, sequences
+from vitalgrid.operators import encoding, forecasting, ordered, sequences
 from vitalgrid.plans import catalog
+from vitalgrid.session import materialize, shared_folder
 from vitalgrid.sources import tables
+from vitalgrid.streaming import files
 
 NATIVE = [
     "clean_and_engineer", "label_encode_transform", "preprocess", "standard_scale", "gaussian_nb",
@@ -68,3 +70,14 @@ def test_chunks_bound_a_window(spark, folder):
     sizes = rows.frame.groupBy("series_id", "_chunk").count()
     assert sizes.agg(F.max("count")).first()[0] <= 100 + 9
     assert sequences.sliding_sequence(df, "use_kw", 10, rows_per_chunk=100).count() == df.count() - 9
+
+
+def test_stored_windows_are_not_written_again(spark, folder):
+    df = tables.series(spark, folder)
+    windows = materialize(forecasting.training_windows(df, "use_kw", 3), "windows")
+    plain = forecasting.fit_forecaster(df, "use_kw", 3)
+    written = files.names(spark, f"{shared_folder(spark)}/vitalgrid")
+    given = forecasting.fit_forecaster(df, "use_kw", 3, stored=windows)
+    assert files.names(spark, f"{shared_folder(spark)}/vitalgrid") == written
+    for name in ("samples", "final_loss", "final_val_loss"):
+        assert abs(given.run[name] - plain.run[name]) < 1e-9

@@ -111,11 +111,6 @@ def _boosted(ready: DataFrame, rounds: int, patience: int) -> tuple[PipelineMode
     return PipelineModel(stages=[model if kept == rounds else grown(kept)]), history
 
 
-def mean_squared(df: DataFrame, actual: str, predicted: str) -> float | None:
-    error = F.col(predicted) - F.col(actual)
-    return df.agg(F.avg(error * error)).first()[0]
-
-
 def fit_forecaster(
     df: DataFrame,
     value: str = "use_kw",
@@ -125,23 +120,28 @@ def fit_forecaster(
     share: float = 0.2,
     columns: Sequence[str] = (),
     patience: int = 5,
+    stored: DataFrame | None = None,
 ) -> Forecaster | None:
     """One regression pooled over all series; the newest `share` of each series is held out.
 
     The held-out rows stop the boosted kind: once `patience` rounds in a row have not lowered their
     loss, the rounds up to the lowest are kept, and `run["rounds"]` has the losses after every round.
+    `stored` is a written table of the `training_windows` of the same arguments, if there is one.
 
     None if no window is left to train on: no series has `steps` rows and a next one yet.
     """
     scales = collect_scale(fit_scale(df, list(dict.fromkeys([value, *columns]))))
     scale, lagged = scales[value], {c: scales[c] for c in columns}
-    windows = training_windows(df, value, steps, share, columns).select("sequence", "target", "held")
+    windows = training_windows(df, value, steps, share, columns) if stored is None else stored
     inputs = scaled_lags("sequence", scale, lagged)
-    # The fit and both losses read the windows; they are written once, to the shared folder.
-    ready = spread(materialize(windows.select(
+    ready = windows.select(
         array_to_vector(inputs).alias("features"),
         scaled(F.col("target"), scale).alias("scaled_target"), "held",
-    ), "windows"))
+    )
+    # The fit and the losses read the windows; they are written once, to the shared folder. A regression
+    # takes two passes, and scales stored windows on the way.
+    if stored is None or kind == "boosted":
+        ready = spread(materialize(ready, "windows"))
     samples = ready.filter(~F.col("held")).count()
     if not samples:
         return None
@@ -150,11 +150,10 @@ def fit_forecaster(
         stages, history = _boosted(ready, rounds, patience)
     else:
         stages = Pipeline(stages=[_regression()]).fit(ready.filter(~F.col("held")))
-    fitted = stages.transform(ready)
+    error = F.col(PREDICTION) - F.col("scaled_target")
+    losses = dict(stages.transform(ready).groupBy("held").agg(F.avg(error * error)).collect())
     run = {
-        "samples": samples, "rounds": history,
-        "final_loss": mean_squared(fitted.filter(~F.col("held")), "scaled_target", PREDICTION),
-        "final_val_loss": mean_squared(fitted.filter("held"), "scaled_target", PREDICTION),
+        "samples": samples, "rounds": history, "final_loss": losses.get(False), "final_val_loss": losses.get(True),
     }
     return Forecaster(steps, scale, stages, run, lagged)
 

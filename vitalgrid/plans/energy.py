@@ -133,9 +133,9 @@ def energy_forecast(spark, folder):
     """Held-out forecasts of the load from the twelve columns of the last 60 events."""
     df = energy_feed(spark, folder)
     df = materialize(df.select("series_id", "event_id", "time", *[F.col(f"`{c}`") for c in ENERGY_FEATURES]), "events")
-    model = fit_forecaster(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES)
-    windows = training_windows(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES)
-    return checked_forecasts(model, materialize(windows, "windows"))
+    windows = materialize(training_windows(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES), "windows")
+    model = fit_forecaster(df, ENERGY_TARGET, STEPS, columns=ENERGY_FEATURES, stored=windows)
+    return checked_forecasts(model, windows)
 
 
 def _training_rows(spark, folder, steps):
