@@ -64,3 +64,30 @@ def test_whole_search_is_exact():
         best = [j for j in np.lexsort((np.arange(n), -want))[:7] if want[j] > 0]
         assert np.allclose(cosines, want[best], atol=2e-9) and len(rows) == len(best)
         assert np.allclose(want[rows], want[best], atol=2e-9)
+
+
+def test_postings_of_one_count_share_a_number():
+    words, n = 40, 300
+    sizes, terms = [words] * n, np.tile(np.arange(words), n)
+    index = toxicity.WholeIndex(np.arange(n), np.arange(n) % 2, sizes, terms, 1 + terms % 3, np.ones(words))
+    arrays = [a for name, a in vars(index).items() if isinstance(a, np.ndarray) and name != "dense"]
+    assert max(len(a) for a in arrays if a.dtype == np.float64) <= n < len(terms)
+
+
+def test_every_different_word_is_looked_up_once():
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+    words = Counting({"a": 0, "b": 1, "été": 2})
+    terms, tf = toxicity.numbered("B a b, x_B a! été " * 50, words)
+    assert terms.tolist() == [0, 1, 2] and tf.tolist() == [100.0, 150.0, 50.0] and words.asked == 4
+
+
+def test_plain_words_are_those_of_the_pattern():
+    plain = "".join(map(chr, range(128))) * 2 + " Ab_c-9"
+    for text in (plain, plain + "é", "", "_"):
+        assert toxicity.lower_words(text) == toxicity.WORD.findall(text.lower())

@@ -23,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from vitalgrid.llm.shared import labelled_sample, segments
 
 WORD = re.compile(r"[^\W_]+")
+#: What WORD leaves out of plain text, as blanks.
+PLAIN = {c: " " for c in range(128) if not chr(c).isalnum()}
 
 
 @dataclass(frozen=True)
@@ -56,17 +59,43 @@ class Settings:
 #: Texts that are compared with all examples at once; a word of more than one example in DENSE has a
 #: row over all examples, for the DENSE_WORDS most common of them.
 TOGETHER, DENSE, DENSE_WORDS = 64, 10, 256
+#: Blocks that are opened at once at first; after them twice as many, and so on.
+OPENED = 8
+#: Word numbers that are held before they are counted.
+HELD = 1 << 20
 
 
-def term_counts(text: str | None, vocabulary: dict[str, int] | None = None) -> Counter:
-    """Counts of the lower-case words of a whole text, or of those in a vocabulary."""
+def lower_words(piece: str) -> list[str]:
+    """The lower-case words of a piece of text, in order."""
+    piece = piece.lower()
+    return piece.translate(PLAIN).split() if piece.isascii() else WORD.findall(piece)
+
+
+def term_counts(text: str | None) -> Counter:
+    """Counts of the lower-case words of a whole text."""
     counts: Counter = Counter()
     for piece in segments(text or ""):
-        words = WORD.findall(piece.lower())
-        counts.update(words if vocabulary is None else filter(vocabulary.__contains__, words))
+        counts.update(lower_words(piece))
     return counts
 
 
+def numbered(text: str | None, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words of a whole text that have one, rising, and their counts."""
+    terms, tf = [], []
+    for piece in segments(text or ""):
+        # Counted first, so that every different word is looked up once.
+        counts = Counter(lower_words(piece))
+        found = np.fromiter(map(numbers.get, counts, repeat(-1)), np.int64, len(counts))
+        known = found >= 0
+        terms.append(found[known])
+        tf.append(np.fromiter(counts.values(), float, len(counts))[known])
+    if len(terms) == 1:
+        order = np.argsort(terms[0])
+        return terms[0][order], tf[0][order]
+    found, place = np.unique(np.concatenate(terms), return_inverse=True)
+    return found, np.bincount(place, np.concatenate(tf), minlength=len(found))
+
+
 def copy_key(text: str | None) -> str:
     """Digest of a whole text in lower case with its blanks made equal: only true copies share it."""
     words = " ".join((text or "").lower().split())
@@ -110,18 +139,19 @@ class Index:
         query = self.unit(terms, tf, self.idf)
         bounds = query @ self.top[terms]
         found_rows, found_cosines = np.empty(0, np.int64), np.empty(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0:
-                break
+        order = np.argsort(-bounds, kind="stable")[:np.count_nonzero(bounds > 0)]
+        at, some = 0, OPENED
+        while at < len(order):
             # Rounding may put a sum a little above its bound; equal cosines are decided by the id.
-            if len(found_rows) == k and bounds[b] < found_cosines[-1] - 1e-9:
+            if len(found_rows) == k and bounds[order[at]] < found_cosines[-1] - 1e-9:
                 break
-            cosines = np.zeros(self.block)
-            for term, weight in zip(terms, query):
-                span = slice(self.begin[term, b], self.end[term, b])
-                cosines[self.rows[span] - b * self.block] += weight * self.weights[span]
-            hit = np.flatnonzero(cosines)
-            rows, cosines = hit + b * self.block, np.round(cosines[hit], 9)
+            opened = order[at:at + some]
+            begins, ends = self.begin[np.ix_(terms, opened)].ravel(), self.end[np.ix_(terms, opened)].ravel()
+            sizes = ends - begins
+            posts = np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes)
+            sums = np.bincount(self.rows[posts], self.weights[posts] * np.repeat(np.repeat(query, len(opened)), sizes))
+            rows = np.flatnonzero(sums)
+            cosines = np.round(sums[rows], 9)
             if without is not None:
                 keep = self.ids[rows] != without
                 rows, cosines = rows[keep], cosines[keep]
@@ -129,6 +159,7 @@ class Index:
             cosines = np.concatenate([found_cosines, cosines])
             best = np.lexsort((self.ids[rows], -cosines))[:k]
             found_rows, found_cosines = rows[best], cosines[best]
+            at, some = at + some, 2 * some
         return found_rows, found_cosines
 
     def vote(self, rows, cosines) -> float:
@@ -138,26 +169,33 @@ class Index:
 class WholeIndex:
     """Unit vectors of all examples over all their words; cosines with every example at once.
 
-    The examples come in the order of their ids: `terms` and `tf` end to end, `sizes` words each.
+    The examples come in the order of their ids: `terms` and `tf` end to end, `sizes` words each. The
+    postings of a word stand in the order of its count, so that one number serves all that share it, and
+    the length of an example divides once, after its sum is complete.
     """
 
     def __init__(self, ids, labels, sizes, terms, tf, idf):
         self.ids, self.labels, self.idf = ids, labels, idf
         rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        weights, edges = np.array(tf, dtype=np.float64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        # Some examples at once, so that nothing else is as long as the weights.
+        edges, squares = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.zeros(len(ids))
+        # Some examples at once, so that nothing is as long as the postings.
         for at in range(0, len(ids), TOGETHER):
-            part = slice(edges[at], edges[min(len(ids), at + TOGETHER)])
-            w, row = weights[part], rows[part] - at
-            np.log(w, out=w)
-            w += 1.0
-            w *= idf[terms[part]]
-            if len(w):
-                w /= np.sqrt(np.bincount(row, w * w))[row]
-        by_term = np.argsort(terms, kind="stable")
-        self.rows, self.weights = rows[by_term], weights[by_term]
-        del rows, weights
-        self.begin = np.searchsorted(terms[by_term], np.arange(len(idf) + 1))
+            end = min(len(ids), at + TOGETHER)
+            part = slice(edges[at], edges[end])
+            w = (1.0 + np.log(tf[part])) * idf[terms[part]]
+            squares[at:end] = np.bincount(rows[part] - at, w * w, minlength=end - at)
+        self.scale = 1.0 / np.sqrt(np.where(squares > 0, squares, 1.0))
+        order = np.lexsort((tf, terms))
+        self.rows = rows[order]
+        del rows
+        terms, tf = terms[order], tf[order]
+        del order
+        # A run: the postings of one word and one count.
+        first = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (tf[1:] != tf[:-1])])[:len(terms)])
+        self.edges = np.append(first, len(terms))
+        self.counted = 1.0 + np.log(tf[first])
+        self.runs = np.searchsorted(terms[first], np.arange(len(idf) + 1))
+        self.begin = self.edges[self.runs]
         many = np.diff(self.begin)
         common = np.argsort(-many, kind="stable")[:DENSE_WORDS]
         common = common[many[common] * DENSE > len(ids)]
@@ -165,36 +203,40 @@ class WholeIndex:
         self.place[common] = np.arange(len(common))
         self.dense = np.zeros((len(common), len(ids)))
         for i, term in enumerate(common):
-            span = slice(self.begin[term], self.begin[term + 1])
-            self.dense[i, self.rows[span]] = self.weights[span]
+            self.dense[i, self.rows[self.begin[term]:self.begin[term + 1]]] = self._spread(np.array([term]), np.ones(1))
+
+    def _spread(self, terms, weights) -> np.ndarray:
+        """For each posting of the words: the word's weight times what its count adds."""
+        begins, runs = self.runs[terms], self.runs[terms + 1] - self.runs[terms]
+        at = np.arange(runs.sum()) + np.repeat(begins - np.cumsum(runs) + runs, runs)
+        return np.repeat(np.repeat(weights, runs) * self.counted[at], self.edges[at + 1] - self.edges[at])
 
     def nearest(self, vectors, k: int, without=None):
         """For each (terms, tf): example numbers and cosines of the k nearest, ties by example id.
 
         `without` has for each vector the number of an example that is not a neighbour.
         """
-        queries = [Index.unit(terms, tf, self.idf) for terms, tf in vectors]
+        weights = [Index.unit(terms, tf, self.idf) * self.idf[terms] for terms, tf in vectors]
         common = np.zeros((len(vectors), len(self.dense)))
         for i, (terms, _) in enumerate(vectors):
             at = self.place[terms]
-            common[i, at[at >= 0]] = queries[i][at >= 0]
-        scores = common @ self.dense
-        for i, (terms, _) in enumerate(vectors):
+            common[i, at[at >= 0]] = weights[i][at >= 0]
+        for i, (cosines, (terms, _)) in enumerate(zip(common @ self.dense, vectors)):
             rare = self.place[terms] < 0
-            begins, ends = self.begin[terms[rare]], self.begin[terms[rare] + 1]
-            if len(begins):
-                spans = [slice(b, e) for b, e in zip(begins.tolist(), ends.tolist())]
+            spans = list(map(slice, self.begin[terms[rare]].tolist(), self.begin[terms[rare] + 1].tolist()))
+            if spans:
                 rows = np.concatenate([self.rows[x] for x in spans])
-                weights = np.concatenate([self.weights[x] for x in spans])
-                weights *= np.repeat(queries[i][rare], ends - begins)
-                scores[i] += np.bincount(rows, weights, minlength=len(self.ids))
-            cosines = np.round(scores[i], 9)
+                cosines += np.bincount(rows, self._spread(terms[rare], weights[i][rare]), minlength=len(self.ids))
+            cosines *= self.scale
             if without is not None:
                 cosines[without[i]] = 0.0
-            least = np.partition(cosines, -k)[-k] if len(cosines) > k else 0.0
-            found = np.flatnonzero((cosines >= least) & (cosines > 0))
-            best = found[np.argsort(-cosines[found], kind="stable")][:k]
-            yield best, cosines[best]
+            # Cosines are compared to nine decimals.
+            least = np.partition(cosines, -k)[-k] - 1e-9 if len(cosines) > k else 0.0
+            near = np.flatnonzero(cosines >= max(least, 5e-10))
+            close = np.round(cosines[near], 9)
+            best = np.argsort(-close, kind="stable")[:k]
+            best = best[close[best] > 0]
+            yield near[best], close[best]
 
     vote = Index.vote
 
@@ -216,7 +258,7 @@ def isotonic(votes: np.ndarray, labels: np.ndarray):
 @dataclass
 class Examples:
     """The labelled examples in the order of their ids, as numbers end to end: `sizes` words each, their
-    `terms` and counts `tf`. `lines` has all their words, in order, one a line; `chosen` are the
+    `terms` and counts `tf`. `lines` has all their words, common ones first, one a line; `chosen` are the
     selected ones. This is what travels; dictionaries and indexes are built where they are used.
     """
 
@@ -257,7 +299,7 @@ class Examples:
         return self.terms[part].astype(np.int64), self.tf[part].astype(float)
 
     def narrow(self, i: int):
-        """The vector over the selected terms, which stand in the order of their numbers."""
+        """The vector over the selected terms."""
         terms, tf = self.vector(i)
         kept = self.number[terms] >= 0
         return self.number[terms[kept]], tf[kept]
@@ -326,13 +368,14 @@ class Model:
         found: list[tuple] = [(self.base, [], [])] * len(texts)
         waiting: list[tuple[int, tuple]] = []
         for i, text in enumerate(texts):
-            counts = term_counts(text, self.words)
-            chosen = {t: n for t, n in counts.items() if t in self.vocabulary}
-            if chosen:
-                near = self.index.nearest(*_vector(chosen, self.vocabulary), self.settings.neighbours)
+            terms, tf = numbered(text, self.words)
+            number = self.examples.number[terms]
+            chosen = number >= 0
+            if chosen.any():
+                near = self.index.nearest(number[chosen], tf[chosen], self.settings.neighbours)
                 found[i] = self._judged(self.index, near, self.points)
-            elif counts:
-                waiting.append((i, _vector(counts, self.words)))
+            elif len(terms):
+                waiting.append((i, (terms, tf)))
             if len(waiting) == TOGETHER:
                 self._settle(waiting, found)
                 waiting = []
@@ -351,12 +394,6 @@ class Model:
         return float(np.interp(index.vote(rows, cosines), *points)), index.ids[rows].tolist(), cosines.tolist()
 
 
-def _vector(counts: dict[str, int], numbers: dict[str, int]):
-    terms = np.fromiter((numbers[t] for t in counts), np.int64, len(counts))
-    order = np.argsort(terms)
-    return terms[order], np.fromiter(counts.values(), float, len(counts))[order]
-
-
 def _fitted(votes: list[tuple[float, int]]):
     return isotonic(*map(np.array, zip(*votes))) if votes else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
@@ -404,8 +441,12 @@ def fit(
         .where((F.col("x") >= settings.association) & ((F.col("odds") >= settings.odds) | (F.col("odds") <= 1 / settings.odds)))
         .orderBy(F.col("x").desc(), "term").limit(settings.vocabulary).collect()
     )
-    # Bounded by the words of the sample; as one text, which is small beside a set of strings.
-    lines = "\n".join(texts.select(F.explode("terms").alias("term")).distinct().orderBy("term").toArrow()["term"].to_pylist())
+    # Bounded by the words of the sample; as one text, which is small beside a set of strings. Common
+    # words come first, so that what is looked up most lies together.
+    lines = "\n".join(
+        texts.select(F.explode("terms").alias("term")).groupBy("term").count()
+        .orderBy(F.col("count").desc(), "term").select("term").toArrow()["term"].to_pylist()
+    )
     texts.unpersist()
     shared = spark.sparkContext.broadcast(lines.encode())
     lines = lines.encode()
@@ -414,24 +455,31 @@ def fit(
         return {w: i for i, w in enumerate(shared.value.decode().split("\n"))} if shared.value else {}
 
     def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, total = numbers(), 0
-        rows = [0] * len(known)
+        known, total, held = numbers(), 0, []
+        counted = np.zeros(len(known), np.int64)
         for frame in frames:
             total += len(frame)
             for text in frame["text"]:
-                for term in term_counts(text, known):
-                    rows[known[term]] += 1
-        counted = np.array(rows, np.int64)
+                found: set = set()
+                for piece in segments(text or ""):
+                    found.update(map(known.get, set(lower_words(piece))))
+                found.discard(None)
+                held.extend(found)
+                if len(held) >= HELD:
+                    counted += np.bincount(held, minlength=len(known))
+                    held = []
+        if held:
+            counted += np.bincount(held, minlength=len(known))
         seen = np.flatnonzero(counted)
         yield pd.DataFrame({"term": np.concatenate([[-1], seen]), "n": np.concatenate([[total], counted[seen]])})
 
     def example_vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = numbers()
         for frame in frames:
-            counts = [sorted((known[t], n) for t, n in term_counts(x, known).items()) for x in frame["text"]]
+            vectors = [numbered(x, known) for x in frame["text"]]
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"], "label": frame["label"],
-                "terms": [[t for t, _ in c] for c in counts], "tf": [[n for _, n in c] for c in counts],
+                "terms": [t.astype(np.int32) for t, _ in vectors], "tf": [n.astype(np.int32) for _, n in vectors],
             })
 
     # One row per word of the bounded sample comes back, counted over all documents.
@@ -439,10 +487,10 @@ def fit(
         documents.select("text").mapInPandas(document_counts, "term int, n long")
         .groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     )
-    numbered, times = counts["term"].to_numpy(), counts["n"].to_numpy()
+    term, times = counts["term"].to_numpy(), counts["n"].to_numpy()
     size = lines.count(b"\n") + 1 if lines else 0
-    total, rows_with = int(times[numbered < 0].sum()), np.zeros(size)
-    rows_with[numbered[numbered >= 0]] = times[numbered >= 0]
+    total, rows_with = int(times[term < 0].sum()), np.zeros(size)
+    rows_with[term[term >= 0]] = times[term >= 0]
     idf = np.log((1 + total) / (1 + rows_with)) + 1.0
     table = sample.mapInPandas(
         example_vectors, "doc_id long, label int, terms array<int>, tf array<int>"
