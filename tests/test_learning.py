@@ -5,6 +5,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
@@ -223,3 +224,14 @@ def test_the_margin_fit_stores_no_projected_rows(points, monkeypatch):
     sizes = classifiers.Sizes(iterations=20, fourier=64)
     classifiers.RbfMargin(3, 300, sizes).fit(points[0])
     assert stored == [["label", "margin"]]
+
+
+def test_the_perceptron_takes_packed_rows_a_few_at_a_time():
+    x, y = np.arange(3000.0).reshape(1500, 2), np.arange(1500.0) % 2
+    batch = pa.RecordBatch.from_arrays([pa.array(list(x)), pa.array(y)], names=["x", "y"])
+    packed = list(perceptron._pack([batch, batch.slice(0, 0), batch.slice(0, 7)]))
+    assert [(b.num_rows, b.column("n").to_pylist()) for b in packed] == [(1, [1500]), (1, [7])]
+    blocks = list(perceptron._blocks(packed))
+    assert max(len(b) for _, b in blocks) <= perceptron.TOGETHER
+    assert (np.concatenate([b for b, _ in blocks]) == np.concatenate([x, x[:7]])).all()
+    assert (np.concatenate([b for _, b in blocks]) == np.concatenate([y, y[:7]])).all()
