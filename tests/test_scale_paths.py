@@ -270,3 +270,13 @@ def test_neighbours_leave_out_vectors_that_have_no_distance(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     found = neighbors.nearest(df, df, 2, block_rows=3).collect()
     assert {r["vec_id"] for r in found} == {r["neighbour"] for r in found} == set(range(8)) and len(found) == 16
+
+
+def test_nothing_is_numbered_where_no_row_is_added(spark):
+    df = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("label"), F.col("id").cast("double").alias("age"))
+    out = augment_minority(df)
+    assert "Window" not in out._jdf.queryExecution().toString()
+    assert out.columns == [*df.columns, "synthetic"] and out.filter("synthetic = 0").count() == out.count() == 40
+    for few in ("id % 40 < 1", "false"):
+        added = augment_minority(df.withColumn("label", F.expr(few).cast("int"))).filter("synthetic = 1").count()
+        assert added == (2 if "<" in few else 20)

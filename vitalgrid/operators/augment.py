@@ -83,7 +83,10 @@ def augment_minority(
             "_ones": F.sum(label).over(whole),
         })
     else:
-        totals = df.agg(F.coalesce(F.sum(label), F.lit(0)).alias("ones")).first()
+        totals = df.agg(F.coalesce(F.sum(label), F.lit(0)).alias("ones"), F.count(F.lit(1)).alias("rows")).first()
+        if min(totals["ones"], totals["rows"] - totals["ones"]) > 1:
+            # Both classes have rows enough: nothing is added, and no row needs a number.
+            return df.withColumn("synthetic", F.lit(0))
         placed = (
             positions_by_range(df, identifier, None, group, rows_per_bucket)
             .withColumnsRenamed({"position": "_position", "group_rows": "_rows"})
