@@ -87,6 +87,40 @@ def test_every_different_word_is_looked_up_once():
     assert terms.tolist() == [0, 1, 2] and tf.tolist() == [100.0, 150.0, 50.0] and words.asked == 4
 
 
+def test_only_what_single_precision_leaves_is_summed_again():
+    # Close cosines over common words: single precision alone cannot order them.
+    n, words = 3000, 400
+    random = np.random.default_rng(5)
+    tf = random.integers(1, 4, (n, words))
+    index = toxicity.WholeIndex(
+        np.arange(n), np.arange(n) % 2, [words] * n, np.tile(np.arange(words), n), tf.ravel().astype(np.uint8), np.ones(words)
+    )
+    assert index.dense.dtype == np.float32 and index.rows.dtype == np.uint16 and index.counted.dtype == np.float64
+    plain = 1 + np.log(tf.astype(float))
+    plain /= np.linalg.norm(plain, axis=1)[:, None]
+    for i, (rows, cosines) in enumerate(index.nearest([(np.arange(words), tf[i].astype(float)) for i in range(5)], 7, list(range(5)))):
+        want = np.round(plain @ plain[i], 9)
+        want[i] = 0
+        assert rows.tolist() == np.lexsort((np.arange(n), -want))[:7].tolist() and np.allclose(cosines, want[rows], atol=2e-9)
+
+
+def test_examples_come_to_their_places():
+    import pyarrow as pa
+
+    parts = [([7, 3], [1, 0], [[4, 5], []], [[1, 300], []]), ([5, 1], [0, 1], [[2], [0, 9]], [[2], [1, 1]])]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in part], ["doc_id", "label", "terms", "tf"]) for part in parts]
+    ids, labels, sizes, terms, tf = toxicity._in_order(pa.Table.from_batches(batches))
+    assert ids.tolist() == [1, 3, 5, 7] and labels.tolist() == [1, 0, 0, 1] and sizes.tolist() == [2, 0, 1, 2]
+    assert terms.tolist() == [0, 9, 2, 4, 5] and tf.tolist() == [1, 1, 2, 1, 300] and tf.dtype == np.uint16
+    assert toxicity._joined(pa.chunked_array([["a", "é"], [], ["c"]], pa.string())) == "a\né\nc".encode()
+    assert toxicity._joined(pa.chunked_array([], pa.string())) == b""
+
+
+def test_words_with_other_signs_are_those_of_the_pattern():
+    for text in ("Été—l’été_x «y» ﬁn² a\u00a0b\u2028c ١٢ e\u0301t", "é", "—", "naïve café"):
+        assert toxicity.lower_words(text) == toxicity.WORD.findall(text.lower())
+
+
 def test_plain_words_are_those_of_the_pattern():
     plain = "".join(map(chr, range(128))) * 2 + " Ab_c-9"
     for text in (plain, plain + "é", "", "_"):

@@ -27,6 +27,8 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +38,7 @@ from vitalgrid.llm.shared import labelled_sample, segments
 WORD = re.compile(r"[^\W_]+")
 #: What WORD leaves out of plain text, as blanks.
 PLAIN = {c: " " for c in range(128) if not chr(c).isalnum()}
+PLAIN_BYTES = bytes(32 if c in PLAIN else c for c in range(256))
 
 
 @dataclass(frozen=True)
@@ -58,7 +61,11 @@ class Settings:
 
 #: Texts that are compared with all examples at once; a word of more than one example in DENSE has a
 #: row over all examples, for the DENSE_WORDS most common of them.
-TOGETHER, DENSE, DENSE_WORDS = 64, 10, 256
+TOGETHER, DENSE, DENSE_WORDS = 256, 10, 256
+#: More than single precision can put a sum of DENSE_WORDS parts of a cosine off, twice.
+SINGLE = 1e-4
+#: Values of which the largest stands for all.
+STRETCH = 64
 #: Blocks that are opened at once at first; after them twice as many, and so on.
 OPENED = 8
 #: Word numbers that are held before they are counted.
@@ -68,7 +75,13 @@ HELD = 1 << 20
 def lower_words(piece: str) -> list[str]:
     """The lower-case words of a piece of text, in order."""
     piece = piece.lower()
-    return piece.translate(PLAIN).split() if piece.isascii() else WORD.findall(piece)
+    if piece.isascii():
+        return piece.translate(PLAIN).split()
+    # Blanks and plain characters end a word in any case; the pattern is left what may hold other signs.
+    words = piece.encode("utf-8", "surrogatepass").translate(PLAIN_BYTES).decode("utf-8", "surrogatepass").split()
+    if "".join(words).isalnum():
+        return words
+    return [x for w in words for x in ((w,) if w.isalnum() else WORD.findall(w))]
 
 
 def term_counts(text: str | None) -> Counter:
@@ -102,6 +115,17 @@ def copy_key(text: str | None) -> str:
     return hashlib.blake2b(words.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
+def least_of(values: np.ndarray, k: int) -> float:
+    """A number that at least k of the values reach, near the k-th largest of them; 0 if there are fewer."""
+    if len(values) <= k:
+        return 0.0
+    if len(values) >= 4 * k * STRETCH:
+        # The k-th largest of the largest of every stretch.
+        whole = len(values) // STRETCH * STRETCH
+        values = values[:whole].reshape(-1, STRETCH).max(axis=1)
+    return np.partition(values, -k)[-k]
+
+
 class Index:
     """Inverted index of unit vectors in blocks, with the largest weight of each term and block."""
 
@@ -171,19 +195,20 @@ class WholeIndex:
 
     The examples come in the order of their ids: `terms` and `tf` end to end, `sizes` words each. The
     postings of a word stand in the order of its count, so that one number serves all that share it, and
-    the length of an example divides once, after its sum is complete.
+    the length of an example divides once, after its sum is complete. Common words are summed in single
+    precision for all examples, and then in double precision for those that may be among the nearest.
     """
 
     def __init__(self, ids, labels, sizes, terms, tf, idf):
         self.ids, self.labels, self.idf = ids, labels, idf
-        rows = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        rows = np.repeat(np.arange(len(ids), dtype=np.min_scalar_type(len(ids))), sizes)
         edges, squares = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), np.zeros(len(ids))
         # Some examples at once, so that nothing is as long as the postings.
         for at in range(0, len(ids), TOGETHER):
             end = min(len(ids), at + TOGETHER)
             part = slice(edges[at], edges[end])
-            w = (1.0 + np.log(tf[part])) * idf[terms[part]]
-            squares[at:end] = np.bincount(rows[part] - at, w * w, minlength=end - at)
+            w = (1.0 + np.log(tf[part].astype(float))) * idf[terms[part]]
+            squares[at:end] = np.bincount(rows[part].astype(np.int64) - at, w * w, minlength=end - at)
         self.scale = 1.0 / np.sqrt(np.where(squares > 0, squares, 1.0))
         order = np.lexsort((tf, terms))
         self.rows = rows[order]
@@ -193,7 +218,7 @@ class WholeIndex:
         # A run: the postings of one word and one count.
         first = np.flatnonzero(np.concatenate([[True], (terms[1:] != terms[:-1]) | (tf[1:] != tf[:-1])])[:len(terms)])
         self.edges = np.append(first, len(terms))
-        self.counted = 1.0 + np.log(tf[first])
+        self.counted = 1.0 + np.log(tf[first].astype(float))
         self.runs = np.searchsorted(terms[first], np.arange(len(idf) + 1))
         self.begin = self.edges[self.runs]
         many = np.diff(self.begin)
@@ -201,9 +226,15 @@ class WholeIndex:
         common = common[many[common] * DENSE > len(ids)]
         self.place = np.full(len(idf), -1, np.int32)
         self.place[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), len(ids)))
+        # What a count adds, by its code; code 0 is a word that an example does not have.
+        counts = np.unique(tf[first])
+        self.added = np.concatenate([[0.0], 1.0 + np.log(counts.astype(float))])
+        self.codes = np.zeros((len(common), len(ids)), np.min_scalar_type(len(counts)))
+        self.dense = np.empty(self.codes.shape, np.float32)
         for i, term in enumerate(common):
-            self.dense[i, self.rows[self.begin[term]:self.begin[term + 1]]] = self._spread(np.array([term]), np.ones(1))
+            part = slice(self.begin[term], self.begin[term + 1])
+            self.codes[i, self.rows[part]] = 1 + np.searchsorted(counts, tf[part])
+            self.dense[i] = self.added[self.codes[i]] * self.scale
 
     def _spread(self, terms, weights) -> np.ndarray:
         """For each posting of the words: the word's weight times what its count adds."""
@@ -211,6 +242,14 @@ class WholeIndex:
         at = np.arange(runs.sum()) + np.repeat(begins - np.cumsum(runs) + runs, runs)
         return np.repeat(np.repeat(weights, runs) * self.counted[at], self.edges[at + 1] - self.edges[at])
 
+    def _rare(self, terms, weights) -> np.ndarray:
+        """The sums of some words for every example."""
+        spans = list(map(slice, self.begin[terms].tolist(), self.begin[terms + 1].tolist()))
+        if not spans:
+            return np.zeros(len(self.ids))
+        rows = np.concatenate([self.rows[x] for x in spans])
+        return np.bincount(rows, self._spread(terms, weights), minlength=len(self.ids))
+
     def nearest(self, vectors, k: int, without=None):
         """For each (terms, tf): example numbers and cosines of the k nearest, ties by example id.
 
@@ -221,19 +260,19 @@ class WholeIndex:
         for i, (terms, _) in enumerate(vectors):
             at = self.place[terms]
             common[i, at[at >= 0]] = weights[i][at >= 0]
-        for i, (cosines, (terms, _)) in enumerate(zip(common @ self.dense, vectors)):
+        for i, (about, (terms, _)) in enumerate(zip(common.astype(np.float32) @ self.dense, vectors)):
             rare = self.place[terms] < 0
-            spans = list(map(slice, self.begin[terms[rare]].tolist(), self.begin[terms[rare] + 1].tolist()))
-            if spans:
-                rows = np.concatenate([self.rows[x] for x in spans])
-                cosines += np.bincount(rows, self._spread(terms[rare], weights[i][rare]), minlength=len(self.ids))
-            cosines *= self.scale
+            sums = self._rare(terms[rare], weights[i][rare])
+            sums *= self.scale
+            about = about + sums
             if without is not None:
-                cosines[without[i]] = 0.0
-            # Cosines are compared to nine decimals.
-            least = np.partition(cosines, -k)[-k] - 1e-9 if len(cosines) > k else 0.0
-            near = np.flatnonzero(cosines >= max(least, 5e-10))
-            close = np.round(cosines[near], 9)
+                about[without[i]] = 0.0
+            # Every example that single precision cannot rule out; cosines are compared to nine decimals.
+            least = least_of(about, k) - SINGLE
+            near = np.flatnonzero(about >= least if least > 0 else about > 0)
+            held = np.flatnonzero(common[i])
+            exact = common[i][held] @ self.added[self.codes[np.ix_(held, near)]]
+            close = np.round(exact * self.scale[near] + sums[near], 9)
             best = np.argsort(-close, kind="stable")[:k]
             best = best[close[best] > 0]
             yield near[best], close[best]
@@ -407,6 +446,33 @@ def _sample_terms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
+def _joined(words: pa.ChunkedArray) -> bytes:
+    """The words, one a line, without a Python object for each."""
+    lists = (pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in words.chunks if len(c))
+    return b"\n".join(pc.binary_join(x, "\n")[0].as_buffer().to_pybytes() for x in lists)
+
+
+def _in_order(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Ids, labels, sizes, terms and counts of the examples in the order of their ids. Every list is
+    copied once, to its place."""
+    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
+    ids, labels = (table[c].to_numpy()[order] for c in ("doc_id", "label"))
+    sizes = pc.list_value_length(table["terms"]).to_numpy()
+    begins = np.empty(len(order), np.int64)
+    begins[order] = np.cumsum(sizes[order]) - sizes[order]
+    most = max((pc.max(c.flatten()).as_py() or 0 for c in table["tf"].chunks), default=0)
+    flat = []
+    for column, kind in (("terms", np.int32), ("tf", np.min_scalar_type(most))):
+        out, i = np.empty(int(sizes.sum()), kind), 0
+        for chunk in table[column].chunks:
+            values, at = chunk.flatten().to_numpy(), 0
+            for size in sizes[i:i + len(chunk)].tolist():
+                out[begins[i]:begins[i] + size] = values[at:at + size]
+                i, at = i + 1, at + size
+        flat.append(out)
+    return ids, labels, sizes[order], *flat
+
+
 def fit(
     documents: DataFrame, labels: DataFrame, label: str, learnable: Column,
     settings: Settings = Settings(),
@@ -443,13 +509,12 @@ def fit(
     )
     # Bounded by the words of the sample; as one text, which is small beside a set of strings. Common
     # words come first, so that what is looked up most lies together.
-    lines = "\n".join(
+    lines = _joined(
         texts.select(F.explode("terms").alias("term")).groupBy("term").count()
-        .orderBy(F.col("count").desc(), "term").select("term").toArrow()["term"].to_pylist()
+        .orderBy(F.col("count").desc(), "term").select("term").toArrow()["term"]
     )
     texts.unpersist()
-    shared = spark.sparkContext.broadcast(lines.encode())
-    lines = lines.encode()
+    shared = spark.sparkContext.broadcast(lines)
 
     def numbers() -> dict[str, int]:
         return {w: i for i, w in enumerate(shared.value.decode().split("\n"))} if shared.value else {}
@@ -494,14 +559,12 @@ def fit(
     idf = np.log((1 + total) / (1 + rows_with)) + 1.0
     table = sample.mapInPandas(
         example_vectors, "doc_id long, label int, terms array<int>, tf array<int>"
-    ).toArrow().sort_by("doc_id")  # bounded by `examples`
+    ).toArrow()  # bounded by `examples`
     sample.unpersist()
-    ids, marks = table["doc_id"].to_numpy(), table["label"].to_numpy()
-    lists = {c: table[c].combine_chunks() for c in ("terms", "tf")}
-    sizes = lists["terms"].value_lengths().to_numpy()
-    flat = {c: lists[c].flatten().to_numpy().astype(np.int32) for c in lists}
-    del table, lists
-    examples = Examples(lines, terms, ids, marks, sizes, flat["terms"], flat["tf"], idf, settings.block)
+    examples = Examples(lines, terms, *_in_order(table), idf, settings.block)
+    ids, marks, sizes = examples.ids, examples.labels, examples.sizes
+    del table, counts
+    pa.default_memory_pool().release_unused()
     known = spark.sparkContext.broadcast(examples)
 
     def leave_one_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
