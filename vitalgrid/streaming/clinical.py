@@ -205,8 +205,8 @@ def initial_training(
     rows = df.withColumn("label", binary_label(F.col("num"))).withColumns(
         {c: F.col(c).cast("double") for c in NUMERIC}
     )
-    # Every fitted statistic reads the rows; they are decoded and split once.
-    split = materialize(stratified_split(rows, "label", "id"), "initial")
+    # The split reads the rows three times and every fitted statistic again; they are decoded once and split once.
+    split = materialize(stratified_split(materialize(rows, "decoded"), "label", "id"), "initial")
     model = fit_risk_model(
         split.filter("part = 'train'").drop("part"), NUMERIC, TEXT_CATEGORIES, sizes=sizes
     )
