@@ -91,3 +91,12 @@ def test_cuts_at_equal_depth():
     cuts = trees.cut_points(values, 1000, 32)
     assert len(cuts) == 31 and abs(np.diff(np.searchsorted(values, cuts)) - 31.25).max() < 1
     assert list(trees.cut_points(np.array([1.0, 3.0, 3.0]), 3, 32)) == [2.0]
+
+
+@pytest.mark.parametrize("whole", [trees.WHOLE_ROWS, 0])
+def test_nothing_to_split(rows, whole):
+    """A level at which no node is split ends a tree, at the root too."""
+    how = {"labelCol": "label", "minInstancesPerNode": 10**6, "seed": 1}
+    for made in (trees.Forest(numTrees=2, **how), trees.BoostedTrees(maxIter=2, **how)):
+        made.whole_rows = whole
+        assert [tree.numNodes for tree in made.fit(rows).trees] == [1, 1]
